@@ -148,19 +148,20 @@ def rolling_mean(
     ts: str,
     value: Column,
     days: int = 7,
-    out: str = "rolling_avg",
 ) -> DataFrame:
-    """Mean over ``RANGE BETWEEN INTERVAL days DAYS PRECEDING AND CURRENT ROW``.
+    """Sum / count / mean over ``RANGE BETWEEN INTERVAL days DAYS PRECEDING AND CURRENT ROW``.
 
-    The look-back is inclusive: a row exactly ``days`` days older is inside.
-    The frame is expressed on epoch seconds so it works for NTZ and TZ columns.
+    The look-back is inclusive: a row exactly ``days`` days older is inside.  The
+    frame is expressed on epoch microseconds so it works for NTZ and TZ columns.
+    The mean is the exact (decimal) sum divided by the count, as DOUBLE.
     """
-    sec = epoch_seconds(ts)
-    d = df.withColumns({"__sec": sec, "__v": value})
-    w = Window.partitionBy(entity).orderBy("__sec").rangeBetween(-days * 86400, 0)
-    return d.withColumns(
-        {out: F.sum("__v").over(w) / F.count("__v").over(w), "rolling_n": F.count("__v").over(w)}
-    ).drop("__sec", "__v")
+    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    w = Window.partitionBy(entity).orderBy(micros).rangeBetween(-days * 86_400_000_000, 0)
+    s = F.sum(value).over(w)
+    n = F.count(value).over(w)
+    return df.withColumns(
+        {"rolling_sum": s, "rolling_n": n, "rolling_avg": s.cast("double") / n}
+    )
 
 
 def sessionize(
