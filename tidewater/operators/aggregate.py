@@ -37,12 +37,18 @@ def global_reduce(df: DataFrame, value: str) -> DataFrame:
 def rows_at_minimum(df: DataFrame, value: str) -> DataFrame:
     """Every row whose ``value`` equals the global minimum (ties kept).
 
-    The minimum is a one-row aggregate; it is joined back by equality on the
-    value, with the one-row side broadcast (its size is fixed at one row), so
-    there is no driver round trip and no cross join.
+    The minimum is a scalar subquery (one value, computed once), so there is no
+    driver round trip in user code, no cross join and no single-task window.
     """
-    lo = df.agg(F.min(value).alias("__min"))
-    return df.join(F.broadcast(lo), F.col(value) == F.col("__min"), "inner").drop("__min")
+    lo = df.agg(F.min(value)).scalar()
+    return df.filter(F.col(value) == lo)
+
+
+def fill_with_mean(df: DataFrame, column: str, out: str | None = None) -> DataFrame:
+    """Replace NULLs by the column mean, kept as DOUBLE (``fillna`` would truncate
+    the mean of an integer column).  The mean is a scalar subquery."""
+    mean = df.agg(F.avg(F.col(column).cast("double"))).scalar()
+    return df.withColumn(out or column, F.coalesce(F.col(column).cast("double"), mean))
 
 
 def duplicates(df: DataFrame, keys: Sequence[str] | str, name: str = "count") -> DataFrame:
