@@ -1 +1,70 @@
-"""placeholder"""
+"""Streaming queries (T1–T4): events are published as JSON lines (derived from the
+``events`` table by Spark), consumed by Structured Streaming with ``availableNow``,
+and the sink's contents are returned as a batch DataFrame."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidewater.plans.registry import register
+from tidewater.sources.tables import Tables
+from tidewater.streaming import events as S
+
+
+def _published(spark, sf, name):
+    run = S.new_run_dir(spark, name)
+    S.publish_batch(Tables(spark, sf).events, f"{run}/in")
+    return run
+
+
+@register(
+    "stream_event_counts",
+    """SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end,
+  event_type, count(*) AS n FROM events GROUP BY 1, 2, 3""",
+    "T1 T2 S17 K11 F27",
+)
+def stream_event_counts(spark, sf):
+    """Daily counts per event type, update mode, 1-hour watermark, changelog sink."""
+    run = _published(spark, sf, "event-counts")
+    stream = S.windowed_counts(S.read_event_stream(spark, f"{run}/in"))
+    S.run_to_changelog(stream, f"{run}/out", f"{run}/ckpt", mode="update")
+    return S.latest_per_key(spark, f"{run}/out", ["window_start", "window_end", "event_type"])
+
+
+@register(
+    "stream_sessions",
+    """WITH e AS (SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS prev FROM events),
+f AS (SELECT *, CASE WHEN prev IS NULL OR ts >= prev + INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS ns FROM e),
+g AS (SELECT *, sum(ns) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM f),
+s AS (SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, count(*) AS n_events
+      FROM g GROUP BY user_id, sid)
+SELECT user_id, session_start, session_end, n_events FROM s
+WHERE session_end <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""",
+    "T3",
+)
+def stream_sessions(spark, sf):
+    """30-minute session windows per user, append mode: only sessions closed by the
+    1-hour watermark are emitted (the newest ones stay open)."""
+    run = _published(spark, sf, "sessions")
+    stream = S.session_counts(S.read_event_stream(spark, f"{run}/in"))
+    S.run_to_files(stream, f"{run}/out", f"{run}/ckpt", fmt="parquet", mode="append")
+    return spark.read.parquet(f"{run}/out")
+
+
+@register(
+    "stream_publish_kinds",
+    """SELECT CASE WHEN event_type = 'purchase' THEN 'order' ELSE 'navigation' END AS kind, count(*) AS n
+FROM events GROUP BY 1""",
+    "T4 T1 K11 K1",
+)
+def stream_publish_kinds(spark, sf):
+    """T4: republish parsed events as ``{kind, timestamp}`` JSON through a file sink,
+    then count what was published per kind."""
+    run = _published(spark, sf, "publish")
+    parsed = S.read_event_stream(spark, f"{run}/in").filter("is_valid")
+    out = parsed.select(
+        F.to_json(F.struct(S.event_kind(F.col("event_type")).alias("kind"), F.col("timestamp"))).alias("value")
+    )
+    S.run_to_files(out, f"{run}/out", f"{run}/ckpt", fmt="text", mode="append")
+    published = spark.read.text(f"{run}/out").select(F.from_json("value", "kind STRING, timestamp STRING").alias("j"))
+    return published.groupBy(F.col("j.kind").alias("kind")).agg(F.count(F.lit(1)).alias("n"))
