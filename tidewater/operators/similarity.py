@@ -100,7 +100,9 @@ def most_rated_item(ratings: DataFrame) -> DataFrame:
     """One-row DataFrame with the item rated by the most users (smallest id on ties)."""
     return (
         ratings.groupBy("item")
-        .agg(F.count(F.lit(1)).alias("n"))
+        # count(rating), not count(*): keeps the ratings sub-plan identical to the one
+        # used for the pairs, so Spark reuses its shuffle instead of recomputing it.
+        .agg(F.count("rating").alias("n"))
         .orderBy(F.col("n").desc(), F.col("item"))
         .limit(1)
         .select("item")

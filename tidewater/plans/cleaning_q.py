@@ -19,13 +19,21 @@ from tidewater.sources.tables import Tables
 # ---- raw renderers (Spark) ------------------------------------------------------------
 
 
+def _copies(condition: str):
+    """0 for every row, plus a second copy (1) where ``condition`` holds: the raw feed
+    repeats some ids with one changed field.  One scan, no union."""
+    return F.explode(F.expr(f"CASE WHEN {condition} THEN array(0, 1) ELSE array(0) END")).alias("copy")
+
+
 def raw_orders(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     j = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("k"),
+        _copies("(l_orderkey * 8 + l_linenumber) % 97 = 0"),
         "o_custkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "o_orderstatus",
         F.col("o_orderdate").cast("date").alias("od"), F.col("l_shipdate").cast("date").alias("sd"),
     )
     base = j.selectExpr(
+        "copy",
         "k AS order_id",
         "o_custkey AS customer_id",
         "CASE WHEN k % 40 = 0 THEN concat('X', l_partkey) WHEN k % 71 = 0 THEN 'null' ELSE concat('P', l_partkey) END AS product_id",
@@ -35,7 +43,7 @@ def raw_orders(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
                 ELSE date_format(od, 'yyyy-MM-dd') END AS order_date""",
         """CASE WHEN k % 23 = 0 THEN date_format(date_sub(od, 3), 'yyyy-MM-dd') WHEN k % 29 = 0 THEN 'N/A'
                 ELSE date_format(sd, 'yyyy-MM-dd') END AS ship_date""",
-        "CASE WHEN k % 31 = 0 THEN 0 ELSE CAST(l_quantity AS INT) END AS quantity",
+        "CASE WHEN k % 31 = 0 THEN 0 ELSE CAST(l_quantity AS INT) END + copy AS quantity",
         """CASE WHEN k % 37 = 0 THEN 'abc' WHEN k % 41 = 0 THEN 'NULL'
                 WHEN k % 3 = 0 THEN concat('$', CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS STRING))
                 ELSE CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS STRING) END AS unit_price""",
@@ -47,13 +55,11 @@ def raw_orders(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
         """CASE WHEN k % 19 = 0 THEN 'Unknown' WHEN k % 13 = 0 THEN ' delivered '
                 WHEN o_orderstatus = 'F' THEN 'Delivered' WHEN o_orderstatus = 'O' THEN 'Shipped' ELSE 'Pending' END AS order_status""",
     )
-    # Duplicate ids (the raw feed repeats some orders with a different quantity).
-    dup = base.filter("order_id % 97 = 0").withColumn("quantity", F.col("quantity") + 1)
-    return base.unionByName(dup)
+    return base.drop("copy")
 
 
 def raw_customers(customer: DataFrame) -> DataFrame:
-    base = customer.selectExpr(
+    base = customer.select("*", _copies("c_custkey % 89 = 0")).selectExpr(
         "c_custkey AS customer_id",
         """CASE WHEN c_custkey % 17 = 0 THEN '  ' WHEN c_custkey % 11 = 0 THEN concat(' ', split_part(c_name, '#', 1), ' ')
                 ELSE split_part(c_name, '#', 1) END AS first_name""",
@@ -76,14 +82,15 @@ def raw_customers(customer: DataFrame) -> DataFrame:
         """CASE c_custkey % 6 WHEN 0 THEN 'yes' WHEN 1 THEN 'N' WHEN 2 THEN 'TRUE' WHEN 3 THEN 'false'
                 WHEN 4 THEN 'maybe' ELSE 'Y' END AS is_active""",
         """CASE WHEN c_custkey % 8 = 0 THEN NULL WHEN c_custkey % 8 = 1 THEN -5
-                ELSE CAST(floor(c_acctbal) AS INT) END AS loyalty_points""",
+                ELSE CAST(floor(c_acctbal) AS INT) END + copy AS loyalty_points""",
     )
-    dup = base.filter("customer_id % 89 = 0").withColumn("loyalty_points", F.col("loyalty_points") + 1)
-    return base.unionByName(dup)
+    return base
 
 
 def raw_products(part: DataFrame) -> DataFrame:
-    p = part.withColumn("pr", F.col("p_retailprice").cast("decimal(18,2)"))
+    p = part.withColumn("pr", F.col("p_retailprice").cast("decimal(18,2)")).select(
+        "*", _copies("p_partkey % 83 = 0")
+    )
     base = p.selectExpr(
         "CASE WHEN p_partkey % 29 = 0 THEN concat('X', p_partkey) ELSE concat('P', p_partkey) END AS product_id",
         "p_name AS product_name",
@@ -94,7 +101,7 @@ def raw_products(part: DataFrame) -> DataFrame:
                 WHEN p_partkey % 3 = 0 THEN concat('$', CAST(pr AS STRING)) ELSE CAST(pr AS STRING) END AS price""",
         """CASE WHEN p_partkey % 41 = 0 THEN '-5.00' WHEN p_partkey % 11 = 0 THEN concat('$', CAST(pr - 100 AS STRING))
                 ELSE CAST(pr - 100 AS STRING) END AS cost""",
-        "CASE WHEN p_partkey % 13 = 0 THEN NULL ELSE p_size * 10 - 50 END AS stock_quantity",
+        "CASE WHEN p_partkey % 13 = 0 THEN NULL ELSE p_size * 10 - 50 END + copy AS stock_quantity",
         "CASE WHEN p_partkey % 43 = 0 THEN 'heavy' ELSE concat(CAST(p_size AS STRING), '.5') END AS weight_kg",
         """CASE WHEN p_partkey % 47 = 0 THEN '13-45-2020'
                 WHEN p_partkey % 3 = 0 THEN date_format(date_add(DATE'2019-01-01', CAST(p_partkey % 1500 AS INT)), 'MM-dd-yyyy')
@@ -102,8 +109,7 @@ def raw_products(part: DataFrame) -> DataFrame:
                 ELSE date_format(date_add(DATE'2019-01-01', CAST(p_partkey % 1500 AS INT)), 'yyyy-MM-dd') END AS created_date""",
         "CASE p_partkey % 5 WHEN 0 THEN 'Yes' WHEN 1 THEN 'no' WHEN 2 THEN ' y ' WHEN 3 THEN 'FALSE' ELSE 'maybe' END AS is_active",
     )
-    dup = base.filter("substr(product_id, 2) % 83 = 0").withColumn("stock_quantity", F.col("stock_quantity") + 1)
-    return base.unionByName(dup)
+    return base
 
 
 # ---- DuckDB renderers + cleaning (oracle) ---------------------------------------------

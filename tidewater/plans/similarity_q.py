@@ -62,9 +62,12 @@ def similar_items(spark, sf):
     """
     ratings = _ratings(spark, sf)
     target = S.most_rated_item(ratings)
-    top = S.similar_items(ratings, target, SCORE_THRESHOLD, MIN_PAIRS, TOP_K)
-    # Names: the top side has ≤ k rows (proven bound), so broadcast it and semi-join
-    # the part table against it before the final small joins.
+    # The top-k has at most TOP_K rows; it is checkpointed (reliable checkpoint in the
+    # shared spark.checkpoint.dir) so the name lookup below reads those rows instead of
+    # re-running the similarity pipeline once per reference.
+    top = S.similar_items(ratings, target, SCORE_THRESHOLD, MIN_PAIRS, TOP_K).checkpoint(eager=True)
+    # Names: broadcast the ≤ 2k keys (proven bound) and semi-join the part table
+    # against them — one streaming pass over part, no shuffle of it.
     part = Tables(spark, sf).part.select("p_partkey", "p_name")
     keys = top.select(F.col("t_item").alias("p_partkey")).union(top.select(F.col("similar_item").alias("p_partkey")))
     names = part.join(F.broadcast(keys), "p_partkey", "left_semi")

@@ -9,27 +9,50 @@ TABLE_NAMES = (
     "embeddings pages benchmark labels conversations"
 ).split()
 
+# Tables this small are never worth a shuffle to spread (dimension tables).
+_SPREAD_MIN_ROWS_HINT = {"region", "nation", "supplier", "benchmark", "labels"}
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+
+def spread_if_narrow(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer splits than the cluster can run at once.
+
+    A Parquet file with a single row group is one split, so every row-level
+    expression before the first shuffle would run in one task.  On a cluster,
+    large inputs have many more splits than cores and this is a no-op; it only
+    fires for narrow inputs.  Round-robin repartitioning sorts locally first, so a
+    recomputed task after executor loss produces the same rows.
+    """
+    sc = df.sparkSession.sparkContext
+    target = sc.defaultParallelism
+    if df.rdd.getNumPartitions() * 2 <= target:
+        return df.repartition(target)
+    return df
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
     """Read one Parquet table; Catalyst prunes columns and pushes filters into the scan."""
     if name not in TABLE_NAMES:
         raise KeyError(f"unknown table {name!r}")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if spread and name not in _SPREAD_MIN_ROWS_HINT:
+        df = spread_if_narrow(df)
+    return df
 
 
 class Tables:
     """Attribute access to the driver tables of one scale-factor folder."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, spread: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.spread = spread
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLE_NAMES:
-            return table(self.spark, self.sf_dir, name)
+            return table(self.spark, self.sf_dir, name, self.spread)
         raise AttributeError(name)
 
     def register_views(self) -> None:
         """K7: expose every table as a temp view so SQL text can name it."""
         for n in TABLE_NAMES:
-            table(self.spark, self.sf_dir, n).createOrReplaceTempView(n)
+            table(self.spark, self.sf_dir, n, self.spread).createOrReplaceTempView(n)
