@@ -12,6 +12,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
 def _c(c):
@@ -29,7 +30,7 @@ def name_code(first: Column | str, last: Column | str, age: Column | str) -> Col
     )
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def name_code_udf(first: pd.Series, last: pd.Series, age: pd.Series) -> pd.Series:
     """U2 as an Arrow-batched pandas UDF (vectorised string ops, no per-row Python calls)."""
     a = age.astype("Int64").astype("string")
