@@ -61,7 +61,8 @@ def read_event_stream(spark: SparkSession, path: str, max_files: int | None = No
 
 
 def windowed_counts(events: DataFrame, window: str = "1 day", watermark: str = "1 hour") -> DataFrame:
-    """Counts per event type per tumbling window; rows later than the watermark are dropped."""
+    """Counts per event type per tumbling window.  In append mode rows later than the
+    watermark are dropped and a window is emitted once the watermark passes its end."""
     return (
         events.filter("is_valid")
         .withWatermark("ts", watermark)
@@ -94,7 +95,11 @@ def session_counts(events: DataFrame, gap: str = "30 minutes", watermark: str =
 
 def run_to_changelog(stream: DataFrame, out: str, checkpoint: str, mode: str = "update") -> None:
     """Run a streaming aggregate over all available input, writing each micro-batch's
-    rows to ``out/batch_id=N`` (overwrite → idempotent when a batch is replayed)."""
+    rows to ``out/batch_id=N`` (overwrite → idempotent when a batch is replayed).
+
+    Update mode emits every changed row each batch; note that it uses the watermark
+    only to evict state — a late row whose window is still in state is merged.  Use
+    append mode (``run_to_files``) when late rows must be dropped."""
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
