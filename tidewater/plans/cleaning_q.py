@@ -308,7 +308,7 @@ _CLEAN_CTES = f"""WITH co AS ({CLEAN_ORDERS_SQL}), cc AS ({CLEAN_CUSTOMERS_SQL})
 @register(
     "clean_revenue_by_category",
     f"""{_CLEAN_CTES}
-SELECT cp.category, sum(co.total_amount) AS total_revenue, count(co.order_id) AS total_orders
+SELECT cp.category, CAST(sum(co.total_amount) AS DECIMAL(28,2)) AS total_revenue, count(co.order_id) AS total_orders
 FROM co JOIN cc ON co.customer_id = cc.customer_id JOIN cp ON co.product_id = cp.product_id GROUP BY cp.category""",
     "C4 C5 A18 J2 J11",
 )

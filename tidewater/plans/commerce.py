@@ -57,7 +57,7 @@ def customer_summary(spark, sf):
 @register(
     "order_details",
     f"""SELECT l_orderkey, l_linenumber, o_orderdate, o_orderstatus, c_name, c_mktsegment,
-       p_name, p_brand, p_type, l_quantity, net_amount FROM ({_LINES_SQL}) x""",
+       p_name, p_brand, p_type, l_quantity, CAST(net_amount AS DECIMAL(38,4)) AS net_amount FROM ({_LINES_SQL}) x""",
     "C4 J1 J2",
 )
 def order_details(spark, sf):
@@ -293,7 +293,7 @@ def salted_join_brand(spark, sf):
     """WITH o AS (SELECT o_orderkey AS order_id, o_custkey AS customer_id,
                      CAST(o_totalprice AS DECIMAL(18,2)) AS amount FROM orders),
 c AS (SELECT c.c_custkey AS customer_id, n.n_name AS city FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey)
-SELECT city, sum(amount) AS total_sales, count(*) AS orders FROM o JOIN c USING (customer_id) GROUP BY city""",
+SELECT city, CAST(sum(amount) AS DECIMAL(28,2)) AS total_sales, count(*) AS orders FROM o JOIN c USING (customer_id) GROUP BY city""",
     "C9 A26 P19 P20 A16",
 )
 def etl_sales_by_city(spark, sf):
@@ -314,7 +314,7 @@ def etl_avg_by_segment(spark, sf):
 
 @register(
     "etl_top_customers",
-    """SELECT o_custkey AS customer_id, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS total_spent
+    """SELECT o_custkey AS customer_id, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS total_spent
 FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY o_custkey ORDER BY total_spent DESC, customer_id LIMIT 3""",
     "C9 O3",
 )

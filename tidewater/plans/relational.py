@@ -72,7 +72,7 @@ _EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
     "pivot_events",
     "SELECT CAST(ts AS DATE) AS day, "
     + ", ".join(
-        f"sum(CAST(value AS DECIMAL(18,2))) FILTER (WHERE event_type = '{t}') AS {t}" for t in _EVENT_TYPES
+        f"CAST(sum(CAST(value AS DECIMAL(18,2))) FILTER (WHERE event_type = '{t}') AS DECIMAL(28,2)) AS {t}" for t in _EVENT_TYPES
     )
     + " FROM events GROUP BY 1",
     "A23",
@@ -86,9 +86,9 @@ def pivot_events(spark, sf):
 @register(
     "pivot_month_status",
     """SELECT strftime(o_orderdate, '%b') AS month,
-  sum(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (WHERE o_orderstatus = 'F') AS F,
-  sum(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (WHERE o_orderstatus = 'O') AS O,
-  sum(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (WHERE o_orderstatus = 'P') AS P
+  CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (WHERE o_orderstatus = 'F') AS DECIMAL(28,2)) AS F,
+  CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (WHERE o_orderstatus = 'O') AS DECIMAL(28,2)) AS O,
+  CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (WHERE o_orderstatus = 'P') AS DECIMAL(28,2)) AS P
 FROM orders GROUP BY 1""",
     "A23 O6 P4",
 )
@@ -103,7 +103,7 @@ def pivot_month_status(spark, sf):
 
 @register(
     "json_props",
-    """SELECT event_type, sum(CAST(json_extract_string(props, '$.k') AS INTEGER)) AS sum_k,
+    """SELECT event_type, CAST(sum(CAST(json_extract_string(props, '$.k') AS INTEGER)) AS BIGINT) AS sum_k,
   max(CAST(json_extract_string(props, '$.k') AS INTEGER)) AS max_k, count(*) AS n FROM events GROUP BY event_type""",
     "F25 P25",
 )
@@ -316,7 +316,7 @@ def graph_lines(spark, sf):
 
 @register(
     "least_connected",
-    """WITH c AS (SELECT l_partkey AS id, sum(CASE WHEN l_linenumber % 2 = 1 THEN 2 ELSE 1 END) AS connections
+    """WITH c AS (SELECT l_partkey AS id, CAST(sum(CASE WHEN l_linenumber % 2 = 1 THEN 2 ELSE 1 END) AS BIGINT) AS connections
            FROM lineitem GROUP BY l_partkey)
 SELECT c.id, c.connections, coalesce(p.p_name, 'Unknown') AS name FROM c LEFT JOIN part p ON c.id = p.p_partkey
 WHERE c.connections = (SELECT min(connections) FROM c)""",

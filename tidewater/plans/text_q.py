@@ -49,7 +49,7 @@ def word_count_simple(spark, sf):
 @register(
     "doc_lines",
     """SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE length(line) > 0) AS n_nonempty,
-  max(length(line)) AS longest_line
+  CAST(max(length(line)) AS INTEGER) AS longest_line
 FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents) t GROUP BY doc_id""",
     "F5 F1 F13 A1",
 )

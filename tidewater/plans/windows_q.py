@@ -85,7 +85,7 @@ def lag_diff_lead(spark, sf):
 @register(
     "rolling_7d",
     """SELECT event_id, user_id, ts,
-  sum(CAST(value AS DECIMAL(18,2))) OVER w AS rolling_sum,
+  CAST(sum(CAST(value AS DECIMAL(18,2))) OVER w AS DECIMAL(28,2)) AS rolling_sum,
   count(value) OVER w AS rolling_n,
   CAST(sum(CAST(value AS DECIMAL(18,2))) OVER w AS DOUBLE) / count(value) OVER w AS rolling_avg
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts
