@@ -47,6 +47,7 @@ def all_queries() -> dict[str, Query]:
         quality_q,
         similarity_q,
         streaming_q,
+        io_q,
     )
 
     return dict(_QUERIES)
