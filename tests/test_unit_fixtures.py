@@ -1,4 +1,4 @@
-"""Literal fixtures (FIXTURES.md §A) with the expected rows stated by the reference."""
+"""Literal fixtures (FIXTURES.md §A, built in memory with createDataFrame — S11) with the expected rows stated by the reference."""
 
 import datetime as dt
 
