@@ -117,3 +117,30 @@ def test_keep_one_per_key_is_minimum(spark, data):
     for k, o, t in data:
         want[k] = min(want.get(k, (o, t)), (o, t))
     assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 20 * 86400), st.integers(-50, 50)),
+                min_size=1, max_size=40))
+def test_rolling_mean_matches_plain_range_window(spark, evs):
+    # include exact 7-day distances: the look-back is inclusive
+    evs = evs + [(u, s + 7 * 86400, v) for u, s, v in evs[:3]]
+    df = _df(spark, evs).withColumn("v", F.col("v").cast("decimal(18,2)"))
+    two = windows.rolling_mean(df, "u", "ts", F.col("v"), "eid", days=7, chunk_seconds=86400)
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    w = Window.partitionBy("u").orderBy(micros).rangeBetween(-7 * 86_400_000_000, 0)
+    plain = df.select("eid", F.sum("v").over(w).alias("s"), F.count("v").over(w).alias("n"))
+    a = {r.eid: (r.rolling_sum, r.rolling_n) for r in two.collect()}
+    b = {r.eid: (r.s, r.n) for r in plain.collect()}
+    assert a == b
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.none(), st.integers(0, 4))),
+                min_size=1, max_size=40))
+def test_rank_all_matches_window_functions(spark, data):
+    df = spark.createDataFrame([(g, o, i) for i, (g, o) in enumerate(data)], "g string, o long, i long")
+    two = windows.rank_all(df, "g", ["o"])
+    w = Window.partitionBy("g").orderBy("o")
+    plain = df.select("i", F.rank().over(w).alias("r"), F.dense_rank().over(w).alias("d"))
+    assert {r.i: (r.rnk, r.dense_rnk) for r in two.collect()} == {r.i: (r.r, r.d) for r in plain.collect()}

@@ -57,45 +57,79 @@ def top_n_per_group(
     return src.withColumn(rank_col, ranker().over(w2)).filter(F.col(rank_col) <= n)
 
 
-def rank_all(df: DataFrame, keys: Sequence[str] | str, order: Sequence[Column]) -> DataFrame:
-    """``rank`` and ``dense_rank`` for every row (no limit, so no salted pre-round)."""
-    w = Window.partitionBy(*as_cols(keys)).orderBy(*order)
-    return df.withColumns({"rnk": F.rank().over(w), "dense_rnk": F.dense_rank().over(w)})
+def rank_all(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str]) -> DataFrame:
+    """``rank`` and ``dense_rank`` (ascending ``order`` columns) for every row.
+
+    rank = 1 + number of rows of the group with a smaller order key; dense_rank =
+    position of the key among the group's distinct keys.  Both come from a count per
+    ``(group, order key)`` — a map-side pre-aggregated table, one row per distinct key —
+    ranked with a small window and joined back (NULL-safe on the order columns).  A hot
+    group costs one row per distinct order value, not one per input row.
+    """
+    keys = as_cols(keys)
+    order = as_cols(order)
+    counts = df.groupBy(*keys, *order).agg(F.count(F.lit(1)).alias("__n"))
+    w = Window.partitionBy(*keys).orderBy(*order)
+    ranks = counts.select(
+        *[F.col(c).alias(f"__k_{c}") for c in keys + order],
+        (F.coalesce(F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + 1)
+        .cast("int").alias("rnk"),
+        F.row_number().over(w).alias("dense_rnk"),
+    )
+    cond = None
+    for c in keys + order:
+        e = F.col(c).eqNullSafe(F.col(f"__k_{c}"))
+        cond = e if cond is None else cond & e
+    return df.join(ranks, cond, "inner").drop(*[f"__k_{c}" for c in keys + order])
 
 
 def _chunk(ts_seconds: Column, chunk_seconds: int) -> Column:
     return F.floor(ts_seconds / F.lit(chunk_seconds)).cast("long")
 
 
-def running_total(
+def running_totals(
     df: DataFrame,
     entity: str,
     order_col: str,
-    value: Column,
-    out: str = "running_total",
+    values: dict[str, Column],
     chunk_seconds: int = 30 * 86400,
 ) -> DataFrame:
-    """``sum(value) OVER (PARTITION BY entity ORDER BY order_col RANGE UNBOUNDED PRECEDING)``.
+    """W3 for several values at once: ``sum(v) OVER (PARTITION BY entity ORDER BY order_col
+    RANGE UNBOUNDED PRECEDING)`` per output name.
 
     Peers (equal ``order_col``) share a total, exactly as the RANGE frame does.
     ``order_col`` is a timestamp; chunks are ``chunk_seconds`` wide.
     """
     sec = epoch_seconds(order_col)
-    d = df.withColumns({"__v": value, "__chunk": _chunk(sec, chunk_seconds)})
+    tmp = {f"__v{i}": c for i, c in enumerate(values.values())}
+    d = df.withColumns({**tmp, "__chunk": _chunk(sec, chunk_seconds)})
     w_local = (
         Window.partitionBy(entity, "__chunk")
         .orderBy(F.col(order_col))
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    d = d.withColumn("__local", F.sum("__v").over(w_local))
-    summary = d.groupBy(entity, "__chunk").agg(F.sum("__v").alias("__tot"))
+    d = d.withColumns({f"__l{k[3:]}": F.sum(k).over(w_local) for k in tmp})
+    summary = d.groupBy(entity, "__chunk").agg(*[F.sum(k).alias(f"__t{k[3:]}") for k in tmp])
     w_chunks = Window.partitionBy(entity).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
-    summary = summary.withColumn("__offset", F.coalesce(F.sum("__tot").over(w_chunks), F.lit(0)))
-    return (
-        d.join(summary.select(entity, "__chunk", "__offset"), [entity, "__chunk"], "inner")
-        .withColumn(out, F.col("__offset") + F.col("__local"))
-        .drop("__v", "__chunk", "__local", "__offset")
+    summary = summary.select(
+        entity, "__chunk",
+        *[F.coalesce(F.sum(f"__t{k[3:]}").over(w_chunks), F.lit(0)).alias(f"__o{k[3:]}") for k in tmp],
     )
+    out = d.join(summary, [entity, "__chunk"], "inner")
+    out = out.withColumns({name: F.col(f"__o{i}") + F.col(f"__l{i}") for i, name in enumerate(values)})
+    return out.drop("__chunk", *[f"__{p}{i}" for i in range(len(values)) for p in "vlo"])
+
+
+def running_total(
+    df: DataFrame,
+    entity: str,
+    order_col: str,
+    value: Column,
+    out: str = "running_total",
+    chunk_seconds: int = 30 * 86400,
+) -> DataFrame:
+    """Running sum of one value (see :func:`running_totals`)."""
+    return running_totals(df, entity, order_col, {out: value}, chunk_seconds)
 
 
 def lag_lead(
@@ -147,21 +181,40 @@ def rolling_mean(
     entity: str,
     ts: str,
     value: Column,
+    row_id: str,
     days: int = 7,
+    chunk_seconds: int = 86400,
 ) -> DataFrame:
     """Sum / count / mean over ``RANGE BETWEEN INTERVAL days DAYS PRECEDING AND CURRENT ROW``.
 
-    The look-back is inclusive: a row exactly ``days`` days older is inside.  The
-    frame is expressed on epoch microseconds so it works for NTZ and TZ columns.
-    The mean is the exact (decimal) sum divided by the count, as DOUBLE.
+    The look-back is inclusive (a row exactly ``days`` days older is inside).  Computed
+    without a per-entity window: with P(x) = running sum of rows with ``ts <= x``,
+    the frame sum is ``P(t) − P(t − days − 1µs)``.  One probe row per data row, at
+    ``t − days − 1µs`` with value 0, is added to the same ordered stream; both prefix
+    sums come from the two-level :func:`running_totals`, so a hot entity is spread over
+    its time chunks.  ``row_id`` must be unique; the mean is the exact (decimal) sum
+    divided by the count, as DOUBLE.
     """
-    micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    w = Window.partitionBy(entity).orderBy(micros).rangeBetween(-days * 86_400_000_000, 0)
-    s = F.sum(value).over(w)
-    n = F.count(value).over(w)
-    return df.withColumns(
-        {"rolling_sum": s, "rolling_n": n, "rolling_avg": s.cast("double") / n}
+    data = df.withColumns(
+        {"__val": value, "__cnt": F.when(value.isNotNull(), F.lit(1)).otherwise(F.lit(0)), "__probe": F.lit(False)}
+    )
+    probes = df.select(
+        F.col(entity),
+        (F.col(ts) - F.expr(f"INTERVAL {int(days)} DAYS") - F.expr("INTERVAL 1 MICROSECOND")).alias(ts),
+        F.col(row_id),
+        (value * F.lit(0)).alias("__val"),
+        F.lit(0).alias("__cnt"),
+        F.lit(True).alias("__probe"),
     )
+    both = data.unionByName(probes, allowMissingColumns=True)
+    run = running_totals(both, entity, ts, {"__ps": F.col("__val"), "__pn": F.col("__cnt")}, chunk_seconds)
+    back = run.filter("__probe").select(F.col(row_id), F.col("__ps").alias("__qs"), F.col("__pn").alias("__qn"))
+    rows = run.filter("NOT __probe").join(back, row_id)
+    n = F.col("__pn") - F.col("__qn")
+    s = F.when(n > 0, F.col("__ps") - F.coalesce(F.col("__qs"), F.lit(0)))
+    return rows.withColumns(
+        {"rolling_sum": s, "rolling_n": n.cast("long"), "rolling_avg": F.try_divide(s.cast("double"), n)}
+    ).drop("__val", "__cnt", "__probe", "__ps", "__pn", "__qs", "__qn")
 
 
 def sessionize(

@@ -48,7 +48,7 @@ FROM orders""",
 )
 def rank_all(spark, sf):
     o = Tables(spark, sf).orders.select("o_custkey", "o_orderkey", "o_orderpriority")
-    return W.rank_all(o, "o_custkey", [F.col("o_orderpriority")])
+    return W.rank_all(o, "o_custkey", ["o_orderpriority"])
 
 
 @register(
@@ -95,7 +95,7 @@ FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts
 def rolling_7d(spark, sf):
     """7-day rolling mean of event value per user (inclusive look-back)."""
     e = Tables(spark, sf).events.select("event_id", "user_id", "ts", money("value").alias("v"))
-    return W.rolling_mean(e, "user_id", "ts", F.col("v")).drop("v")
+    return W.rolling_mean(e, "user_id", "ts", F.col("v"), "event_id").drop("v")
 
 
 SESSIONS_SQL = """
