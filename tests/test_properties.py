@@ -144,3 +144,15 @@ def test_rank_all_matches_window_functions(spark, data):
     w = Window.partitionBy("g").orderBy("o")
     plain = df.select("i", F.rank().over(w).alias("r"), F.dense_rank().over(w).alias("d"))
     assert {r.i: (r.rnk, r.dense_rnk) for r in two.collect()} == {r.i: (r.r, r.d) for r in plain.collect()}
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 6), st.integers(1, 5)), min_size=1, max_size=40))
+def test_salted_item_similarity_equals_plain(spark, data):
+    from tidewater.operators import similarity as S
+
+    df = spark.createDataFrame(data, "user long, item long, rating long")
+    r = df.groupBy("user", "item").agg(F.sum("rating").alias("rating"))
+    a = sorted(map(tuple, S.item_similarity(r, salt_buckets=3).collect()))
+    b = sorted(map(tuple, S.item_similarity(r).collect()))
+    assert a == b

@@ -50,4 +50,12 @@ def all_queries() -> dict[str, Query]:
         io_q,
     )
 
+    # Queries whose oracle is another query's SQL (same result by construction).
+    for name, same_as in _SHARED_SQL.items():
+        q = _QUERIES[name]
+        if q.sql is None:
+            _QUERIES[name] = Query(q.name, q.build, _QUERIES[same_as].sql, q.ids)
     return dict(_QUERIES)
+
+
+_SHARED_SQL = {"item_similarity_salted": "item_similarity"}

@@ -40,6 +40,14 @@ def item_similarity(spark, sf):
     return S.item_similarity(_ratings(spark, sf))
 
 
+@register("item_similarity_salted", None, "C6 J10 J7 A22")
+def item_similarity_salted(spark, sf):
+    """C6 with explicit salting: every user's pairs are spread over 4 ``(user, salt)``
+    reducers (left rows salted by item hash, right rows replicated per salt).  Same
+    result as ``item_similarity``; the SQL oracle is shared."""
+    return S.item_similarity(_ratings(spark, sf), salt_buckets=4)
+
+
 @register(
     "similar_items",
     f"""WITH {_RATINGS_SQL},
