@@ -156,3 +156,15 @@ def test_salted_item_similarity_equals_plain(spark, data):
     a = sorted(map(tuple, S.item_similarity(r, salt_buckets=3).collect()))
     b = sorted(map(tuple, S.item_similarity(r).collect()))
     assert a == b
+
+
+@SETTINGS
+@given(st.lists(st.text(alphabet="0123456789-/+ ", min_size=0, max_size=12), min_size=1, max_size=60))
+def test_guarded_date_parse_equals_plain_parse(spark, texts):
+    from tidewater.functions import clean as C
+
+    texts = texts + ["2024-01-05", "-2024-01-05", "2024/01/05", "01-05-2024", "2024-02-30", "0024-01-05"]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    plain = F.coalesce(*[F.try_to_timestamp(F.col("s"), F.lit(f)).cast("date") for f in C.DATE_FORMATS])
+    out = df.select(C.parse_date(F.col("s")).alias("a"), plain.alias("b")).collect()
+    assert all(r.a == r.b for r in out)

@@ -20,6 +20,14 @@ from pyspark.sql.types import StringType
 NULL_TOKENS = ["NULL", "null", "N/A", "NA", ""]
 # Accepted date layouts, tried in this order.
 DATE_FORMATS = ["yyyy-MM-dd", "yyyy/MM/dd", "MM-dd-yyyy"]
+# Shape of text each layout can possibly parse (a superset of what Spark's parser
+# accepts: 4-digit year, optionally negative, 2-digit month and day, ASCII digits).
+# Text of another shape skips the parse attempt, whose failure is costly.
+_DATE_SHAPES = {
+    "yyyy-MM-dd": r"^-?[0-9]{4}-[0-9]{2}-[0-9]{2}$",
+    "yyyy/MM/dd": r"^-?[0-9]{4}/[0-9]{2}/[0-9]{2}$",
+    "MM-dd-yyyy": r"^[0-9]{2}-[0-9]{2}--?[0-9]{4}$",
+}
 # Boolean words.
 TRUE_WORDS = ["TRUE", "YES", "Y"]
 FALSE_WORDS = ["FALSE", "NO", "N"]
@@ -63,7 +71,13 @@ def tidy_strings(df: DataFrame, null_tokens: bool = False) -> DataFrame:
 
 def parse_date(c: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
     """first layout that parses wins; impossible or unknown dates → NULL."""
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)).cast("date") for f in formats])
+
+    def attempt(f):
+        parsed = F.try_to_timestamp(c, F.lit(f)).cast("date")
+        shape = _DATE_SHAPES.get(f)
+        return F.when(c.rlike(shape), parsed) if shape else parsed
+
+    return F.coalesce(*[attempt(f) for f in formats])
 
 
 def to_bool(c: Column) -> Column:
