@@ -166,5 +166,6 @@ def test_guarded_date_parse_equals_plain_parse(spark, texts):
     texts = texts + ["2024-01-05", "-2024-01-05", "2024/01/05", "01-05-2024", "2024-02-30", "0024-01-05"]
     df = spark.createDataFrame([(t,) for t in texts], "s string")
     plain = F.coalesce(*[F.try_to_timestamp(F.col("s"), F.lit(f)).cast("date") for f in C.DATE_FORMATS])
-    out = df.select(C.parse_date(F.col("s")).alias("a"), plain.alias("b")).collect()
-    assert all(r.a == r.b for r in out)
+    # compared inside Spark: a negative year cannot be turned into a Python date
+    out = df.select(C.parse_date(F.col("s")).alias("a"), plain.alias("b"))
+    assert out.filter(~F.col("a").eqNullSafe(F.col("b"))).count() == 0
