@@ -155,7 +155,8 @@ def test_salted_item_similarity_equals_plain(spark, data):
     r = df.groupBy("user", "item").agg(F.sum("rating").alias("rating"))
     a = sorted(map(tuple, S.item_similarity(r, salt_buckets=3).collect()))
     b = sorted(map(tuple, S.item_similarity(r).collect()))
-    assert a == b
+    c = sorted(map(tuple, S.item_similarity(r, salt_buckets=3, hot_threshold=2).collect()))
+    assert a == b == c
 
 
 @SETTINGS

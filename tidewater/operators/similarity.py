@@ -10,9 +10,9 @@ keep every sum exact (BIGINT), so scores are reproducible bit for bit.
 * :func:`item_similarity` (C6) materialises the full pair table, which is by
   definition quadratic in items per user.  The self-join feeds a partial
   aggregate in the same stage, so pair rows are never written or shuffled
-  un-aggregated; AQE's skew-join split divides a hot user's partition across
-  tasks, and ``salt_buckets`` additionally spreads every user's pairs over
-  ``(user, salt)`` reducers.
+  un-aggregated.  Users with more ratings than ``hot_threshold`` have their pairs
+  spread over ``(user, salt)`` reducers (others are untouched); AQE's skew-join
+  split remains on as a second line of defence.
 """
 
 from __future__ import annotations
@@ -38,19 +38,50 @@ def ratings_from_orders(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
-def item_similarity(ratings: DataFrame, salt_buckets: int = 1) -> DataFrame:
+def item_similarity(
+    ratings: DataFrame,
+    salt_buckets: int = 1,
+    hot_threshold: int | None = None,
+    max_hot_users: int = 1_000_000,
+) -> DataFrame:
     """Every co-rated item pair ``item1 < item2`` with sums, count and cosine score.
 
     The ``item1 < item2`` residual sits in the join condition (J7), so Catalyst
     evaluates it inside the join rather than after it.
+
+    Hot users: a user with k ratings yields k²/2 pairs, all produced by the task that
+    owns the user.  With ``salt_buckets > 1`` the left rows get salt = hash(item) mod n
+    and the right rows are replicated once per salt, so those pairs are produced by n
+    reducers.  ``hot_threshold`` restricts this to users with more than that many
+    ratings (found by a pre-aggregated count per user; the hot-user list is
+    broadcast only after a size check): other users keep salt 0 and are not
+    replicated.  Every variant yields exactly the same rows.
     """
     r1 = ratings.select(F.col("user"), F.col("item").alias("item1"), F.col("rating").alias("x"))
     r2 = ratings.select(F.col("user").alias("user_b"), F.col("item").alias("item2"), F.col("rating").alias("y"))
     if salt_buckets > 1:
-        # Left rows carry salt = hash(item) mod n; right rows are replicated once per salt
-        # value, so one user's pairs are produced by n reducers instead of one.
-        r1 = r1.withColumn("salt", F.pmod(F.xxhash64("item1"), F.lit(salt_buckets)))
-        r2 = r2.withColumn("salt_b", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salt_buckets - 1).cast("long"))))
+        n = F.lit(salt_buckets)
+        all_salts = F.sequence(F.lit(0).cast("long"), F.lit(salt_buckets - 1).cast("long"))
+        if hot_threshold is not None:
+            from tidewater.operators.joins import bounded_broadcast
+
+            hot = (
+                ratings.groupBy("user").agg(F.count(F.lit(1)).alias("__k"))
+                .filter(F.col("__k") > hot_threshold)
+                .select(F.col("user").alias("__hot_user"), F.lit(True).alias("__hot"))
+            )
+            hot = bounded_broadcast(hot, max_hot_users)
+            r1 = r1.join(hot, F.col("user") == F.col("__hot_user"), "left").drop("__hot_user")
+            r2 = r2.join(hot, F.col("user_b") == F.col("__hot_user"), "left").drop("__hot_user")
+            is_hot1 = F.coalesce(F.col("__hot"), F.lit(False))
+            r1 = r1.withColumn("salt", F.when(is_hot1, F.pmod(F.xxhash64("item1"), n)).otherwise(F.lit(0).cast("long"))).drop("__hot")
+            is_hot2 = F.coalesce(F.col("__hot"), F.lit(False))
+            r2 = r2.withColumn(
+                "salt_b", F.explode(F.when(is_hot2, all_salts).otherwise(F.array(F.lit(0).cast("long"))))
+            ).drop("__hot")
+        else:
+            r1 = r1.withColumn("salt", F.pmod(F.xxhash64("item1"), n))
+            r2 = r2.withColumn("salt_b", F.explode(all_salts))
         cond = (F.col("user") == F.col("user_b")) & (F.col("salt") == F.col("salt_b")) & (F.col("item1") < F.col("item2"))
     else:
         cond = (F.col("user") == F.col("user_b")) & (F.col("item1") < F.col("item2"))
