@@ -335,3 +335,25 @@ def _etl(spark, sf):
         F.col("c_custkey").alias("customer_id"), F.col("n_name").alias("city"), F.col("c_mktsegment").alias("segment")
     )
     return models.sales_etl(orders, customers)
+
+
+@register(
+    "largest_smallest_orders",
+    """(SELECT 'largest' AS side, o_orderkey, CAST(o_totalprice AS DECIMAL(18,2)) AS amount FROM orders
+    ORDER BY o_totalprice DESC, o_orderkey LIMIT 5)
+UNION ALL
+(SELECT 'smallest' AS side, o_orderkey, CAST(o_totalprice AS DECIMAL(18,2)) AS amount FROM orders
+    ORDER BY o_totalprice, o_orderkey LIMIT 5)
+UNION ALL
+(SELECT 'first' AS side, o_orderkey, CAST(o_totalprice AS DECIMAL(18,2)) AS amount FROM orders
+    ORDER BY o_orderkey LIMIT 3)""",
+    "O4 O5 O7 O2",
+)
+def largest_smallest_orders(spark, sf):
+    """The n largest and smallest orders and the first 3 by key — each a
+    ``TakeOrderedAndProject`` (per-task top-n, then a merge of n × tasks rows)."""
+    o = Tables(spark, sf).orders.select("o_orderkey", money("o_totalprice").alias("amount"))
+    big = agg.top_k(o, [F.col("amount").desc(), F.col("o_orderkey")], 5).withColumn("side", F.lit("largest"))
+    small = agg.top_k(o, [F.col("amount"), F.col("o_orderkey")], 5).withColumn("side", F.lit("smallest"))
+    first = agg.top_k(o, [F.col("o_orderkey")], 3).withColumn("side", F.lit("first"))
+    return big.unionByName(small).unionByName(first).select("side", "o_orderkey", "amount")

@@ -129,3 +129,36 @@ def file_name_counts(spark, sf):
     # reads nothing but the corrupt-record column of a raw CSV scan.
     tagged = good.filter(F.col("file_name").isNotNull()).withColumn("source", F.lit("events"))
     return tagged.groupBy("source").agg(F.count("event_id").alias("n"))
+
+
+@register(
+    "table_roundtrip_countries",
+    """WITH c AS (SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN 'USA' WHEN 1 THEN 'USA' WHEN 2 THEN 'USA'
+                  WHEN 3 THEN 'Canada' ELSE 'Mexico' END AS country, c_acctbal FROM customer)
+SELECT country, count(*) AS customers, CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS balance
+FROM c GROUP BY country""",
+    "K3 K4 K8 K9 K13 S14 S15",
+)
+def table_roundtrip_countries(spark, sf):
+    """K4 database, K3/K8 create-or-replace table (external location in the shared
+    checkpoint folder), K13 comments, S14 read back by name, K9 drop."""
+    import uuid
+
+    run = new_run_dir(spark, "tables")
+    db = f"tw_{uuid.uuid4().hex[:8]}"
+    sinks.create_database(spark, db, location=f"{run}/db")
+    c = Tables(spark, sf).customer.selectExpr(
+        "c_custkey",
+        "CASE c_custkey % 5 WHEN 0 THEN 'USA' WHEN 1 THEN 'USA' WHEN 2 THEN 'USA' WHEN 3 THEN 'Canada' ELSE 'Mexico' END AS country",
+        "CAST(c_acctbal AS DECIMAL(18,2)) AS c_acctbal",
+    )
+    sinks.save_table(c, f"{db}.customers")
+    sinks.describe(spark, f"{db}.customers", "Cleaned customers", {"country": "canonical country"})
+    back = readers.read_table(spark, f"{db}.customers")
+    # Materialise the small result before the table is dropped (it lives in the shared folder).
+    out = back.groupBy("country").agg(
+        F.count(F.lit(1)).alias("customers"), F.sum("c_acctbal").cast("decimal(28,2)").alias("balance")
+    ).checkpoint(eager=True)
+    sinks.drop_table(spark, f"{db}.customers")
+    spark.sql(f"DROP DATABASE IF EXISTS {db}")
+    return out
