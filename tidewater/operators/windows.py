@@ -208,13 +208,22 @@ def rolling_mean(
     )
     both = data.unionByName(probes, allowMissingColumns=True)
     run = running_totals(both, entity, ts, {"__ps": F.col("__val"), "__pn": F.col("__cnt")}, chunk_seconds)
-    back = run.filter("__probe").select(F.col(row_id), F.col("__ps").alias("__qs"), F.col("__pn").alias("__qn"))
-    rows = run.filter("NOT __probe").join(back, row_id)
+    # Each row id has exactly two rows (data, probe): fold them with one aggregate — a
+    # single pass over the running totals instead of a self-join of two filtered copies.
+    probe = F.col("__probe")
+    keep = [c for c in df.columns if c != row_id]
+    rows = run.groupBy(row_id).agg(
+        *[F.max(F.when(~probe, F.col(c))).alias(c) for c in keep],
+        F.max(F.when(~probe, F.col("__ps"))).alias("__ps"),
+        F.max(F.when(~probe, F.col("__pn"))).alias("__pn"),
+        F.max(F.when(probe, F.col("__ps"))).alias("__qs"),
+        F.max(F.when(probe, F.col("__pn"))).alias("__qn"),
+    )
     n = F.col("__pn") - F.col("__qn")
     s = F.when(n > 0, F.col("__ps") - F.coalesce(F.col("__qs"), F.lit(0)))
     return rows.withColumns(
         {"rolling_sum": s, "rolling_n": n.cast("long"), "rolling_avg": F.try_divide(s.cast("double"), n)}
-    ).drop("__val", "__cnt", "__probe", "__ps", "__pn", "__qs", "__qn")
+    ).drop("__ps", "__pn", "__qs", "__qn").select(*df.columns, "rolling_sum", "rolling_n", "rolling_avg")
 
 
 def sessionize(

@@ -83,10 +83,11 @@ def similar_items(spark, sf):
     # re-running the similarity pipeline once per reference.
     top = S.similar_items(ratings, target, SCORE_THRESHOLD, MIN_PAIRS, TOP_K).checkpoint(eager=True)
     # Names: broadcast the ≤ 2k keys (proven bound) and semi-join the part table
-    # against them — one streaming pass over part, no shuffle of it.
+    # against them — one streaming pass over part, no shuffle of it; the few matching
+    # rows are checkpointed so both name columns are read from them.
     part = Tables(spark, sf).part.select("p_partkey", "p_name")
     keys = top.select(F.col("t_item").alias("p_partkey")).union(top.select(F.col("similar_item").alias("p_partkey")))
-    names = part.join(F.broadcast(keys), "p_partkey", "left_semi")
+    names = part.join(F.broadcast(keys), "p_partkey", "left_semi").checkpoint(eager=True)
     pt = names.select(F.col("p_partkey").alias("t_item"), F.col("p_name").alias("target_name"))
     ps = names.select(F.col("p_partkey").alias("similar_item"), F.col("p_name").alias("similar_name"))
     out = top.join(pt, "t_item", "left").join(ps, "similar_item", "left")
