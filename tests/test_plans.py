@@ -60,7 +60,15 @@ def test_anti_join_written_as_anti(spark):
     assert "LeftAnti" in p
 
 
-def test_similar_items_has_no_all_pairs_self_join(spark):
+def test_similar_items_reads_checkpoint_and_pairs_only_with_target(spark):
     p = plan(E.queries()["similar_items"](spark, SF), "simple")
-    # the only join of ratings with ratings carries the target filter (a broadcast one-row side)
-    assert "LeftSemi" in p  # names are fetched by a semi join against the top-k keys
+    # the heavy pipeline ran once into the checkpoint; the report only reads those rows
+    assert "Scan ExistingRDD" in p and "lineitem" not in p
+    from tidewater.operators import similarity as S
+
+    t = Tables(spark, SF)
+    r = S.ratings_from_orders(t.lineitem, t.orders)
+    op = plan(S.similar_items(r, S.most_rated_item(r), 0.97, 1, 10), "simple")
+    assert "CartesianProduct" not in op and "NestedLoop" not in op
+    # the target side is a broadcast one-row relation
+    assert "TakeOrderedAndProject(limit=1" in op
