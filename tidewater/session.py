@@ -60,7 +60,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         # Unset: only in tests / local runs.  Never relied upon on a cluster.
         path = tempfile.mkdtemp(prefix="tidewater-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, path)
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server side owns the checkpoint setting
+        return path
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path

@@ -22,11 +22,12 @@ def spread_if_narrow(df: DataFrame) -> DataFrame:
     fires for narrow inputs.  Round-robin repartitioning sorts locally first, so a
     recomputed task after executor loss produces the same rows.
     """
-    sc = df.sparkSession.sparkContext
-    target = sc.defaultParallelism
-    if df.rdd.getNumPartitions() * 2 <= target:
-        return df.repartition(target)
-    return df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        narrow = df.rdd.getNumPartitions() * 2 <= target
+    except Exception:  # e.g. a Spark Connect session: no RDD view, leave the plan alone
+        return df
+    return df.repartition(target) if narrow else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
