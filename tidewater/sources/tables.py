@@ -13,7 +13,10 @@ TABLE_NAMES = (
 _SPREAD_MIN_ROWS_HINT = {"region", "nation", "supplier", "benchmark", "labels"}
 
 
-def spread_if_narrow(df: DataFrame) -> DataFrame:
+_NARROW: dict[tuple[str, int], bool] = {}
+
+
+def spread_if_narrow(df: DataFrame, key: str | None = None) -> DataFrame:
     """Round-robin a scan that yields fewer splits than the cluster can run at once.
 
     A Parquet file with a single row group is one split, so every row-level
@@ -21,10 +24,19 @@ def spread_if_narrow(df: DataFrame) -> DataFrame:
     large inputs have many more splits than cores and this is a no-op; it only
     fires for narrow inputs.  Round-robin repartitioning sorts locally first, so a
     recomputed task after executor loss produces the same rows.
+
+    The split count is remembered per ``key`` (the path): it only steers the layout,
+    so a stale entry can cost speed but never change a result.
     """
     try:
         target = df.sparkSession.sparkContext.defaultParallelism
-        narrow = df.rdd.getNumPartitions() * 2 <= target
+        memo = (key, target) if key else None
+        if memo is not None and memo in _NARROW:
+            narrow = _NARROW[memo]
+        else:
+            narrow = df.rdd.getNumPartitions() * 2 <= target
+            if memo is not None:
+                _NARROW[memo] = narrow
     except Exception:  # e.g. a Spark Connect session: no RDD view, leave the plan alone
         return df
     return df.repartition(target) if narrow else df
@@ -34,9 +46,10 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> D
     """Read one Parquet table; Catalyst prunes columns and pushes filters into the scan."""
     if name not in TABLE_NAMES:
         raise KeyError(f"unknown table {name!r}")
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
     if spread and name not in _SPREAD_MIN_ROWS_HINT:
-        df = spread_if_narrow(df)
+        df = spread_if_narrow(df, path)
     return df
 
 
