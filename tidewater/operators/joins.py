@@ -43,8 +43,12 @@ def lookup(
     Replaces a driver-side dictionary + Python UDF with a (checked) broadcast left
     join and ``coalesce``: the work stays in the JVM and in whole-stage codegen.
     """
+    from tidewater.operators.aggregate import keep_one_per_key
+
     keys = as_cols(key)
-    d = dim.select(*keys, *value_cols).dropDuplicates(keys)
+    # A repeated dimension key keeps the smallest value tuple (deterministic, unlike
+    # dropDuplicates), so every fact row matches at most one dimension row.
+    d = keep_one_per_key(dim.select(*keys, *value_cols), keys, list(value_cols))
     out = fact.join(bounded_broadcast(d, max_rows), keys, "left")
     if default is not None:
         out = out.withColumns({c: F.coalesce(F.col(c), F.lit(default)) for c in value_cols})
