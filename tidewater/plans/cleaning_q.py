@@ -273,15 +273,6 @@ SELECT * FROM e WHERE product_id IS NOT NULL AND product_name IS NOT NULL AND ca
   AND price IS NOT NULL AND cost IS NOT NULL AND created_date IS NOT NULL AND is_active IS NOT NULL"""
 
 
-def _cleaned(spark, sf):
-    t = Tables(spark, sf)
-    return (
-        cleaning.clean_orders(raw_orders(t.lineitem, t.orders)),
-        cleaning.clean_customers(raw_customers(t.customer)),
-        cleaning.clean_products(raw_products(t.part)),
-    )
-
-
 @register("clean_orders", CLEAN_ORDERS_SQL, "C2 S8 P16 P17 P19 P23 P24 F6 F8 F9 F10 F14 F15 F18 F19 F20 F22 F31 A16")
 def clean_orders_q(spark, sf):
     t = Tables(spark, sf)
@@ -313,7 +304,13 @@ FROM co JOIN cc ON co.customer_id = cc.customer_id JOIN cp ON co.product_id = cp
     "C4 C5 A18 J2 J11",
 )
 def clean_revenue_by_category(spark, sf):
-    """C4 + C5 on the cleaned tables: revenue and order count per category."""
-    o, c, p = _cleaned(spark, sf)
-    d = cleaning.order_details(o, c, p)
+    """C1–C3 written once as Parquet (shared checkpoint folder), then C4 + C5 read from
+    those files: revenue and order count per category."""
+    from tidewater.streaming.events import new_run_dir
+
+    t = Tables(spark, sf)
+    tables = cleaning.publish_clean_tables(
+        raw_orders(t.lineitem, t.orders), raw_customers(t.customer), raw_products(t.part), new_run_dir(spark, "clean")
+    )
+    d = cleaning.order_details(tables["orders"], tables["customers"], tables["products"])
     return d.groupBy("category").agg(F.sum("total_amount").alias("total_revenue"), F.count("order_id").alias("total_orders"))
