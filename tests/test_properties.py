@@ -170,3 +170,14 @@ def test_guarded_date_parse_equals_plain_parse(spark, texts):
     # compared inside Spark: a negative year cannot be turned into a Python date
     out = df.select(C.parse_date(F.col("s")).alias("a"), plain.alias("b"))
     assert out.filter(~F.col("a").eqNullSafe(F.col("b"))).count() == 0
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.none(), st.integers(0, 40))),
+                min_size=1, max_size=50), st.integers(1, 9))
+def test_chunked_rank_all_matches_window_functions(spark, data, width):
+    df = spark.createDataFrame([(g, o, i) for i, (g, o) in enumerate(data)], "g string, o long, i long")
+    two = windows.rank_all(df, "g", ["o"], chunk=F.floor(F.col("o") / width))
+    w = Window.partitionBy("g").orderBy("o")
+    plain = df.select("i", F.rank().over(w).alias("r"), F.dense_rank().over(w).alias("d"))
+    assert {r.i: (r.rnk, r.dense_rnk) for r in two.collect()} == {r.i: (r.r, r.d) for r in plain.collect()}

@@ -51,6 +51,23 @@ def rank_all(spark, sf):
     return W.rank_all(o, "o_custkey", ["o_orderpriority"])
 
 
+@register(
+    "rank_by_date",
+    """SELECT o_custkey, o_orderkey, o_orderdate,
+  CAST(rank() OVER (PARTITION BY o_custkey ORDER BY o_orderdate) AS INTEGER) AS rnk,
+  CAST(dense_rank() OVER (PARTITION BY o_custkey ORDER BY o_orderdate) AS INTEGER) AS dense_rnk
+FROM orders""",
+    "W2 O1",
+)
+def rank_by_date(spark, sf):
+    """W2 on a many-valued order key: ranks per customer by order date, computed per
+    (customer, month) and offset by earlier months — a customer with a third of all
+    orders is spread over its months."""
+    o = Tables(spark, sf).orders.select("o_custkey", "o_orderkey", "o_orderdate")
+    month = F.date_trunc("month", F.col("o_orderdate").cast("timestamp"))
+    return W.rank_all(o, "o_custkey", ["o_orderdate"], chunk=month)
+
+
 @register(
     "running_total",
     """SELECT o_custkey, o_orderkey, o_orderdate,
@@ -95,7 +112,9 @@ FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts
 def rolling_7d(spark, sf):
     """7-day rolling mean of event value per user (inclusive look-back)."""
     e = Tables(spark, sf).events.select("event_id", "user_id", "ts", money("value").alias("v"))
-    return W.rolling_mean(e, "user_id", "ts", F.col("v"), "event_id").drop("v")
+    out = W.rolling_mean(e, "user_id", "ts", F.col("v"), "event_id").drop("v")
+    # same type as a plain sum over DECIMAL(18,2) (the values always fit)
+    return out.withColumn("rolling_sum", F.col("rolling_sum").cast("decimal(28,2)"))
 
 
 SESSIONS_SQL = """
