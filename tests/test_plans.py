@@ -72,3 +72,19 @@ def test_similar_items_reads_checkpoint_and_pairs_only_with_target(spark):
     assert "CartesianProduct" not in op and "NestedLoop" not in op
     # the target side is a broadcast one-row relation
     assert "TakeOrderedAndProject(limit=1" in op
+
+
+def test_pivot_with_fixed_values_runs_no_job_at_build_time(spark):
+    from tidewater.operators import aggregate as agg
+
+    e = Tables(spark, SF).events
+    tracker = spark.sparkContext.statusTracker()
+    grp = "tw-pivot-check"
+    spark.sparkContext.setJobGroup(grp, "pivot build")
+    try:
+        agg.pivot_sum(e, "user_id", "event_type", ["click", "view"], F.count(F.lit(1)))
+        assert tracker.getJobIdsForGroup(grp) == []  # values given: no distinct-values job
+        e.groupBy("user_id").pivot("event_type").count()
+        assert len(tracker.getJobIdsForGroup(grp)) >= 1  # values inferred: one extra job
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

@@ -181,3 +181,25 @@ def test_chunked_rank_all_matches_window_functions(spark, data, width):
     w = Window.partitionBy("g").orderBy("o")
     plain = df.select("i", F.rank().over(w).alias("r"), F.dense_rank().over(w).alias("d"))
     assert {r.i: (r.rnk, r.dense_rnk) for r in two.collect()} == {r.i: (r.r, r.d) for r in plain.collect()}
+
+
+def test_clean_orders_is_idempotent(spark):
+    from tidewater.plans import cleaning
+    from tidewater.plans.cleaning_q import raw_orders
+    from tidewater.sources.tables import Tables
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    once = cleaning.clean_orders(raw_orders(t.lineitem, t.orders)).cache()
+    as_raw = once.select(
+        "order_id", "customer_id", "product_id",
+        F.date_format("order_date", "yyyy-MM-dd").alias("order_date"),
+        F.date_format("ship_date", "yyyy-MM-dd").alias("ship_date"),
+        "quantity",
+        F.col("unit_price").cast("string").alias("unit_price"),
+        F.col("discount_pct").cast("string").alias("discount_pct"),
+        F.col("total_amount").cast("string").alias("total_amount"),
+        "payment_method", "order_status",
+    )
+    twice = cleaning.clean_orders(as_raw)
+    assert once.count() > 0
+    assert once.exceptAll(twice).count() == 0 and twice.exceptAll(once).count() == 0
