@@ -117,8 +117,8 @@ def sales_etl(orders: DataFrame, customers: DataFrame, fill_amount=25) -> dict[s
     """Fill → drop → dedup → join → three aggregates.
 
     ``orders``: order_id, customer_id, date, amount.  ``customers``: customer_id,
-    city, segment.  Returns the three reports; ``write_partitioned`` (K2) writes
-    ``by_city`` partitioned by city.
+    city, segment.  Returns the three reports; ``sources.sinks.write_parquet(..., partition_by=["city"])``
+    (K2) writes ``by_city`` partitioned by city.
     """
     from tidewater.operators.aggregate import keep_one_per_key
 
