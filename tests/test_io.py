@@ -106,3 +106,7 @@ def test_event_json_roundtrip_and_late_rows(spark, tmp_dir):
     assert log.filter("event_type = 'navigation'").first().n == 1
     bad = S.parse_events(spark.read.text(inp)).filter(~F.col("is_valid"))
     assert bad.count() == 1
+    S.run_with_quarantine(S.read_event_stream(spark, inp), os.path.join(tmp_dir, "good"),
+                          os.path.join(tmp_dir, "bad"), os.path.join(tmp_dir, "ck3"))
+    assert spark.read.parquet(os.path.join(tmp_dir, "good")).count() == 5
+    assert [r.value for r in spark.read.text(os.path.join(tmp_dir, "bad")).collect()] == ["not json"]

@@ -157,6 +157,15 @@ def run_to_files(stream: DataFrame, out: str, checkpoint: str, fmt: str = "parqu
     q.awaitTermination()
 
 
+def run_with_quarantine(events: DataFrame, good_out: str, bad_out: str, checkpoint: str) -> None:
+    """Split a parsed event stream — valid events to ``good_out`` (Parquet), malformed
+    raw values to ``bad_out`` (text) — each through its own exactly-once file sink."""
+    good = events.filter("is_valid").drop("raw", "is_valid")
+    bad = events.filter("NOT is_valid").select(F.col("raw").alias("value"))
+    run_to_files(good, good_out, f"{checkpoint}/good", fmt="parquet")
+    run_to_files(bad, bad_out, f"{checkpoint}/bad", fmt="text")
+
+
 def new_run_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint dir for one streaming run."""
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
