@@ -14,9 +14,9 @@ are therefore computed in two levels:
 
 Both levels are exact: peers of a RANGE frame share an ordering key and hence a
 chunk, and the cross-chunk terms are folded in from the summary.
-Top-n per group is made skew-safe by a salted first round (top-n of each salt
-bucket, then top-n of the survivors), which is exact for ``row_number``,
-``rank`` and ``dense_rank``.
+Top-n per group relies on Spark's partial ``WindowGroupLimit`` (map-side top-n
+before the shuffle); an optional salted first round is available for plans
+without it.
 """
 
 from __future__ import annotations
@@ -37,14 +37,18 @@ def top_n_per_group(
     order: Sequence[Column],
     n: int = 1,
     method: str = "row_number",
-    salt_buckets: int | None = 16,
+    salt_buckets: int | None = None,
     rank_col: str = "rnk",
 ) -> DataFrame:
     """Rows ranked ≤ n inside each group (``row_number`` needs a unique tie-break).
 
-    With ``salt_buckets`` a first round keeps the top n of every ``(group, salt)``
-    bucket (salt = hash of the row, so retries are deterministic); the second round
-    ranks only those survivors.  Spark plans both rounds with ``WindowGroupLimit``.
+    Spark plans this as a partial ``WindowGroupLimit`` before the shuffle (map-side
+    top-n per group) and a final one after it, so a group holding a third of all rows
+    reaches the shuffle as ≤ n rows per map task (measured in ``SKEW.md``).
+    ``salt_buckets`` adds an explicit first round over ``(group, salt)`` (salt = hash of
+    the row, deterministic on retry) for plans where the partial limit does not apply
+    (e.g. n above ``spark.sql.optimizer.windowGroupLimitThreshold``); it is exact for
+    ``row_number``, ``rank`` and ``dense_rank``.
     """
     keys = as_cols(keys)
     ranker = _RANKERS[method]
