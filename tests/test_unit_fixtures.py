@@ -226,3 +226,15 @@ def test_neighbour_counts_trim_trailing_space(spark):
     p = df.select(*[c.alias(n) for n, c in T.neighbour_count("value").items()])
     g = p.groupBy("id").agg(F.sum("connections").alias("c"))
     assert rows(g.dropna(), "id", "c") == [(1, 3), (2, 1)]
+
+
+def test_similar_items_top_k_per_target(spark):
+    from tidewater.operators import similarity as S
+
+    data = [(u, i, 1 + (u * i) % 4) for u in range(12) for i in range(6) if (u + i) % 3 != 0]
+    r = spark.createDataFrame(data, "user long, item long, rating long")
+    both = S.similar_items(r, spark.createDataFrame([(1,), (2,)], "item long"), -1.0, 0, k=2)
+    got = sorted((x.t_item, x.similar_item) for x in both.collect())
+    one = sorted((x.t_item, x.similar_item) for t in (1, 2)
+                 for x in S.similar_items(r, spark.createDataFrame([(t,)], "item long"), -1.0, 0, k=2).collect())
+    assert got == one and len(got) == 4

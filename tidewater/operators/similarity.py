@@ -102,10 +102,10 @@ def similar_items(
     min_pairs: int,
     k: int = 10,
 ) -> DataFrame:
-    """Top-k items most similar to the target item(s).
+    """Top-k items most similar to each target item.
 
-    ``target`` is a DataFrame with one column ``item`` (one row: the item asked for;
-    building it with Spark keeps the id choice on the executors).  A partner must
+    ``target`` is a DataFrame with one column ``item`` (usually one row: the item asked
+    for; building it with Spark keeps the id choice on the executors).  A partner must
     have ``similarity > score_threshold`` and ``num_pairs > min_pairs``; ties on the
     score are broken by the smaller item id.  The same scores as the full pair
     table (C6) are produced for the target's pairs.
@@ -124,7 +124,11 @@ def similar_items(
     )
     sims = sims.withColumn("score", cosine(F.col("sum_xy"), F.col("sum_xx"), F.col("sum_yy")))
     good = sims.filter((F.col("score") > score_threshold) & (F.col("strength") > min_pairs))
-    return good.orderBy(F.col("score").desc(), F.col("similar_item")).limit(k)
+    # top-k per target (one target: the classic top-k); a partial group limit keeps
+    # each map task's candidates to k per target before the shuffle
+    from tidewater.operators.windows import top_n_per_group
+
+    return top_n_per_group(good, "t_item", [F.col("score").desc(), F.col("similar_item")], k).drop("rnk")
 
 
 def most_rated_item(ratings: DataFrame) -> DataFrame:
