@@ -110,3 +110,19 @@ def test_event_json_roundtrip_and_late_rows(spark, tmp_dir):
                           os.path.join(tmp_dir, "bad"), os.path.join(tmp_dir, "ck3"))
     assert spark.read.parquet(os.path.join(tmp_dir, "good")).count() == 5
     assert [r.value for r in spark.read.text(os.path.join(tmp_dir, "bad")).collect()] == ["not json"]
+    kinds = S.read_event_stream(spark, inp).filter("is_valid").select(
+        F.to_json(F.struct(S.event_kind(F.col("event_type")).alias("kind"), "timestamp")).alias("value"))
+    q = S.publish_stream(kinds, os.path.join(tmp_dir, "ck4"), path=os.path.join(tmp_dir, "pub"), available_now=True)
+    q.awaitTermination()
+    assert spark.read.text(os.path.join(tmp_dir, "pub")).count() == 5
+
+
+def test_persist_scope_releases_blocks(spark):
+    from pyspark import StorageLevel
+
+    from tidewater.operators.layout import persisted
+
+    df = spark.range(1000)
+    with persisted(df) as p:
+        assert p.count() == 1000 and p.storageLevel == StorageLevel.MEMORY_AND_DISK
+    assert df.storageLevel == StorageLevel.NONE

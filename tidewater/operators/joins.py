@@ -83,9 +83,3 @@ def salted_join(
     f = fact.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(salt_buckets)))
     d = dim.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salt_buckets - 1).cast("long"))))
     return f.join(d, [key, "__salt"], how).drop("__salt")
-
-
-def check_foreign_key(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
-    """Q4 helper: non-NULL ``fk`` values of ``child`` that have no ``pk`` in ``parent``."""
-    p = parent.select(F.col(pk).alias("__pk")).distinct()
-    return child.filter(F.col(fk).isNotNull()).join(p, F.col(fk) == F.col("__pk"), "left_anti")

@@ -13,6 +13,7 @@ from tidewater.operators import aggregate as agg
 from tidewater.operators.joins import anti_join, bounded_broadcast, lookup, salted_join
 from tidewater.plans import models
 from tidewater.plans.registry import register
+from tidewater.sources.sinks import register_view
 from tidewater.sources.tables import Tables
 
 NET = "CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(18,2)))"
@@ -252,8 +253,8 @@ def customers_without_urgent_orders_sql(spark, sf):
     """J6 through SQL text over temp views; written as LEFT ANTI JOIN (Catalyst does not
     rewrite ``LEFT JOIN … IS NULL`` into an anti join)."""
     t = Tables(spark, sf)
-    t.customer.createOrReplaceTempView("tw_customer")
-    t.orders.createOrReplaceTempView("tw_orders")
+    register_view(t.customer, "tw_customer")
+    register_view(t.orders, "tw_orders")
     return spark.sql(
         """SELECT c.c_custkey, c.c_name FROM tw_customer c LEFT ANTI JOIN
            (SELECT o_custkey FROM tw_orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'F') o

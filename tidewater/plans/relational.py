@@ -12,6 +12,7 @@ from tidewater.operators import aggregate as agg
 from tidewater.operators import sets
 from tidewater.operators.layout import partition_histogram
 from tidewater.plans.registry import register
+from tidewater.sources.sinks import register_view
 from tidewater.sources.tables import Tables
 
 
@@ -257,7 +258,7 @@ def line_transforms(spark, sf):
 )
 def balance_sql(spark, sf):
     """SQL ``WHERE`` over a temp view, arithmetic projection."""
-    Tables(spark, sf).customer.createOrReplaceTempView("tw_customer_bal")
+    register_view(Tables(spark, sf).customer, "tw_customer_bal")
     return spark.sql("SELECT c_custkey, c_acctbal + 10 AS bal_plus_10 FROM tw_customer_bal WHERE c_acctbal >= 18")
 
 

@@ -72,12 +72,18 @@ def read_event_stream(
 
 
 def publish_stream(
-    stream: DataFrame, checkpoint: str, path: str | None = None, kafka_options: dict[str, str] | None = None
+    stream: DataFrame,
+    checkpoint: str,
+    path: str | None = None,
+    kafka_options: dict[str, str] | None = None,
+    available_now: bool = False,
 ):
     """Publish a ``value`` column continuously — JSON-lines files (file sink,
     exactly-once) or a Kafka topic (at-least-once; needs the connector).  Returns the
     started query."""
     w = stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+    if available_now:
+        w = w.trigger(availableNow=True)
     if kafka_options:
         return w.format("kafka").options(**kafka_options).start()
     return w.format("text").option("path", path).start()
