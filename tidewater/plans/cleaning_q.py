@@ -275,18 +275,18 @@ SELECT * FROM e WHERE product_id IS NOT NULL AND product_name IS NOT NULL AND ca
 
 @register("clean_orders", CLEAN_ORDERS_SQL, "C2 S8 P16 P17 P19 P23 P24 F6 F8 F9 F10 F14 F15 F18 F19 F20 F22 F31 A16")
 def clean_orders_q(spark, sf):
-    t = Tables(spark, sf)
+    t = Tables(spark, sf, spread=True)
     return cleaning.clean_orders(raw_orders(t.lineitem, t.orders))
 
 
 @register("clean_customers", CLEAN_CUSTOMERS_SQL, "C1 P19 P22 P23 F11 F15 F22 F30 F31 F32 A16")
 def clean_customers_q(spark, sf):
-    return cleaning.clean_customers(raw_customers(Tables(spark, sf).customer))
+    return cleaning.clean_customers(raw_customers(Tables(spark, sf, spread=True).customer))
 
 
 @register("clean_products", CLEAN_PRODUCTS_SQL, "C3 P19 P23 F12 F14 F15 F22 F30 A16")
 def clean_products_q(spark, sf):
-    return cleaning.clean_products(raw_products(Tables(spark, sf).part))
+    return cleaning.clean_products(raw_products(Tables(spark, sf, spread=True).part))
 
 
 def _strip_with(sql: str) -> str:
@@ -308,7 +308,7 @@ def clean_revenue_by_category(spark, sf):
     those files: revenue and order count per category."""
     from tidewater.streaming.events import new_run_dir
 
-    t = Tables(spark, sf)
+    t = Tables(spark, sf, spread=True)
     tables = cleaning.publish_clean_tables(
         raw_orders(t.lineitem, t.orders), raw_customers(t.customer), raw_products(t.part), new_run_dir(spark, "clean")
     )

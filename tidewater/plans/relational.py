@@ -45,7 +45,7 @@ FROM documents GROUP BY sha256(text) HAVING count(*) > 1""",
 def duplicate_texts(spark, sf):
     """Exact duplicate texts.  Grouped on a SHA-256 of the whole text so the shuffle
     carries 64 hex chars per distinct text per map task, not the text itself."""
-    d = Tables(spark, sf).documents.select("doc_id", F.sha2("text", 256).alias("text_sha256"))
+    d = Tables(spark, sf, spread=True).documents.select("doc_id", F.sha2("text", 256).alias("text_sha256"))
     return d.groupBy("text_sha256").agg(
         F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("first_doc_id")
     ).filter(F.col("copies") > 1)
@@ -60,7 +60,7 @@ def duplicate_texts(spark, sf):
 )
 def dedup_texts(spark, sf):
     """Keep the lowest ``doc_id`` per distinct text (deterministic survivor, skew-safe)."""
-    d = Tables(spark, sf).documents.select(
+    d = Tables(spark, sf, spread=True).documents.select(
         F.sha2("text", 256).alias("h"), "doc_id", "lang", "source", "n_chars"
     )
     return agg.keep_one_per_key(d, "h", ["doc_id"]).drop("h")

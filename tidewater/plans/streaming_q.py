@@ -13,7 +13,7 @@ from tidewater.streaming import events as S
 
 def _published(spark, sf, name):
     run = S.new_run_dir(spark, name)
-    S.publish_batch(Tables(spark, sf).events, f"{run}/in")
+    S.publish_batch(Tables(spark, sf, spread=True).events, f"{run}/in")
     return run
 
 

@@ -28,7 +28,7 @@ def word_count(spark, sf):
     ``explode`` + ``groupBy`` gives a partial count per map task before the shuffle,
     so a very frequent word costs one row per task.
     """
-    d = Tables(spark, sf).documents.select(F.explode(T.normalised_words("text")).alias("word"))
+    d = Tables(spark, sf, spread=True).documents.select(F.explode(T.normalised_words("text")).alias("word"))
     return count_by(d, "word", "count")
 
 
@@ -42,7 +42,7 @@ def word_count(spark, sf):
 )
 def word_count_simple(spark, sf):
     """C13 simple: ``flatMap(str.split)`` + ``countByValue``, kept distributed."""
-    d = Tables(spark, sf).documents.select(F.explode(T.whitespace_tokens("text")).alias("word"))
+    d = Tables(spark, sf, spread=True).documents.select(F.explode(T.whitespace_tokens("text")).alias("word"))
     return count_by(d, "word", "count")
 
 
@@ -55,7 +55,7 @@ FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)
 )
 def doc_lines(spark, sf):
     """explode each document into lines; per-document line statistics."""
-    d = Tables(spark, sf).documents.select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
+    d = Tables(spark, sf, spread=True).documents.select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
     return d.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n_lines"),
         F.count(F.when(F.length("line") > 0, 1)).alias("n_nonempty"),
@@ -82,7 +82,7 @@ def access_log_lines(events: DataFrame) -> DataFrame:
 
 
 def parsed_access_log(spark, sf) -> DataFrame:
-    lines = access_log_lines(Tables(spark, sf).events)
+    lines = access_log_lines(Tables(spark, sf, spread=True).events)
     return lines.select(*[c.alias(n) for n, c in T.access_log_fields("value").items()])
 
 
@@ -139,7 +139,7 @@ _APP_SQL = """(SELECT CASE WHEN event_type = 'error' THEN 'ERROR' WHEN event_typ
 
 @register("log_levels", f"SELECT level, count(*) AS n_lines FROM {_APP_SQL} l GROUP BY level", "F33 P15 A4")
 def log_levels(spark, sf):
-    lines = app_log_lines(Tables(spark, sf).events).select(*[c.alias(n) for n, c in T.log_line_fields("value").items()])
+    lines = app_log_lines(Tables(spark, sf, spread=True).events).select(*[c.alias(n) for n, c in T.log_line_fields("value").items()])
     return lines.groupBy("level").agg(F.count(F.lit(1)).alias("n_lines"))
 
 
@@ -150,6 +150,6 @@ def log_levels(spark, sf):
 )
 def error_messages(spark, sf):
     """ERROR lines (prefix test on the level token), message = tokens 4.., upper-cased."""
-    lines = app_log_lines(Tables(spark, sf).events).select(*[c.alias(n) for n, c in T.log_line_fields("value").items()])
+    lines = app_log_lines(Tables(spark, sf, spread=True).events).select(*[c.alias(n) for n, c in T.log_line_fields("value").items()])
     errs = lines.filter(F.col("level").startswith("ERROR"))
     return errs.groupBy(F.upper("message").alias("message")).agg(F.count(F.lit(1)).alias("n"))

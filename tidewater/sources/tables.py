@@ -42,8 +42,14 @@ def spread_if_narrow(df: DataFrame, key: str | None = None) -> DataFrame:
     return df.repartition(target) if narrow else df
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """Read one Parquet table; Catalyst prunes columns and pushes filters into the scan."""
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """Read one Parquet table; Catalyst prunes columns and pushes filters into the scan.
+
+    ``spread=True`` is for plans with heavy per-row work before their first shuffle
+    (regex tokenising, text rendering, hashing whole texts): a narrow scan is then
+    spread over the cluster first.  Join- and aggregate-led plans leave it off — their
+    first shuffle already parallelises the work, and an extra exchange only costs.
+    """
     if name not in TABLE_NAMES:
         raise KeyError(f"unknown table {name!r}")
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
@@ -56,7 +62,7 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> D
 class Tables:
     """Attribute access to the driver tables of one scale-factor folder."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, spread: bool = True):
+    def __init__(self, spark: SparkSession, sf_dir: str, spread: bool = False):
         self.spark = spark
         self.sf_dir = sf_dir
         self.spread = spread
