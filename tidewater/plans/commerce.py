@@ -59,7 +59,7 @@ def customer_summary(spark, sf):
     "order_details",
     f"""SELECT l_orderkey, l_linenumber, o_orderdate, o_orderstatus, c_name, c_mktsegment,
        p_name, p_brand, p_type, l_quantity, CAST(net_amount AS DECIMAL(38,4)) AS net_amount FROM ({_LINES_SQL}) x""",
-    "C4 J1 J2",
+    "C4 J1 J2 A27",
 )
 def order_details(spark, sf):
     return _lines(spark, sf).select(
