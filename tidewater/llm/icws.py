@@ -12,10 +12,9 @@ at similarity 0.8 meets in a band with probability 0.9998.  Every pair that deci
 verified by its exact weighted Jaccard similarity.
 
 Texts with the same words are one node from the start, so copies are never compared.  In a band's
-bucket all nodes are compared with one representative; buckets whose nodes are then in one class are
-done, small ones compare all pairs of different classes, and large ones go on with further
-representatives until nothing is left to compare.  So no bucket is expanded into all its pairs unless
-it is small, and none is cut.
+bucket all nodes are first compared with two representatives.  Buckets whose nodes are then in one
+class are done; in the others, nodes of different classes are compared unless an exact upper bound
+rules them out.  So a group of copies is not expanded into its pairs, and no bucket is cut.
 
 Null texts are classes of their own.  Empty texts and texts without a word are copies of one another
 only if they are equal.  Equal ids with different texts keep their own rows and classes.
@@ -36,7 +35,8 @@ FEATURES = 1 << 18
 IDF_SHARE = 0.1
 SAMPLES, ROWS = 36, 3
 _POOL = 1 << 16
-_SMALL = 32  # nodes of a bucket that compare all their pairs of different classes at once
+_CHUNK = 256  # nodes of a bucket that one task compares with the rest of it
+_CELLS = 64
 
 _u = lambda x: np.uint64(x)
 _BASE, _SHINGLE = _u(0x9E3779B97F4A7C15), _u(0xD6E8FEB86659FD93)
@@ -207,11 +207,13 @@ def _sets(docs: DataFrame, idf) -> DataFrame:
                     pa.array([want[i] for i in ok], pa.int64()),
                     pa.array([h[at[i] : at[i] + size[i]].tobytes() for i in ok], pa.binary()),
                     pa.array([w[at[i] : at[i] + size[i]].tobytes() for i in ok], pa.binary()),
+                    pa.array([float(w[at[i] : at[i] + size[i]].sum(dtype=float)) for i in ok], pa.float64()),
+                    pa.array([np.bincount((h[at[i] : at[i] + size[i]] >> _u(58)).astype(np.int64), w[at[i] : at[i] + size[i]], _CELLS) for i in ok], pa.list_(pa.float64())),
                 ],
-                ["node", "h", "w"],
+                ["node", "h", "w", "total", "cells"],
             )
 
-    return docs.mapInArrow(run, "node long, h binary, w binary")
+    return docs.mapInArrow(run, "node long, h binary, w binary, total double, cells array<double>")
 
 
 def weighted_jaccard(h1: np.ndarray, w1: np.ndarray, h2: np.ndarray, w2: np.ndarray) -> float:
@@ -245,44 +247,74 @@ def components(edges: DataFrame, folder: str, name: str) -> DataFrame:
             return label
 
 
-def link(members: DataFrame, sets: DataFrame, folder: str, threshold: float) -> DataFrame:
-    """Classes (node, label) of the nodes of ``members`` (bucket, node) by verified links."""
+def _mixed(members: DataFrame, label: DataFrame | None) -> DataFrame:
+    """The members (bucket, node, label, n) of buckets that hold several classes; n: the bucket's size."""
+    if label is None:
+        now = members.withColumn("label", F.col("node"))
+    else:
+        now = members.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    of = now.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("node").alias("n"))
+    return now.join(of.where(F.col("low") != F.col("high")).select("bucket", "n"), "bucket")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     similarity = F.arrow_udf(_similarity, "double")
-    verified = None
-    label = None
-    turn = 0
-    while True:
-        turn += 1
-        if label is None:
-            now = members.withColumn("label", F.col("node"))
-        else:
-            now = members.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        open_ = now.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("node").alias("n"), F.min("node").alias("least"))
-        open_ = open_.where(F.col("low") != F.col("high")).select("bucket", "n", "least")
-        now = written(now.join(open_, "bucket"), folder, f"open-{turn}")
-        if now.isEmpty():
-            break
-        if turn == 1:
-            reps = now.where(F.col("node") == F.col("least")).select("bucket", F.col("node").alias("rep"), F.col("label").alias("of"))
-            rest = now
-        else:
-            # small buckets: everything; large ones: the least node of each of the classes with most nodes
-            small = F.col("n") <= _SMALL
-            classes = now.where(~small).groupBy("bucket", "label").agg(F.count("node").alias("m"), F.min("node").alias("rep"))
-            top = classes.groupBy("bucket").agg(F.max_by(F.struct("rep", "label"), F.struct("m", (-F.col("label")).alias("x"))).alias("top"))
-            reps = top.select("bucket", "top.rep", F.col("top.label").alias("of")).union(now.where(small).select("bucket", F.col("node").alias("rep"), F.col("label").alias("of")))
-            rest = now
-        pairs = rest.join(reps, "bucket").where(F.col("label") != F.col("of"))
-        pairs = pairs.select(F.least("node", "rep").alias("a"), F.greatest("node", "rep").alias("b")).distinct()
-        one = sets.select(F.col("node").alias("a"), F.col("h").alias("h1"), F.col("w").alias("w1"))
-        two = sets.select(F.col("node").alias("b"), F.col("h").alias("h2"), F.col("w").alias("w2"))
-        scored = pairs.join(two, "b").join(one, "a").select("a", "b", similarity("h1", "w1", "h2", "w2").alias("similarity"))
-        found = written(scored.where(F.col("similarity") >= threshold), folder, f"links-{turn}")
-        verified = found if verified is None else verified.union(found)
-        label = components(verified, folder, f"classes-{turn}")
-        done = reps.select("bucket", F.col("rep").alias("node"))  # their links are all known
-        members = written(now.select("bucket", "node").join(done, ["bucket", "node"], "left_anti"), folder, f"members-{turn}")
-    return label
+    one = sets.select(F.col("node").alias("a"), F.col("h").alias("h1"), F.col("w").alias("w1"))
+    two = sets.select(F.col("node").alias("b"), F.col("h").alias("h2"), F.col("w").alias("w2"))
+    scored = pairs.join(two, "b").join(one, "a").select("a", "b", similarity("h1", "w1", "h2", "w2").alias("similarity"))
+    return scored.where(F.col("similarity") >= threshold).select("a", "b")
+
+
+def _cross_pairs(mixed: DataFrame, sets: DataFrame, bands: DataFrame, threshold: float) -> DataFrame:
+    """Each pair of different classes that meets in a bucket, once, unless a bound shows that it is below the threshold.
+
+    The bounds are exact: the ratio of the sets' weights, and the overlap of their weights in 64 cells by
+    hash, which is never below the overlap of the sets.  A bucket is cut into chunks of ``_CHUNK`` nodes
+    that each meet all of it, so that a large one is dealt to many tasks.
+    """
+    wide = mixed.join(sets.select("node", "total", "cells"), "node").join(bands, "node")
+    chunks = F.ceil(F.col("n") / _CHUNK).cast("int")
+    left = wide.withColumn("chunk", F.pmod(F.xxhash64("node"), chunks).cast("int"))
+    left = left.select("bucket", "chunk", *[F.col(c).alias(f"{c}1") for c in ("node", "label", "total", "cells", "bands")])
+    right = wide.withColumn("chunk", F.explode(F.sequence(F.lit(0), chunks - 1)))
+    right = right.select("bucket", "chunk", *[F.col(c).alias(f"{c}2") for c in ("node", "label", "total", "cells", "bands")])
+    t = threshold - 1e-4
+    overlap = F.aggregate(F.zip_with("cells1", "cells2", lambda x, y: F.least(x, y)), F.lit(0.0), lambda s, x: s + x)
+    near = (
+        (F.col("node1") < F.col("node2"))
+        & (F.col("label1") != F.col("label2"))
+        & (F.least("total1", "total2") >= F.greatest("total1", "total2") * t)
+        & (overlap * (1 + t) >= (F.col("total1") + F.col("total2")) * t)
+        & (F.col("bucket") == F.array_min(F.array_intersect("bands1", "bands2")))
+    )
+    return left.join(right, ["bucket", "chunk"]).where(near).select(F.col("node1").alias("a"), F.col("node2").alias("b"))
+
+
+def link(members: DataFrame, sets: DataFrame, bands: DataFrame, folder: str, threshold: float) -> DataFrame | None:
+    """Classes (node, label) of the nodes of ``members`` (bucket, node) by verified links; None where there is nothing to link.
+
+    First every bucket is compared with its least and its greatest node.  Then the nodes of buckets that
+    still hold several classes are compared with those of the other classes.
+    """
+    ends = members.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+    pairs = members.join(ends, "bucket").select("node", F.explode(F.array("low", "high")).alias("rep")).where(F.col("node") != F.col("rep"))
+    pairs = pairs.select(F.least("node", "rep").alias("a"), F.greatest("node", "rep").alias("b")).distinct()
+    links = written(_verified(pairs, sets, threshold), folder, "links-1")
+    label = components(links, folder, "classes-1")
+    mixed = written(_mixed(members, label), folder, "mixed")
+    if mixed.isEmpty():
+        return label
+    more = written(_verified(_cross_pairs(mixed, sets, bands, threshold), sets, threshold), folder, "links-2")
+    if more.isEmpty():
+        return label
+    # the second links join classes: the first classes' labels stand for their nodes
+    of = lambda c: more.join(label.select(F.col("node").alias(c), F.col("label").alias(f"l{c}")), c, "left")
+    joined = of("a").join(label.select(F.col("node").alias("b"), F.col("label").alias("lb")), "b", "left")
+    joined = joined.select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b"))
+    upper = components(joined, folder, "classes-2")
+    known = label.join(upper.select(F.col("node").alias("label"), F.col("label").alias("upper")), "label", "left")
+    known = known.select("node", F.coalesce("upper", "label").alias("label"))
+    return known.union(upper.join(known, "node", "left_anti"))
 
 
 def classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
@@ -300,7 +332,7 @@ def classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     wanted = nodes.select("node", "doc_id").join(members.select("node").distinct(), "node", "left_semi")
     texts = docs.join(wanted, "doc_id")
     sets = written(_sets(texts.select("node", "text"), idf).dropDuplicates(["node"]), folder, "sets")
-    label = link(members, sets, folder, threshold)
+    label = link(members, sets, nodes.select("node", "bands"), folder, threshold)
     if label is None:
         label = nodes.select("node", F.col("node").alias("label"))
     named = nodes.select("node", "doc_id").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
