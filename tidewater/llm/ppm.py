@@ -15,7 +15,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import bounded_batches, held_out
@@ -145,12 +145,11 @@ class Model:
 
 
 def sample(docs: DataFrame, per_language: int, max_chars: int) -> DataFrame:
-    """At most ``per_language`` labelled texts of each language, chosen by a hash of the id."""
-    ids = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & (F.length("text") <= max_chars))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = ids.select("doc_id", "lang").withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_language)
-    # per_language rows of each language: a fixed bound, whatever the size of the corpus
-    return docs.select("doc_id", "lang", "text").where(F.length("text") <= max_chars).join(F.broadcast(ids.select("doc_id", "lang").distinct()), ["doc_id", "lang"])
+    """About ``per_language`` labelled texts of each language, chosen by a hash of the id; all of them where there are no more."""
+    known = docs.select("doc_id", "lang", "text").where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & (F.length("text") <= max_chars))
+    sizes = known.groupBy("lang").count().collect()  # a row for each language
+    share = F.create_map(*[F.lit(x) for r in sizes for x in (r.lang, min(1.0, per_language / r["count"]))]) if sizes else F.create_map().cast("map<string,double>")
+    return known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30))
 
 
 def _count(batches):
