@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tidewater.llm.common import bounded_batches
 
-MEMO = 200_000  # pre-tokens that a worker remembers
+MEMO = 400_000  # pre-tokens that a worker remembers
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -100,32 +100,31 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     n = len(piece)
     end = list(range(1, n + 1))  # of the part that begins here; 0: no part begins here any more
     before = list(range(-1, n - 1))
-    heap = []
-    for i in range(n - 1):
-        r = ranks.get(piece[i : i + 2])
-        if r is not None:
-            heap.append((r, i, i + 2))
+    get, pop, push = ranks.get, heapq.heappop, heapq.heappush
+    heap = [(r, i, i + 2) for i in range(n - 1) if (r := get(piece[i : i + 2])) is not None]
     heapq.heapify(heap)
     while heap:
-        _, i, stop = heapq.heappop(heap)
+        _, i, stop = pop(heap)
         j = end[i]
-        if not j or j >= n or end[j] != stop:
+        if not j or j == n or end[j] != stop:
             continue  # one of the two parts has been merged since
         end[i], end[j] = stop, 0
         if stop < n:
             before[stop] = i
-            r = ranks.get(piece[i : end[stop]])
+            after = end[stop]
+            r = get(piece[i:after])
             if r is not None:
-                heapq.heappush(heap, (r, i, end[stop]))
+                push(heap, (r, i, after))
         p = before[i]
         if p >= 0:
-            r = ranks.get(piece[p:stop])
+            r = get(piece[p:stop])
             if r is not None:
-                heapq.heappush(heap, (r, p, stop))
+                push(heap, (r, p, stop))
     out, i = [], 0
     while i < n:
-        out.append(ranks[piece[i : end[i]]])
-        i = end[i]
+        stop = end[i]
+        out.append(ranks[piece[i:stop]])
+        i = stop
     return out
 
 
@@ -136,17 +135,17 @@ class Codec:
         self.pattern = regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
         self.whole = PerfectHash(entries)
         self.ranks = {e: i for i, e in enumerate(entries)}
-        self.memo: dict[str, list[int]] = {}
+        self.memo: dict[str, tuple[int, ...]] = {}
 
     def _learn(self, pieces: list[str]) -> None:
         raw = [p.encode("utf-8") for p in pieces]
         for p, b, r in zip(pieces, raw, self.whole.find(raw)):
-            self.memo[p] = [r] if r >= 0 else merge(b, self.ranks)
+            self.memo[p] = (r,) if r >= 0 else tuple(merge(b, self.ranks))  # tuples of numbers cost the garbage collector nothing
 
     def encode(self, text: str) -> list[int]:
         pieces = self.pattern.findall(text)
         memo = self.memo
-        new = {p for p in pieces if p not in memo}
+        new = set(pieces).difference(memo)
         if new:
             if len(memo) + len(new) > MEMO:
                 memo.clear()
@@ -154,8 +153,21 @@ class Codec:
             self._learn(list(new))
         return list(itertools.chain.from_iterable(map(memo.__getitem__, pieces)))
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.entries.__getitem__, ids))
+
+class Bytes:
+    """The entries' bytes end to end, to look up many ids at once."""
+
+    def __init__(self, entries: list[bytes]):
+        self.data = np.frombuffer(b"".join(entries), np.uint8)
+        self.size = np.array([len(e) for e in entries], np.int64)
+        self.first = np.cumsum(self.size) - self.size
+
+    def join(self, ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes of all ids, and where those of the first ``ends`` ids end, from 0."""
+        size = self.size[ids]
+        stop = np.cumsum(size)
+        at = np.arange(int(stop[-1]) if len(stop) else 0) + np.repeat(self.first[ids] - (stop - size), size)
+        return self.data[at], np.concatenate([[0], np.concatenate([[0], stop])[ends]])
 
 
 _CODECS: dict = {}  # one for each vocabulary in a worker
@@ -194,10 +206,15 @@ def decode(df: DataFrame, ranks_path: str, ids: str = "ids", to: str = "decoded"
     bounded_batches(df.sparkSession)
     shared = _vocabulary(df, ranks_path)
 
+    table: list = []
+
     @F.arrow_udf("binary")
     def run(rows: pa.Array) -> pa.Array:
-        entries = shared.value
-        return pa.array([b"".join(map(entries.__getitem__, x or ())) for x in rows.to_pylist()], pa.binary())
+        if not table:
+            table.append(Bytes(shared.value))
+        n = np.diff(rows.offsets.to_numpy())  # a null has no ids
+        data, ends = table[0].join(rows.flatten().to_numpy(zero_copy_only=False), np.cumsum(n))
+        return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data)])
 
     return df.withColumn(to, run(F.col(ids)))
 
