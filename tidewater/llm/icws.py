@@ -118,11 +118,11 @@ def _document_frequency(batches):
 
 def idf_table(docs: DataFrame) -> np.ndarray:
     """idf of each hashed feature over all documents: a table of fixed size."""
-    got = docs.select("text").mapInArrow(_document_frequency, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n")).toPandas()
-    total = max(1, int(got.loc[got.feature == -1, "n"].sum()))
+    got = docs.select("text").mapInArrow(_document_frequency, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n")).toArrow()
+    feature, n = got.column("feature").to_numpy(), got.column("n").to_numpy()
+    total = max(1, int(n[feature == -1].sum()))
     df = np.ones(FEATURES)
-    got = got[got.feature >= 0]
-    df[got.feature.to_numpy()] = got.n.to_numpy()
+    df[feature[feature >= 0]] = n[feature >= 0]
     # a feature holds many rare shingles: what an average one holds counts as one
     df = np.maximum(1, df / max(1.0, df.mean()))
     return (np.log1p(total / df) / np.log1p(total)).astype(np.float32)

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -173,11 +174,14 @@ def train(docs: DataFrame, per_language: int = 400, max_chars: int = 100_000, ma
     """
     bounded_batches(docs.sparkSession)
     grams = sample(docs, per_language, max_chars).select("lang", "text").mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    got = grams.toPandas()
+    got = grams.toArrow()
+    lang, gram, n = (got.column(c).combine_chunks() for c in ("lang", "gram", "n"))
     trees = {}
-    for lang, x in got.groupby("lang"):
-        x = x.sort_values(["n", "gram"], ascending=[False, True])[:max_grams]
-        trees[lang] = Tree(x["gram"].to_numpy().astype(np.uint32), x["n"].to_numpy().astype(float))
+    for x in lang.unique().to_pylist():
+        own = np.flatnonzero(pc.equal(lang, x).to_numpy(zero_copy_only=False))
+        g, k = gram.to_numpy()[own], n.to_numpy()[own]
+        most = np.lexsort((g, -k))[:max_grams]
+        trees[x] = Tree(g[most].astype(np.uint32), k[most].astype(float))
     return Model(trees)
 
 
