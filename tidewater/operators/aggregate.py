@@ -83,15 +83,17 @@ def pivot_sum(
     df: DataFrame,
     group: Sequence[str] | str,
     pivot_col: str,
-    values: Sequence,
+    values: Sequence | None,
     measure: Column,
 ) -> DataFrame:
     """Values of ``pivot_col`` become columns; missing cells are NULL.
 
-    ``values`` is always passed so Spark skips the extra distinct-values job and the
-    output schema is fixed.
+    ``values`` None takes every value present, in order, from one distinct job; Spark raises
+    beyond ``spark.sql.pivotMaxValues``, so none is dropped.  A list is the caller's own
+    choice of columns.
     """
-    return df.groupBy(*as_cols(group)).pivot(pivot_col, list(values)).agg(measure)
+    values = None if values is None else list(values)
+    return df.groupBy(*as_cols(group)).pivot(pivot_col, values).agg(measure)
 
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:

@@ -1,9 +1,7 @@
 """Joins.
 
-Broadcast is used only behind a size check: ``bounded_broadcast`` verifies that a
-side has at most ``max_rows`` rows (a ``limit(max_rows + 1).count()`` probe that
-stops early) and otherwise leaves the join to a shuffle join, which AQE may still
-turn into a broadcast at runtime from the measured shuffle size.
+No join carries a broadcast hint: Spark's own size estimates and AQE's measured
+shuffle sizes decide, against ``spark.sql.autoBroadcastJoinThreshold`` in bytes.
 """
 
 from __future__ import annotations
@@ -15,20 +13,6 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.columns import as_cols
 
-# A dimension at or below this many rows is broadcast.  At ~100 bytes a row this is
-# ~100 MB in executor memory, Spark's usual upper comfort limit for a hash relation.
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has ≤ ``max_rows`` rows.  Reads at most ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only when the side is proven small; unchanged otherwise."""
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
-
 
 def lookup(
     fact: DataFrame,
@@ -36,11 +20,10 @@ def lookup(
     key: str | Sequence[str],
     value_cols: Sequence[str],
     default: str | None = "Unknown",
-    max_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """J8 (+U1): attach dimension values by key, ``default`` where the key is missing.
 
-    Replaces a driver-side dictionary + Python UDF with a (checked) broadcast left
+    Replaces a driver-side dictionary + Python UDF with a left
     join and ``coalesce``: the work stays in the JVM and in whole-stage codegen.
     """
     from tidewater.operators.aggregate import keep_one_per_key
@@ -49,7 +32,7 @@ def lookup(
     # A repeated dimension key keeps the smallest value tuple (deterministic, unlike
     # dropDuplicates), so every fact row matches at most one dimension row.
     d = keep_one_per_key(dim.select(*keys, *value_cols), keys, list(value_cols))
-    out = fact.join(bounded_broadcast(d, max_rows), keys, "left")
+    out = fact.join(d, keys, "left")
     if default is not None:
         out = out.withColumns({c: F.coalesce(F.col(c), F.lit(default)) for c in value_cols})
     return out
@@ -77,8 +60,11 @@ def salted_join(
     The fact side gets a deterministic salt (hash of its columns, so retried tasks
     reproduce it); the dimension side is replicated once per salt value with
     ``explode(sequence(0, n-1))``.  Joining on ``(key, salt)`` yields exactly the
-    rows of the plain join.  AQE's skew-join split remains on as the default.
+    rows of the plain join.  AQE's skew-join split remains on as the default.  Joins that keep
+    unmatched dimension rows (right, full) would keep one for each salt and are rejected.
     """
+    if how not in ("inner", "left", "left_outer", "leftouter", "left_semi", "leftsemi", "semi", "left_anti", "leftanti", "anti"):
+        raise ValueError(f"salted_join can't keep unmatched rows of the replicated side: how={how!r}")
     cols = list(salt_from) if salt_from else fact.columns
     f = fact.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(salt_buckets)))
     d = dim.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salt_buckets - 1).cast("long"))))

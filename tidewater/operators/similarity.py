@@ -42,7 +42,6 @@ def item_similarity(
     ratings: DataFrame,
     salt_buckets: int = 1,
     hot_threshold: int | None = None,
-    max_hot_users: int = 1_000_000,
 ) -> DataFrame:
     """Every co-rated item pair ``item1 < item2`` with sums, count and cosine score.
 
@@ -53,8 +52,7 @@ def item_similarity(
     owns the user.  With ``salt_buckets > 1`` the left rows get salt = hash(item) mod n
     and the right rows are replicated once per salt, so those pairs are produced by n
     reducers.  ``hot_threshold`` restricts this to users with more than that many
-    ratings (found by a pre-aggregated count per user; the hot-user list is
-    broadcast only after a size check): other users keep salt 0 and are not
+    ratings (found by a pre-aggregated count per user): other users keep salt 0 and are not
     replicated.  Every variant yields exactly the same rows.
     """
     r1 = ratings.select(F.col("user"), F.col("item").alias("item1"), F.col("rating").alias("x"))
@@ -63,14 +61,11 @@ def item_similarity(
         n = F.lit(salt_buckets)
         all_salts = F.sequence(F.lit(0).cast("long"), F.lit(salt_buckets - 1).cast("long"))
         if hot_threshold is not None:
-            from tidewater.operators.joins import bounded_broadcast
-
             hot = (
                 ratings.groupBy("user").agg(F.count(F.lit(1)).alias("__k"))
                 .filter(F.col("__k") > hot_threshold)
                 .select(F.col("user").alias("__hot_user"), F.lit(True).alias("__hot"))
             )
-            hot = bounded_broadcast(hot, max_hot_users)
             r1 = r1.join(hot, F.col("user") == F.col("__hot_user"), "left").drop("__hot_user")
             r2 = r2.join(hot, F.col("user_b") == F.col("__hot_user"), "left").drop("__hot_user")
             is_hot1 = F.coalesce(F.col("__hot"), F.lit(False))

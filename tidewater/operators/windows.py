@@ -125,6 +125,13 @@ def _chunk(ts_seconds: Column, chunk_seconds: int) -> Column:
     return F.floor(ts_seconds / F.lit(chunk_seconds)).cast("long")
 
 
+def _with_summary(rows: DataFrame, summary: DataFrame, entity: str) -> DataFrame:
+    """Join a per-(entity, chunk) summary back; NULL entities and NULL times are groups like any other."""
+    s = summary.withColumnsRenamed({entity: "__s_entity", "__chunk": "__s_chunk"})
+    same = F.col(entity).eqNullSafe(F.col("__s_entity")) & F.col("__chunk").eqNullSafe(F.col("__s_chunk"))
+    return rows.join(s, same, "inner").drop("__s_entity", "__s_chunk")
+
+
 def running_totals(
     df: DataFrame,
     entity: str,
@@ -151,10 +158,19 @@ def running_totals(
     w_chunks = Window.partitionBy(entity).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
     summary = summary.select(
         entity, "__chunk",
-        *[F.coalesce(F.sum(f"__t{k[3:]}").over(w_chunks), F.lit(0)).alias(f"__o{k[3:]}") for k in tmp],
+        *[F.sum(f"__t{k[3:]}").over(w_chunks).alias(f"__o{k[3:]}") for k in tmp],
+    )
+    out = _with_summary(d, summary, entity)
+    zero = F.lit(0)
+    out = out.withColumns(
+        {
+            name: F.when(
+                F.col(f"__o{i}").isNotNull() | F.col(f"__l{i}").isNotNull(),
+                F.coalesce(F.col(f"__o{i}"), zero) + F.coalesce(F.col(f"__l{i}"), zero),
+            )
+            for i, name in enumerate(values)
+        }
     )
-    out = d.join(summary, [entity, "__chunk"], "inner")
-    out = out.withColumns({name: F.col(f"__o{i}") + F.col(f"__l{i}") for i, name in enumerate(values)})
     return out.drop("__chunk", *[f"__{p}{i}" for i in range(len(values)) for p in "vlo"])
 
 
@@ -206,7 +222,7 @@ def lag_lead(
         F.lag("__last_v").over(w_chunks).alias("__prev_chunk_last"),
         F.lead("__first_v").over(w_chunks).alias("__next_chunk_first"),
     )
-    out = d.join(summary, [entity, "__chunk"], "inner")
+    out = _with_summary(d, summary, entity)
     prev = F.when(F.col("__is_first"), F.col("__prev_chunk_last")).otherwise(F.col("__lag"))
     nxt = F.when(F.col("__is_last"), F.col("__next_chunk_first")).otherwise(F.col("__lead"))
     return out.withColumns(
@@ -240,7 +256,7 @@ def rolling_mean(
         F.col(entity),
         (F.col(ts) - F.expr(f"INTERVAL {int(days)} DAYS") - F.expr("INTERVAL 1 MICROSECOND")).alias(ts),
         F.col(row_id),
-        (value * F.lit(0)).alias("__val"),
+        F.coalesce(value * F.lit(0), F.lit(0)).alias("__val"),
         F.lit(0).alias("__cnt"),
         F.lit(True).alias("__probe"),
     )
@@ -257,6 +273,8 @@ def rolling_mean(
         F.max(F.when(probe, F.col("__ps"))).alias("__qs"),
         F.max(F.when(probe, F.col("__pn"))).alias("__qn"),
     )
+    # rows without a time have no look-back: their frame is all rows without a time
+    rows = rows.withColumns({c: F.when(F.col(ts).isNotNull(), F.col(c)).otherwise(F.lit(0)) for c in ("__qs", "__qn")})
     n = F.col("__pn") - F.col("__qn")
     s = F.when(n > 0, F.col("__ps") - F.coalesce(F.col("__qs"), F.lit(0)))
     return rows.withColumns(
@@ -278,7 +296,8 @@ def sessionize(
     The gap is measured as in the reference: each timestamp is floored to whole
     seconds, then ``(t - prev) / 60`` minutes; exactly 30:00 stays in the session.
     ``session_id`` counts session starts up to and including the row in
-    ``(ts, tiebreak)`` order, so the first session of every entity is 1.
+    ``(ts, tiebreak)`` order, so the first session of every entity is 1.  Rows without a
+    time are one session of their entity, the first.
     """
     gap = F.lit(float(gap_minutes))
     d = df.withColumns({"__sec": epoch_seconds(ts)})
@@ -306,9 +325,10 @@ def sessionize(
             F.lit(0),
         ),
     ).select(entity, "__chunk", "__first_flag", "__offset")
-    j = d.join(summary, [entity, "__chunk"], "inner")
-    flag = F.when(F.col("__prev").isNull(), F.col("__first_flag")).otherwise(F.col("__brk"))
+    j = _with_summary(d, summary, entity)
+    flag = F.when(F.row_number().over(w_local) == 1, F.col("__first_flag")).otherwise(F.col("__brk"))
     w_run = w_local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return j.withColumn(out, (F.col("__offset") + F.sum(flag).over(w_run)).cast("long")).drop(
-        "__sec", "__chunk", "__prev", "__brk", "__first_flag", "__offset"
+    j = j.withColumn("__flag", flag)
+    return j.withColumn(out, (F.col("__offset") + F.sum("__flag").over(w_run)).cast("long")).drop(
+        "__flag", "__sec", "__chunk", "__prev", "__brk", "__first_flag", "__offset"
     )

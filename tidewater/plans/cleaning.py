@@ -58,9 +58,9 @@ def clean_orders(raw: DataFrame) -> DataFrame:
     )
     df = df.withColumns(
         {
-            "unit_price": F.col("unit_price").cast(C.MONEY),
-            "discount_pct": F.col("discount_pct").cast(C.MONEY),
-            "total_amount": F.col("total_amount").cast(C.MONEY),
+            "unit_price": F.col("unit_price").try_cast(C.MONEY),
+            "discount_pct": F.col("discount_pct").try_cast(C.MONEY),
+            "total_amount": F.col("total_amount").try_cast(C.MONEY),
         }
     )
     df = df.withColumn("ship_date", F.when(F.col("ship_date") >= F.col("order_date"), F.col("ship_date")))
@@ -94,9 +94,9 @@ def clean_products(raw: DataFrame) -> DataFrame:
     )
     df = df.withColumns(
         {
-            "price": F.col("price").cast(C.MONEY),
-            "cost": F.col("cost").cast(C.MONEY),
-            "weight_kg": F.col("weight_kg").cast(C.MONEY),
+            "price": F.col("price").try_cast(C.MONEY),
+            "cost": F.col("cost").try_cast(C.MONEY),
+            "weight_kg": F.col("weight_kg").try_cast(C.MONEY),
             "created_date": C.parse_date(F.col("created_date")),
             "is_active": C.to_bool(F.col("is_active")),
         }

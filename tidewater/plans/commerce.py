@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.columns import money, net_revenue
 from tidewater.operators import aggregate as agg
-from tidewater.operators.joins import anti_join, bounded_broadcast, lookup, salted_join
+from tidewater.operators.joins import anti_join, lookup, salted_join
 from tidewater.plans import models
 from tidewater.plans.registry import register
 from tidewater.sources.sinks import register_view
@@ -161,14 +161,14 @@ JOIN region r ON n.n_regionkey = r.r_regionkey GROUP BY r.r_name""",
 def revenue_by_region(spark, sf):
     """J2 star join; nation/region broadcast after a size check (they are fixed-size dimensions)."""
     t = Tables(spark, sf)
-    geo = t.nation.join(bounded_broadcast(t.region, 10_000), F.col("n_regionkey") == F.col("r_regionkey"))
+    geo = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
     li = t.lineitem.select("l_orderkey", net_revenue().alias("net"))
     o = t.orders.select("o_orderkey", "o_custkey")
     c = t.customer.select("c_custkey", "c_nationkey")
     j = (
         li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(c, F.col("o_custkey") == F.col("c_custkey"))
-        .join(bounded_broadcast(geo, 100_000), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(geo, F.col("c_nationkey") == F.col("n_nationkey"))
     )
     return j.groupBy("r_name").agg(F.sum("net").alias("revenue"), F.count(F.lit(1)).alias("order_lines"))
 
@@ -187,7 +187,7 @@ def customers_per_nation(spark, sf):
     """
     t = Tables(spark, sf)
     c = t.customer.select("c_nationkey")
-    n = bounded_broadcast(t.nation.select("n_nationkey", "n_name"), 100_000)
+    n = t.nation.select("n_nationkey", "n_name")
     return c.join(n, F.col("c_nationkey") == F.col("n_nationkey")).groupBy("n_name").agg(
         F.count(F.lit(1)).alias("customers")
     )
@@ -331,7 +331,7 @@ def _etl(spark, sf):
         F.col("o_orderdate").alias("date"),
         money("o_totalprice").alias("amount"),
     )
-    nation = bounded_broadcast(t.nation.select("n_nationkey", "n_name"), 100_000)
+    nation = t.nation.select("n_nationkey", "n_name")
     customers = t.customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.col("c_custkey").alias("customer_id"), F.col("n_name").alias("city"), F.col("c_mktsegment").alias("segment")
     )

@@ -57,7 +57,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     path = spark.conf.get(CHECKPOINT_CONF, None)
     if not path:
-        # Unset: only in tests / local runs.  Never relied upon on a cluster.
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError(f"{CHECKPOINT_CONF} must name a folder that all executors of {master!r} share")
         path = tempfile.mkdtemp(prefix="tidewater-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, path)
     try:

@@ -23,6 +23,9 @@ from tidewater.session import scratch_path
 # Fixed value: ISO-8601 UTC text with microseconds, e.g. 2024-01-01T00:00:07.179575Z.
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSX"
 
+# Fixed value: what producers send, with ``Z`` or an offset, and a fraction only where it is not zero.
+ISO_PATTERN = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,6})?(Z|[+-]\d{2}:?\d{2})$"
+
 EVENT_SCHEMA = "event_id BIGINT, user_id BIGINT, event_type STRING, timestamp STRING, value DOUBLE"
 
 
@@ -47,7 +50,10 @@ def publish_batch(events: DataFrame, path: str) -> str:
 def parse_events(raw: DataFrame, value: str = "value") -> DataFrame:
     """Parse JSON values; adds ``ts`` and ``is_valid`` (bad JSON or timestamp → False)."""
     p = raw.select(F.col(value).alias("raw"), F.from_json(F.col(value), EVENT_SCHEMA).alias("e"))
-    ts = F.to_timestamp(F.col("e.timestamp"), ISO_FORMAT)
+    text = F.col("e.timestamp")
+    # with a zone offset or Z, and with or without a fraction; anything else is not valid
+    dated = F.when(text.rlike(ISO_PATTERN), text)
+    ts = F.coalesce(F.try_to_timestamp(dated, F.lit(ISO_FORMAT)), F.try_to_timestamp(dated))
     out = p.select("raw", "e.*", ts.alias("ts"))
     return out.withColumn("is_valid", F.col("ts").isNotNull() & F.col("event_type").isNotNull())
 
