@@ -55,11 +55,17 @@ def small(df: DataFrame, rows: int) -> DataFrame:
 def _fingerprints(items: DataFrame, key: str) -> DataFrame:
     """SimHash of ``words`` for each ``key``: bit b is set where the words with bit b outweigh those without."""
     each = items.select(key, F.explode("words").alias("word")).select(key, F.xxhash64("word").alias("h"))
-    bit = lambda b: F.sum(F.shiftright("h", b).bitwiseAND(F.lit(1)) * 2 - 1).alias(f"b{b}")
-    votes = each.groupBy(key).agg(*[bit(b) for b in range(BITS)])
+    half = BITS // 2
+    # two counts in one sum, of bit b below and of bit b + 32 above; no array has 2^32 words
+    pair = F.lit(1 | (1 << half)).cast("long")
+    ones = [F.sum(F.shiftrightunsigned("h", b).bitwiseAND(pair)).alias(f"b{b}") for b in range(half)]
+    votes = each.groupBy(key).agg(F.count(F.lit(1)).alias("n"), *ones)
     fingerprint = F.lit(0).cast("long")
-    for b in range(BITS):
-        fingerprint = fingerprint.bitwiseOR(F.when(F.col(f"b{b}") > 0, F.lit((1 << b) if b < 63 else -(1 << 63)).cast("long")).otherwise(F.lit(0).cast("long")))
+    for b in range(half):
+        low = F.col(f"b{b}").bitwiseAND(F.lit((1 << half) - 1).cast("long")) * 2 > F.col("n")
+        high = F.shiftrightunsigned(f"b{b}", half) * 2 > F.col("n")
+        for bit, on in ((b, low), (b + half, high)):
+            fingerprint = fingerprint.bitwiseOR(F.when(on, F.lit((1 << bit) if bit < 63 else -(1 << 63)).cast("long")).otherwise(F.lit(0).cast("long")))
     return votes.select(key, fingerprint.alias("fingerprint"))
 
 
@@ -106,8 +112,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, r
     cut = written(cut.withColumn("window", F.xxhash64("words", F.lit(1))), folder, "cut")
     windows = written(cut.groupBy("window").agg(F.first("words").alias("words")), folder, "distinct")
 
-    prints = _fingerprints(windows, "window").select("window", "fingerprint", F.inline(_blocks(F.col("fingerprint"), radius)))
-    wanted = _fingerprints(items, "item").select("item", F.col("fingerprint").alias("of"), F.inline(_blocks(F.col("fingerprint"), radius)))
+    # written, so that no later plan holds their sums
+    prints = written(_fingerprints(windows, "window"), folder, "prints").select("window", "fingerprint", F.inline(_blocks(F.col("fingerprint"), radius)))
+    wanted = written(_fingerprints(items, "item"), folder, "wanted").select("item", F.col("fingerprint").alias("of"), F.inline(_blocks(F.col("fingerprint"), radius)))
     near = prints.join(small(wanted, n_items * (radius + 1)), ["block", "value"]).where(F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("of"))) <= radius)
     pairs = near.select("window", "item").distinct()
 
