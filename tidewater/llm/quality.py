@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from tidewater.llm.common import bounded_batches, hash_sample, held_out, run_dir, written
 
 THRESHOLD = 0.7
+#: Of the bounded sample: few enough that each round of a fit is one stage, without a tree of partial sums.
+FIT_PARTITIONS = 4
 
 STATISTICS = (
     "n_words", "n_lines", "word_length", "upper_share", "digit_share", "symbol_share", "marked_words", "bar_share",
@@ -136,13 +138,13 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, trees: int
         return RuleEnsemble(float(np.log(max(share, 1e-6) / max(1 - share, 1e-6))), [])
     vector = VectorAssembler(inputCols=[f"f_{s}" for s in STATISTICS], outputCol="features")
     flat = rows.select("label", *[F.col(f"stats.{s}").alias(f"f_{s}") for s in STATISTICS])
-    flat = vector.transform(flat).select("label", "features").repartition(6)
+    flat = vector.transform(flat).select("label", "features").repartition(FIT_PARTITIONS)
     flat.persist()
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, maxBins=64, seed=11, featureSubsetStrategy="onethird").fit(flat)
     flat.unpersist()
     rules = sorted({simplified(r) for t in forest.trees for r in rules_of(t._call_java("rootNode"))})
     tested = rows.select("label", F.array(*[holds(r, "stats").cast("double") for r in rules]).alias("hit"))
-    tested = tested.select("label", array_to_vector("hit").alias("features")).repartition(6)
+    tested = tested.select("label", array_to_vector("hit").alias("features")).repartition(FIT_PARTITIONS)
     tested.persist()
     fit = LogisticRegression(elasticNetParam=1.0, regParam=lasso, maxIter=60, standardization=False).fit(tested)
     tested.unpersist()
