@@ -9,6 +9,9 @@ Only text goes into a score.  Labels are learnt from documents that are not held
 sample of ``max_rows`` is taken by a hash of the id where there are more.  Null and empty texts have
 all statistics 0 and get the score those give.  Without labels of both kinds every score is the share of
 label 1 (0.5 without any).  If an id has several labels, the lowest counts.
+
+Equal tables give equal models: the fits read the sample in a fixed order, and weights are rounded, as
+partial sums reach the driver in any order.
 """
 
 from __future__ import annotations
@@ -29,6 +32,7 @@ from tidewater.llm.common import bounded_batches, hash_sample, held_out, run_dir
 THRESHOLD = 0.7
 #: Of the bounded sample: few enough that each round of a fit is one stage, without a tree of partial sums.
 FIT_PARTITIONS = 4
+DIGITS = 6
 
 STATISTICS = (
     "n_words", "n_lines", "word_length", "upper_share", "digit_share", "symbol_share", "marked_words", "bar_share",
@@ -121,11 +125,11 @@ class RuleEnsemble:
 
 
 def sample(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
-    """(label, stats) of at most about ``max_rows`` labelled documents that are not held out."""
+    """(doc_id, label, stats) of at most about ``max_rows`` labelled documents that are not held out."""
     known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = hash_sample(known.groupBy("doc_id").agg(F.min("quality").cast("double").alias("label")), F.col("doc_id"), max_rows)
     # max_rows pairs of numbers: a fixed bound, whatever the size of the corpus
-    return with_statistics(docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")).select("label", "stats")
+    return with_statistics(docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")).select("doc_id", "label", "stats")
 
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, trees: int = 20, depth: int = 3, lasso: float = 0.002) -> RuleEnsemble:
@@ -137,19 +141,20 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, trees: int
         share = 0.5 if not seen else next(iter(seen))
         return RuleEnsemble(float(np.log(max(share, 1e-6) / max(1 - share, 1e-6))), [])
     vector = VectorAssembler(inputCols=[f"f_{s}" for s in STATISTICS], outputCol="features")
+    rows = rows.repartition(FIT_PARTITIONS).sortWithinPartitions("doc_id", "label", "stats")
     flat = rows.select("label", *[F.col(f"stats.{s}").alias(f"f_{s}") for s in STATISTICS])
-    flat = vector.transform(flat).select("label", "features").repartition(FIT_PARTITIONS)
+    flat = vector.transform(flat).select("label", "features")
     flat.persist()
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, maxBins=64, seed=11, featureSubsetStrategy="onethird").fit(flat)
     flat.unpersist()
     rules = sorted({simplified(r) for t in forest.trees for r in rules_of(t._call_java("rootNode"))})
     tested = rows.select("label", F.array(*[holds(r, "stats").cast("double") for r in rules]).alias("hit"))
-    tested = tested.select("label", array_to_vector("hit").alias("features")).repartition(FIT_PARTITIONS)
+    tested = tested.select("label", array_to_vector("hit").alias("features"))
     tested.persist()
     fit = LogisticRegression(elasticNetParam=1.0, regParam=lasso, maxIter=60, standardization=False).fit(tested)
     tested.unpersist()
-    weights = [(r, float(w)) for r, w in zip(rules, fit.coefficients.toArray()) if w]
-    return RuleEnsemble(float(fit.intercept), weights)
+    weights = [(r, round(float(w), DIGITS)) for r, w in zip(rules, fit.coefficients.toArray())]
+    return RuleEnsemble(round(float(fit.intercept), DIGITS), [(r, w) for r, w in weights if w])
 
 
 def score(docs: DataFrame, model: RuleEnsemble, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
