@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions.columns import as_cols
@@ -106,6 +106,12 @@ def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
+def ranked_top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
+    """:func:`top_k` with the place of each row as ``rank`` (from 1), so that the order
+    outlives later joins.  The window sees the k rows only."""
+    return top_k(df, order, k).withColumn("rank", F.row_number().over(Window.orderBy(*order)))
+
+
 def calendar_order(month_col: str) -> Column:
     """Sort key for month abbreviations in calendar order (fixed values below)."""
     # English month abbreviations in calendar order.

@@ -102,7 +102,7 @@ def similar_items(
     ``target`` is a DataFrame with one column ``item`` (usually one row: the item asked
     for; building it with Spark keeps the id choice on the executors).  A partner must
     have ``similarity > score_threshold`` and ``num_pairs > min_pairs``; ties on the
-    score are broken by the smaller item id.  The same scores as the full pair
+    score are broken by the smaller item id; ``rank`` is the place per target.  The same scores as the full pair
     table (C6) are produced for the target's pairs.
     """
     t = F.broadcast(target.select(F.col("item").alias("t_item")))  # one row, proven bound
@@ -123,7 +123,7 @@ def similar_items(
     # each map task's candidates to k per target before the shuffle
     from tidewater.operators.windows import top_n_per_group
 
-    return top_n_per_group(good, "t_item", [F.col("score").desc(), F.col("similar_item")], k).drop("rnk")
+    return top_n_per_group(good, "t_item", [F.col("score").desc(), F.col("similar_item")], k, rank_col="rank")
 
 
 def most_rated_item(ratings: DataFrame) -> DataFrame:

@@ -80,7 +80,8 @@ def revenue_by_category(spark, sf):
 
 @register(
     "top_spenders",
-    f"""SELECT c_custkey, c_name, sum(net_amount) AS total_spent FROM ({_LINES_SQL}) x
+    f"""SELECT c_custkey, c_name, sum(net_amount) AS total_spent,
+  CAST(row_number() OVER (ORDER BY sum(net_amount) DESC, c_custkey) AS INTEGER) AS rank FROM ({_LINES_SQL}) x
 GROUP BY c_custkey, c_name ORDER BY total_spent DESC, c_custkey LIMIT 10""",
     "C5 A19 O3",
 )
@@ -125,8 +126,9 @@ _RATING_AVG = "CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) / count(*)
     "top_rated_items",
     f"""WITH s AS (SELECT l_partkey, count(*) AS n_ratings, {_RATING_AVG} AS avg_rating
              FROM lineitem GROUP BY l_partkey ORDER BY avg_rating DESC, l_partkey LIMIT 10)
-SELECT s.l_partkey, s.n_ratings, s.avg_rating, coalesce(p.p_name, 'Unknown') AS p_name
-FROM s LEFT JOIN part p ON s.l_partkey = p.p_partkey""",
+SELECT s.l_partkey, s.n_ratings, s.avg_rating, coalesce(p.p_name, 'Unknown') AS p_name,
+  CAST(row_number() OVER (ORDER BY s.avg_rating DESC, s.l_partkey) AS INTEGER) AS rank
+FROM s LEFT JOIN part p ON s.l_partkey = p.p_partkey ORDER BY rank""",
     "C11 A6 O1 O3 J8",
 )
 def top_rated_items(spark, sf):
@@ -139,8 +141,9 @@ def top_rated_items(spark, sf):
     "most_rated_items",
     f"""WITH s AS (SELECT l_partkey, count(*) AS n_ratings, {_RATING_AVG} AS avg_rating
              FROM lineitem GROUP BY l_partkey ORDER BY n_ratings DESC, l_partkey LIMIT 10)
-SELECT s.l_partkey, s.n_ratings, s.avg_rating, coalesce(p.p_name, 'Unknown') AS p_name
-FROM s LEFT JOIN part p ON s.l_partkey = p.p_partkey""",
+SELECT s.l_partkey, s.n_ratings, s.avg_rating, coalesce(p.p_name, 'Unknown') AS p_name,
+  CAST(row_number() OVER (ORDER BY s.n_ratings DESC, s.l_partkey) AS INTEGER) AS rank
+FROM s LEFT JOIN part p ON s.l_partkey = p.p_partkey ORDER BY rank""",
     "C11 A1 O2 O3 J8",
 )
 def most_rated_items(spark, sf):

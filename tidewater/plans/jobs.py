@@ -84,19 +84,15 @@ def item_similarities(
     sinks.write_parquet(S.item_similarity(ratings, 64, hot_threshold=10_000), out)
     sims = spark.read.parquet(out)
     pick = (F.col("item1") == item_id) | (F.col("item2") == item_id)
-    top = (
-        sims.filter(pick & (F.col("similarity") > score_threshold) & (F.col("num_pairs") > min_pairs))
-        .orderBy(F.col("similarity").desc(), F.least("item1", "item2"), F.greatest("item1", "item2"))
-        .limit(k)
-        .select(
-            F.when(F.col("item1") == item_id, F.col("item2")).otherwise(F.col("item1")).alias("item"),
-            F.col("similarity").alias("score"),
-            F.col("num_pairs").alias("strength"),
-        )
+    good = sims.filter(pick & (F.col("similarity") > score_threshold) & (F.col("num_pairs") > min_pairs)).select(
+        F.when(F.col("item1") == item_id, F.col("item2")).otherwise(F.col("item1")).alias("item"),
+        F.col("similarity").alias("score"),
+        F.col("num_pairs").alias("strength"),
     )
+    top = agg.ranked_top_k(good, [F.col("score").desc(), F.col("item")], k)
     names = readers.parse_delimited(readers.read_text(spark, items_path), "::", [("item", "long"), ("title", "string")])
     wanted = names.join(F.broadcast(top.select("item")), "item", "left_semi")
-    return top.join(wanted, "item", "left").withColumn("title", F.coalesce("title", F.lit("Unknown")))
+    return top.join(wanted, "item", "left").withColumn("title", F.coalesce("title", F.lit("Unknown"))).orderBy("rank")
 
 
 def popular_items(spark: SparkSession, ratings_tsv: str, names_path: str, k: int = 10, min_count: int = 0):

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions.columns import money, net_revenue
+from tidewater.operators.aggregate import ranked_top_k
 
 
 # ---- C8: dbt-style customer mart -------------------------------------------------
@@ -88,7 +89,7 @@ def revenue_by_category(lines: DataFrame) -> DataFrame:
 def top_spenders(lines: DataFrame, k: int = 10) -> DataFrame:
     """C5 / A19 + O3: top-k customers by spend, composite group key, unique tie-break."""
     agg = lines.groupBy("c_custkey", "c_name").agg(F.sum("net_amount").alias("total_spent"))
-    return agg.orderBy(F.col("total_spent").desc(), F.col("c_custkey")).limit(k)
+    return ranked_top_k(agg, [F.col("total_spent").desc(), F.col("c_custkey")], k)
 
 
 def profit_by_brand(lines: DataFrame) -> DataFrame:
@@ -153,14 +154,14 @@ def item_stats(ratings: DataFrame, item: str, rating: str) -> DataFrame:
 def top_rated(ratings, names, item, rating, name_col, k=10, min_count=0, max_dim_rows=1_000_000):
     """C11: best mean rating (optional minimum count), names attached with default."""
     s = item_stats(ratings, item, rating).filter(F.col("n_ratings") >= min_count)
-    top = s.orderBy(F.col("avg_rating").desc(), F.col(item)).limit(k)
+    top = ranked_top_k(s, [F.col("avg_rating").desc(), F.col(item)], k)
     return _attach_names(top, names, item, name_col, max_dim_rows)
 
 
 def most_rated(ratings, names, item, rating, name_col, k=10, max_dim_rows=1_000_000):
     """C11: most frequently rated items with names."""
     s = item_stats(ratings, item, rating)
-    top = s.orderBy(F.col("n_ratings").desc(), F.col(item)).limit(k)
+    top = ranked_top_k(s, [F.col("n_ratings").desc(), F.col(item)], k)
     return _attach_names(top, names, item, name_col, max_dim_rows)
 
 
@@ -170,4 +171,4 @@ def _attach_names(top: DataFrame, names: DataFrame, item: str, name_col: str, ma
     # so the dimension is never broadcast or fully shuffled against the fact side.
     wanted = names.select(item, name_col).join(F.broadcast(top.select(item)), item, "left_semi")
     j = top.join(wanted, item, "left")
-    return j.withColumn(name_col, F.coalesce(F.col(name_col), F.lit("Unknown")))
+    return j.withColumn(name_col, F.coalesce(F.col(name_col), F.lit("Unknown"))).orderBy("rank")

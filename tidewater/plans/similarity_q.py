@@ -65,10 +65,10 @@ p AS (SELECT tr.t_item, r.i AS similar_item, CAST(sum(tr.q * r.q) AS BIGINT) AS
              CAST(sum(tr.q * tr.q) AS BIGINT) AS sum_xx, CAST(sum(r.q * r.q) AS BIGINT) AS sum_yy, count(*) AS strength
       FROM tr JOIN r ON tr.u = r.u AND r.i <> tr.t_item GROUP BY tr.t_item, r.i),
 s AS (SELECT *, CASE WHEN sqrt(sum_xx) * sqrt(sum_yy) <> 0 THEN sum_xy / (sqrt(sum_xx) * sqrt(sum_yy)) ELSE 0.0 END AS score FROM p),
-top AS (SELECT * FROM s WHERE score > {SCORE_THRESHOLD} AND strength > {MIN_PAIRS} ORDER BY score DESC, similar_item LIMIT {TOP_K})
+top AS (SELECT *, CAST(row_number() OVER (ORDER BY score DESC, similar_item) AS INTEGER) AS rank FROM s WHERE score > {SCORE_THRESHOLD} AND strength > {MIN_PAIRS} ORDER BY score DESC, similar_item LIMIT {TOP_K})
 SELECT top.t_item, top.similar_item, coalesce(pt.p_name, 'Unknown') AS target_name,
-       coalesce(ps.p_name, 'Unknown') AS similar_name, top.score, top.strength
-FROM top LEFT JOIN part pt ON top.t_item = pt.p_partkey LEFT JOIN part ps ON top.similar_item = ps.p_partkey""",
+       coalesce(ps.p_name, 'Unknown') AS similar_name, top.score, top.strength, top.rank
+FROM top LEFT JOIN part pt ON top.t_item = pt.p_partkey LEFT JOIN part ps ON top.similar_item = ps.p_partkey ORDER BY top.rank""",
     "C7 J8 P12 O3 K12",
 )
 def similar_items(spark, sf):
@@ -98,4 +98,5 @@ def similar_items(spark, sf):
         F.coalesce("similar_name", F.lit("Unknown")).alias("similar_name"),
         "score",
         "strength",
-    )
+        "rank",
+    ).orderBy("rank")
