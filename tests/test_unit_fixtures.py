@@ -203,3 +203,10 @@ def test_similar_items_top_k_per_target(spark):
     one = sorted((x.t_item, x.similar_item) for t in (1, 2)
                  for x in S.similar_items(r, spark.createDataFrame([(t,)], "item long"), -1.0, 0, k=2).collect())
     assert got == one and len(got) == 4
+
+
+def test_ranked_top_k_numbers_rows_in_order(spark):
+    rows = [("a", 3), ("b", 7), ("c", 7), ("d", None), ("e", 1)]
+    df = spark.createDataFrame(rows, "k string, v long")
+    got = agg.ranked_top_k(df, [F.col("v").desc(), F.col("k")], 3).collect()
+    assert sorted((r["rank"], r.k) for r in got) == [(1, "b"), (2, "c"), (3, "a")]
