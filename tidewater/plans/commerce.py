@@ -318,7 +318,8 @@ def etl_avg_by_segment(spark, sf):
 
 @register(
     "etl_top_customers",
-    """SELECT o_custkey AS customer_id, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS total_spent
+    """SELECT o_custkey AS customer_id, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS total_spent,
+  CAST(row_number() OVER (ORDER BY sum(CAST(o_totalprice AS DECIMAL(18,2))) DESC, o_custkey) AS INTEGER) AS rank
 FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY o_custkey ORDER BY total_spent DESC, customer_id LIMIT 3""",
     "C9 O3",
 )

@@ -134,10 +134,11 @@ def sales_etl(orders: DataFrame, customers: DataFrame, fill_amount=25) -> dict[s
         "avg_by_segment": joined.groupBy("segment").agg(
             (F.sum("amount").cast("double") / F.count(F.lit(1))).alias("avg_order_value")
         ),
-        "top_customers": joined.groupBy("customer_id")
-        .agg(F.sum("amount").alias("total_spent"))
-        .orderBy(F.col("total_spent").desc(), F.col("customer_id"))
-        .limit(3),
+        "top_customers": ranked_top_k(
+            joined.groupBy("customer_id").agg(F.sum("amount").alias("total_spent")),
+            [F.col("total_spent").desc(), F.col("customer_id")],
+            3,
+        ),
     }
 
 
