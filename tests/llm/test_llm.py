@@ -304,6 +304,12 @@ def test_quality_odd_rows(spark, odd):
     assert quality.keep_good(odd, none).columns == odd.columns
 
 
+def test_quality_model_repeats(spark):
+    docs, labels = load(spark, SF, "documents"), load(spark, SF, "labels")
+    one, two = (quality.train(docs.repartition(3), labels) for _ in range(2))
+    assert one.weights and (one.intercept, one.weights) == (two.intercept, two.weights)
+
+
 # pipeline
 def test_pipeline_stages(spark):
     import corpus_pipeline
