@@ -3,7 +3,9 @@
 import base64
 import hashlib
 import io
+import math
 import random
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -201,6 +203,31 @@ def test_leaks_match_brute_force(spark):
     assert decontam.report(docs_of(spark, ["quite another text of no item at all"] * 3), items).count() == 0
 
 
+def test_no_edited_leak_is_lost(spark):
+    random.seed(5)
+    shared = [f"x{k}" for k in range(20)]  # boilerplate of half the items: it weighs little, so much of it may go
+    texts = [[f"w{random.randrange(900)}" for _ in range(random.randint(15, 59))] + shared * (k % 2) for k in range(40)]
+    grams = lambda w: Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
+    df = Counter(g for t in texts for g in grams(t))
+    weigh = lambda c: {g: n * (1 + math.log(len(texts) / df.get(g, 1))) for g, n in c.items()}
+    rows, want = [], {}
+    for k, t in enumerate(texts):
+        for _ in range(12):
+            w, at, cut = list(t), random.randrange(len(t)), random.randint(1, max(1, len(t) // 8))
+            if random.random() < 0.5:
+                at, cut = (len(t) - cut, cut) if k % 2 == 0 else (len(t) - 2 * cut, 2 * cut)  # the tail
+            w[at : at + cut] = [f"z{random.randrange(10**9)}" for _ in w[at : at + cut]]
+            a, b = weigh(grams(w)), weigh(grams(t))
+            common = sum(min(v, b.get(g, 0)) for g, v in a.items())
+            if (likeness := common / (sum(a.values()) + sum(b.values()) - common)) >= 0.8:
+                want[len(rows), k] = likeness
+            rows.append(" ".join(["before"] * 9 + w + ["after"] * 9))
+    items = docs_of(spark, [" ".join(t) for t in texts]).withColumnRenamed("doc_id", "item_id")
+    got = {(r.doc_id, r.item_id): r.similarity for r in decontam.report(docs_of(spark, rows), items).collect()}
+    lost = [p for p, x in want.items() if got.get(p, 0) < x - 1e-9]
+    assert len(want) > 150 and not lost, (len(lost), len(want))
+
+
 def test_leaks_odd_rows(spark, odd):
     items = spark.createDataFrame([(1, "the cat sat on the mat and the dog"), (2, None), (None, ""), (3, "a b")], "item_id long, text string")
     got = {(r.doc_id, r.item_id) for r in decontam.report(odd, items).collect()}

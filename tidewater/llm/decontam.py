@@ -1,14 +1,15 @@
-"""Benchmark decontamination with SimHash, in DataFrame functions only.
+"""Benchmark decontamination by item-sized windows, in DataFrame functions only.
 
 Windows as long as a benchmark item are laid over the documents, wherever a word shingle of the
 benchmark stands: a window that holds none cannot reach any similarity to an item, so leaving it out
 loses nothing.  A shingle's places in the items give the windows' starts and lengths, not the items.
 
-Windows and items get a 64-bit SimHash of their words.  The bits are cut into ``radius`` + 1 blocks;
-two fingerprints within the radius agree in a block at least, so a join on (block, value) finds them
-all, and their Hamming distance is then counted.  A pair is a leak if the exact weighted Jaccard
-similarity of its 5-word shingles reaches the threshold; a shingle that many items share weighs less:
-its idf among the items, 1 + ln(N / df).
+A pair is a leak if the exact weighted Jaccard similarity of its 5-word shingles reaches the threshold; a
+shingle that many items share weighs less: its idf among the items, 1 + ln(N / df).  Compared are the
+pairs that share one of the item's heaviest shingles, as many as weigh more than 1 - threshold of the
+item together: a window without any of them has less than the threshold of the item's weight in
+common with it, so no leak is lost.  (A SimHash radius would lose some: the fingerprint of a short
+item moves far on small edits, farther still where the edited shingles weigh little.)
 
 Items of fewer than five words are one shingle of all their words.  Null, empty or wordless texts and
 items never match.  Equal rows give equal results; rows with equal ids and other texts are kept apart.
@@ -16,14 +17,12 @@ items never match.  Equal rows give equal results; rows with equal ids and other
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import run_dir, written
 
 WORDS = 5
-BITS = 64
-RADIUS = 11
 THRESHOLD = 0.8
 MAX_BROADCAST_ROWS = 500_000
 
@@ -52,34 +51,7 @@ def small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= MAX_BROADCAST_ROWS else df
 
 
-def _fingerprints(items: DataFrame, key: str) -> DataFrame:
-    """SimHash of ``words`` for each ``key``: bit b is set where the words with bit b outweigh those without."""
-    each = items.select(key, F.explode("words").alias("word")).select(key, F.xxhash64("word").alias("h"))
-    half = BITS // 2
-    # two counts in one sum, of bit b below and of bit b + 32 above; no array has 2^32 words
-    pair = F.lit(1 | (1 << half)).cast("long")
-    ones = [F.sum(F.shiftrightunsigned("h", b).bitwiseAND(pair)).alias(f"b{b}") for b in range(half)]
-    votes = each.groupBy(key).agg(F.count(F.lit(1)).alias("n"), *ones)
-    fingerprint = F.lit(0).cast("long")
-    for b in range(half):
-        low = F.col(f"b{b}").bitwiseAND(F.lit((1 << half) - 1).cast("long")) * 2 > F.col("n")
-        high = F.shiftrightunsigned(f"b{b}", half) * 2 > F.col("n")
-        for bit, on in ((b, low), (b + half, high)):
-            fingerprint = fingerprint.bitwiseOR(F.when(on, F.lit((1 << bit) if bit < 63 else -(1 << 63)).cast("long")).otherwise(F.lit(0).cast("long")))
-    return votes.select(key, fingerprint.alias("fingerprint"))
-
-
-def _blocks(fingerprint: Column, radius: int) -> Column:
-    edges = [BITS * k // (radius + 1) for k in range(radius + 2)]
-    return F.array(
-        *[
-            F.struct(F.lit(k).alias("block"), F.shiftrightunsigned(fingerprint, a).bitwiseAND(F.lit((1 << (b - a)) - 1).cast("long")).alias("value"))
-            for k, (a, b) in enumerate(zip(edges, edges[1:]))
-        ]
-    )
-
-
-def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, radius: int = RADIUS) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, text_hash, item_id, similarity, start, n_words): every leaked item of every document, at its best place."""
     spark = docs.sparkSession
     folder = run_dir(spark, "decontam")
@@ -112,12 +84,6 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, r
     cut = written(cut.withColumn("window", F.xxhash64("words", F.lit(1))), folder, "cut")
     windows = written(cut.groupBy("window").agg(F.first("words").alias("words")), folder, "distinct")
 
-    # written, so that no later plan holds their sums
-    prints = written(_fingerprints(windows, "window"), folder, "prints").select("window", "fingerprint", F.inline(_blocks(F.col("fingerprint"), radius)))
-    wanted = written(_fingerprints(items, "item"), folder, "wanted").select("item", F.col("fingerprint").alias("of"), F.inline(_blocks(F.col("fingerprint"), radius)))
-    near = prints.join(small(wanted, n_items * (radius + 1)), ["block", "value"]).where(F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("of"))) <= radius)
-    pairs = near.select("window", "item").distinct()
-
     def weighed(df_):  # equal shingles of one text add up
         return df_.groupBy("key", "h").agg(F.count(F.lit(1)).alias("tf"))
 
@@ -127,6 +93,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, r
     in_items = weighed(each.select(F.col("item").alias("key"), "h")).join(df_small, "h", "left").select(F.col("key").alias("item"), "h", (F.col("tf") * idf).alias("v"))
     size_w = in_windows.groupBy("window").agg(F.sum("w").alias("all_w"))
     size_v = in_items.groupBy("item").agg(F.sum("v").alias("all_v"))
+    # the item's heaviest shingles, until they weigh more than a leak may lack
+    before = F.sum("v").over(Window.partitionBy("item").orderBy(F.desc("v"), "h").rowsBetween(Window.unboundedPreceding, -1))
+    telling = in_items.withColumn("before", F.coalesce(before, F.lit(0.0))).join(small(size_v, n_items), "item")
+    telling = telling.where(F.col("before") <= (1 - threshold + 1e-6) * F.col("all_v")).select("item", "h")
+    pairs = in_windows.select("window", "h").join(small(telling, n_seeds), "h").select("window", "item").distinct()
     both = pairs.join(in_windows, "window").join(small(in_items, n_seeds), ["item", "h"]).groupBy("window", "item").agg(F.sum(F.least("w", "v")).alias("common"))
     scored = both.join(size_w, "window").join(small(size_v, n_items), "item")
     scored = scored.withColumn("similarity", F.col("common") / (F.col("all_w") + F.col("all_v") - F.col("common"))).where(F.col("similarity") >= threshold - 1e-9)
