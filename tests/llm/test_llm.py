@@ -311,6 +311,17 @@ def test_syncmers(spark):
     assert syncmers.report(docs_of(spark, texts).where("false")).count() == 0
 
 
+@pytest.mark.parametrize("following", ["", "Z", "QRSTUVWXYZ" * 20])
+def test_short_edited_texts_stay_near(following):
+    random.seed(11)
+    for n in range(3, 121):
+        for _ in range(20):
+            text = "".join(random.choices("abcdefghijklmnop ", k=n))
+            own, new = syncmers.anchors(text), syncmers.anchors(syncmers.edited_text(text, following))
+            assert len(own) > 1 and 0 < syncmers.likeness(own, new) < 1, (n, text)
+            assert syncmers.likeness(own, syncmers.anchors("QRSTUVWXYZ" * 12)) == 0
+
+
 def test_syncmers_odd_rows(odd):
     assert syncmers.report(odd).count() == 10
 

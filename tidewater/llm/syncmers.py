@@ -3,14 +3,15 @@
 A run of ``K`` code points is a closed syncmer if the smallest hash among its inner runs of ``S`` code
 points belongs to the first or the last of them.  Whether it is one depends on the run alone, not on
 what stands around it, so equal passages give equal anchors wherever they stand, and any passage of
-2K - S - 1 code points has one.  A fingerprint is the list of the anchors' hashes (32 bits, in
+2K - S - 1 code points has one.  A text of fewer than ``SHORT`` code points, of which two thirds may
+hold no syncmer, has every run of two code points as an anchor besides.  A fingerprint is the list of the anchors' hashes (32 bits, in
 hexadecimal, in text order).
 
 Two fingerprints are matched by place: equal anchors are paired in order (the n-th of a hash with the
 n-th), the longest chain of pairs that goes forward in both is kept, and the likeness is twice its
 length over the number of anchors of both.
 
-A text shorter than K is one anchor of its own; null and empty texts have an empty fingerprint.  Two
+A text of one code point is one anchor of its own; null and empty texts have an empty fingerprint.  Two
 empty ones are alike by 1, an empty and another by 0.
 """
 
@@ -27,7 +28,9 @@ from pyspark.sql import functions as F
 
 from tidewater.llm.common import bounded_batches
 
-K, S = 40, 8
+K, S = 12, 4
+#: From here on two thirds of a text hold 2K - S - 1 code points.
+SHORT = next(n for n in range(3 * K) if n - n // 3 >= 2 * K - S - 1)
 _u = lambda x: np.uint64(x)
 _BASE = _u(0x9E3779B97F4A7C15)
 
@@ -60,20 +63,27 @@ def _least(x: np.ndarray, n: int) -> np.ndarray:
 
 
 def anchors(text: str) -> np.ndarray:
-    """32-bit hashes of the closed syncmers, in text order."""
+    """32-bit hashes of the closed syncmers, in text order; of short texts also of the pairs of code points."""
     if not text:
         return np.empty(0, np.uint32)
     x = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    if len(x) < K:
+    if len(x) < 2:
         return np.array([xxhash.xxh32_intdigest(x.tobytes())], np.uint32)
+    if len(x) < SHORT:
+        at, h = _syncmers(x) if len(x) >= K else (np.empty(0, np.int64), np.empty(0, np.uint32))
+        pairs = (_runs(x, 2) >> _u(32)).astype(np.uint32)
+        return np.insert(pairs, at, h)
+    return _syncmers(x)[1]
+
+
+def _syncmers(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of the closed syncmers."""
     inner = _runs(x, S)
     span = K - S + 1
     low = _least(inner, span)
     edge = (inner[: len(low)] == low) | (inner[span - 1 :] == low)
     at = np.flatnonzero(edge)
-    if not len(at):
-        return np.array([xxhash.xxh32_intdigest(x.tobytes())], np.uint32)
-    return (_runs(x, K)[at] >> _u(32)).astype(np.uint32)
+    return at, (_runs(x, K)[at] >> _u(32)).astype(np.uint32)
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
