@@ -279,6 +279,26 @@ def test_html_blocks(spark):
     assert got[1] == got[2] == "" and got[3] == 'open < text\nand "quoted' and len(got[4]) == 399_999
 
 
+def test_html_blocks_lose_no_main_text(spark):
+    body = "<article><p>first words here</p>{}<p>last words here</p></article>"
+    bare = ["<svg class=i/>", "<svg/>", "<button>", "<title-bar>", "<title-bar></title-bar>", "<select-menu>", "<select>", "<svg><title/></svg>", "<svg><title>hidden</title><svg/><path d='x'/></svg>",
+            "<button>hidden</button>", "<noscript><div>hidden</noscript>", "<script>hidden</script >", "<style>hidden</style x>", "<object><object>hidden</object></object>"]
+    pages = [body.format(x) for x in bare]
+    n = len(pages)
+    pages.append("<article><p>first words here</p><button><p>open one</p><button>hidden</button><p>last words here</p></article>")
+    pages.append(body.format("<figure><img src=x><figcaption>the caption</figcaption></figure>"))
+    main = body.format("")
+    pages += [f"<html class='ads'><body class='{c}'>{main}</body></html>" for c in ("page no-sidebar", "has-sidebar", "sidebar")]
+    pages += [f"<div class='{c}'>{main}</div>" for c in ("no-sidebar", "with-comments", "layout-with-sidebar")]
+    pages += [f"<div {c}>{main}</div>" for c in ("class='x sidebar'", "id=sidebar-2", "class=site-footer", "class='ad-box_1'", "role=search")]
+    got = [r.text for r in html_blocks.extract(spark.createDataFrame(list(enumerate(pages)), "page_id long, html string")).orderBy("page_id").collect()]
+    both = "first words here\nlast words here"
+    assert got[:n] == [both] * n
+    assert got[n] == "first words here\nopen one\nlast words here" and got[n + 1] == "first words here\nthe caption\nlast words here"
+    assert got[n + 2 : n + 8] == [both] * 6 and got[n + 8 :] == [""] * 5
+    assert len(html_blocks.blocks("<button><div>" * 50_000 + "</p>" * 50_000 + "end")) == 1
+
+
 # 9 syncmers
 def brute_anchors(text):
     from tidewater.llm.syncmers import K, S, _runs

@@ -7,7 +7,9 @@ decision tree is trained on a small labelled table of such blocks (``LABELLED``)
 column expression that keeps or drops each block.
 
 Null or empty html, and pages without a kept block, give an empty text.  Broken markup (missing end
-tags, unclosed quotes, ``<`` in text) is read as far as it goes; nothing is cut off.
+tags, unclosed quotes, ``<`` in text) is read as far as it goes.  Left out before the tree are scripts,
+styles, titles and text areas, up to the page's end if they are not closed, and buttons, drawings and
+the like (``_HIDDEN``) that have their end tag.
 """
 
 from __future__ import annotations
@@ -23,26 +25,32 @@ from pyspark.sql import functions as F
 
 from tidewater.llm.common import bounded_batches
 
-_RAW = "script|style|noscript|template|textarea|select|svg|iframe|object|canvas|title|button"
+_RAW = "script|style|textarea|title"  # text up to the end tag, or the end of the page
+_HIDDEN = frozenset("noscript template select svg iframe object canvas button".split())  # markup, left out with its end tag only
+_HAS_HIDDEN = re.compile(rf"<(?:{'|'.join(sorted(_HIDDEN))})(?=[\s/>])", re.I)
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
-    rf"|<(?P<raw>{_RAW})\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|<(?P<raw>{_RAW})(?=[\s/>])[^>]*(?<!/)>.*?(?:</(?P=raw)(?=[\s/>])[^>]*>|\Z)"
     r"""|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^<>"']|"[^"]*"|'[^']*')*+|[^>]*)>"""
     r"|(?P<text>[^<]+|<)",
     re.S | re.I,
 )
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark meter nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_FURNITURE = frozenset("nav header footer aside form menu dialog figcaption head".split())
+_FURNITURE = frozenset("nav header footer aside form menu dialog head".split())
 _MAIN = frozenset("article main".split())
-#: Words in class, id or role that mark what is not the article.
+#: Names in class, id or role that mark what is not the article; also after one of _BEFORE or before one of _AFTER.
 _NOISE = frozenset(
     "ad ads advert advertisement advertising adbox banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies copyright disclaimer disqus "
     "footer header login masthead menu modal nav navbar navigation newsletter notice popup promo promotion related respond share sharing sidebar signup "
     "social sponsor sponsored subscribe subscription tags toolbar widget complementary contentinfo search".split()
 )
-_ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
-_WORD = re.compile(r"[a-z]+")
+_BEFORE = frozenset("article blog bottom footer global google header left main mobile page post primary related right secondary side site sticky top user".split())
+_AFTER = frozenset(
+    "area bar block bottom box container count form frame footer header holder inner item items left link links list main menu meta nav outer panel primary "
+    "region right row secondary section slot title top unit widget wrap wrapper".split()
+)
+_ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 
 FEATURES = ("words", "link_density", "prev_words", "prev_link_density", "next_words", "next_link_density", "heading", "in_main", "in_furniture", "in_noise")
 
@@ -108,8 +116,41 @@ LABELLED = (
 )
 
 
-def _noisy(attributes: str) -> bool:
-    return any(w in _NOISE for m in _ATTRIBUTE.finditer(attributes) for w in _WORD.findall(m[2].lower()))
+def _noise_name(name: str) -> bool:
+    """A word of _NOISE, or a compound of one with _BEFORE and _AFTER; numbers do not count, other words do (no-sidebar)."""
+    words = [w for w in re.split(r"[-_\d]+", name) if w]
+    at = next((k for k, w in enumerate(words) if w in _NOISE), None)
+    return at is not None and all(w in _BEFORE or w in _NOISE for w in words[:at]) and all(w in _AFTER or w in _NOISE for w in words[at:][1:])
+
+
+def _noisy(tag: str, attributes: str) -> bool:
+    return tag not in ("html", "body") and any(_noise_name(w) for m in _ATTRIBUTE.finditer(attributes) for w in m[2].lower().strip("\"'").split())
+
+
+def _left_out(page: str) -> dict[int, int]:
+    """Where each hidden element that has its end tag begins and ends; an end tag closes all that stands open inside its element."""
+    out: dict[int, int] = {}
+    if not _HAS_HIDDEN.search(page):
+        return out
+    open_: list[tuple[str, int]] = []
+    count: dict[str, int] = {}  # of open elements by name, so that a stray end tag costs nothing
+    for m in _TOKEN.finditer(page):
+        tag = (m["tag"] or "").lower()
+        if not tag or tag in _INLINE or tag in _VOID or tag in ("p", "li"):
+            continue
+        if not m["end"]:
+            if not (m["rest"] or "").endswith("/"):
+                open_.append((tag, m.start()))
+                count[tag] = count.get(tag, 0) + 1
+        elif count.get(tag):
+            while True:
+                name, start = open_.pop()
+                count[name] -= 1
+                if name == tag:
+                    break
+            if tag in _HIDDEN:
+                out[start] = m.end()
+    return out
 
 
 def blocks(page: str | None) -> list[dict]:
@@ -129,7 +170,10 @@ def blocks(page: str | None) -> list[dict]:
             out.append({"text": text, "words": float(n), "link_density": min(1.0, len(entities.unescape("".join(linked)).split()) / n), "heading": float(heading), "in_main": float(state[0] > 0), "in_furniture": float(state[1] > 0), "in_noise": float(state[2] > 0)})
         parts, linked, link = [], [], 0
 
+    left_out, shown_from = _left_out(page or ""), 0
     for m in _TOKEN.finditer(page or ""):
+        if m.start() < shown_from:
+            continue
         if (text := m["text"]) is not None:
             parts.append(text)
             if link:
@@ -139,6 +183,9 @@ def blocks(page: str | None) -> list[dict]:
         if tag is None:
             continue
         tag = tag.lower()
+        if tag in _HIDDEN and not m["end"]:  # closed at once or never: nothing to leave out
+            shown_from = left_out.get(m.start(), 0)
+            continue
         if tag in _INLINE:
             if tag == "a":
                 link = 0 if m["end"] else 1
@@ -157,7 +204,7 @@ def blocks(page: str | None) -> list[dict]:
         elif not (m["rest"] or "").endswith("/"):
             open_.append((tag, *state))
             main, furniture, noise = state
-            state = (main + (tag in _MAIN), furniture + (tag in _FURNITURE), noise + _noisy(m["rest"] or ""))
+            state = (main + (tag in _MAIN), furniture + (tag in _FURNITURE), noise + _noisy(tag, m["rest"] or ""))
     flush()
     for k, b in enumerate(out):
         for name, j in (("prev", k - 1), ("next", k + 1)):
