@@ -115,6 +115,17 @@ def test_mined_rules_match_brute_force(spark):
         assert joined[x.page_id] == (want and " ".join(want.tokens)) or want and set(joined[x.page_id].split()) == set(want.tokens)
 
 
+def test_seed_words_in_any_host_label(spark):
+    plain = [f"http://h{k % 7}.example.com/en/{k}" for k in range(1000)]  # each seeded page is under min_support
+    seeded = ["http://casino.example.com/a", "http://ads.example.org/b", "http://casino24-win.example.com/c", "https://x.casino24.org:80/d", "http://SPAM7.com"]
+    other = ["http://broadside.example.com/ads", "http://adsorption.com/", "http://a.com/?casino=1"]
+    urls_ = plain + seeded + other
+    got = {r.page_id: r for r in urls.report(spark.createDataFrame(list(enumerate(urls_)), "page_id long, url string")).collect()}
+    for k, u in enumerate(urls_):
+        assert got[k].verdict == ("block" if u in seeded else "allow"), u
+    assert got[1000].confidence == 1.0 and got[0].confidence == 0.0
+
+
 # 4 bpe
 def test_bpe_is_tiktoken(spark):
     import tiktoken

@@ -2,12 +2,13 @@
 
 Labelled are the pages that a list of rules covers, and those whose host has a word from a short list
 (``SEEDS``).  URLs become sets of tokens (host labels and their parts, path segments, query keys;
-digits as ``#``), with the label, if there is one, as one more token.  Spark's FP-growth mines the
+digits as ``#``, in parts left out), with the label, if there is one, as one more token.  Spark's FP-growth mines the
 frequent token sets of all pages, so unlabelled pages count against a rule; rules with a label as
 their consequent stay if their confidence and support suffice and no shorter rule of the same label
 is as sure.  A page that
 no listed rule covers gets the verdict of its surest mined rule, found through an inverted index on
-each rule's rarest token, else ``allow``.
+each rule's rarest token; else ``block`` if its host has a seed word, with confidence 1 as for the listed
+rules, both being given by hand; else ``allow``.
 
 The number of frequent sets is at most 2^(tokens of a URL) / support, whatever the number of pages,
 so the mined rules are small enough to hand to every task; ``max_rules`` is checked all the same, and
@@ -75,7 +76,7 @@ def listed(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
 
 
 _DIGITS = regex.compile(r"\d+")
-_SPLIT = regex.compile(r"[^\p{L}\p{N}#]+")
+_SPLIT = regex.compile(r"[^\p{L}\p{M}\p{N}]+|\d+")
 
 
 def tokens_of(url: str | None) -> list[str]:
@@ -87,12 +88,10 @@ def tokens_of(url: str | None) -> list[str]:
     rest, _, query = rest.partition("?")
     host, _, path = rest.partition("/")
     out = set()
-    for label in _DIGITS.sub("#", host.lower()).split("."):
+    for label in host.lower().split("."):
         if label:
-            out.add("host:" + label)
-            parts = [p for p in _SPLIT.split(label) if p]
-            if len(parts) > 1:
-                out.update("part:" + p for p in parts)
+            out.add("host:" + _DIGITS.sub("#", label))
+            out.update("part:" + p for p in _SPLIT.split(label) if p)
     for seg in _DIGITS.sub("#", path.lower()).split("/"):
         if seg and seg != "#":
             out.add("path:" + seg)
@@ -201,10 +200,11 @@ def judge(pages: DataFrame, rules=RULES, seeds=SEEDS, **mining) -> DataFrame:
     seeded = F.when(F.arrays_overlap("tokens", F.array(*[F.lit("part:" + w) for w in seeds])), "block") if seeds else F.lit(None)
     mined = mine(parsed.select("tokens", F.coalesce("listed", seeded).alias("verdict")), **mining)
     out = by_rules(parsed, mined)
+    by_seed = F.when(seeded.isNotNull(), 1.0)
     return out.withColumns(
         {
-            "verdict": F.coalesce("listed", F.col("mined.verdict"), F.lit("allow")),
-            "confidence": F.when(F.col("listed").isNotNull(), 1.0).otherwise(F.coalesce(F.col("mined.confidence"), F.lit(0.0))),
+            "verdict": F.coalesce("listed", F.col("mined.verdict"), seeded, F.lit("allow")),
+            "confidence": F.when(F.col("listed").isNotNull(), 1.0).otherwise(F.coalesce(F.col("mined.confidence"), by_seed, F.lit(0.0))),
             "mined_tokens": F.when(F.col("listed").isNull(), F.col("mined.tokens")),
         }
     ).drop("listed", "mined", "tokens")
