@@ -39,6 +39,21 @@ def test_templates_accept_optional_and_replaceable_wording():
         licenses.parse("a<<beginOptional>>b")
 
 
+def test_only_whole_license_texts_score_highest():
+    import re
+
+    m = licenses.Automaton()
+    score = lambda t: max((m.templates[k].score for k, _, _ in m.matches(licenses.words_of(t))), default=0)
+    for name in ("text-mit", "text-bsd"):
+        markup = next(t.markup for t in m.templates if t.name == name)
+        whole = re.sub("<<var[^>]*>>", "the copyright holders", re.sub("<<(begin|end)Optional>>", " ", markup))
+        assert score(whole) == score(whole.upper() + " more") == 1.0
+        words = whole.split()
+        assert all(0 < score(" ".join(words[:k])) < 1 for k in range(60, len(words)))
+        assert 0 < score(whole.replace("AS IS", "AS IS for research only", 1)) < 1
+        assert score(whole.replace("MERCHANTABILITY", "")) < 1
+
+
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()

@@ -9,6 +9,9 @@ word follows in order.  All automata run together over the words of a text.
 Words are the runs of ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]`` after A-Z are lower-cased, so
 punctuation and white space never matter.
 
+Whole texts are matched of the MIT and BSD licenses; of Apache, GPL and Creative Commons only notices.  An
+opening is a notice too: it says nothing of the clauses after it.
+
 Null or empty texts have no words and no matches.  Extra columns are kept; ``n_words`` and
 ``matches`` are overwritten if the input has them.
 """
@@ -37,7 +40,7 @@ class Template:
     name: str
     label: str
     markup: str
-    score: float  # how sure a match is: a bare phrase, a notice, a whole license text
+    score: float  # how sure a match is: a bare phrase, a notice or opening, a whole license text
     base: bool = False
 
 
@@ -51,9 +54,20 @@ TEMPLATES = (
     ),
     Template("notice-mit-licensed", "mit-notice", "licensed under the<<beginOptional>> terms of the<<endOptional>> MIT License", 0.9),
     Template(
-        "text-mit", "mit-text",
+        "opening-mit", "mit-text",
+        'Permission is hereby granted, free of charge, to any person obtaining a copy of <<var;name="what";words="1,8">> '
+        'and associated documentation files (the "<<var;name="noun";words="1,3">>"), to deal in the <<var;name="noun";words="1,3">> without restriction', 0.9,
+    ),
+    Template(
+        "text-mit", "mit-whole",
         'Permission is hereby granted, free of charge, to any person obtaining a copy of <<var;name="what";words="1,8">> '
-        'and associated documentation files (the "<<var;name="noun";words="1,3">>"), to deal in the <<var;name="noun";words="1,3">> without restriction', 1.0,
+        "and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, "
+        "modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, "
+        "subject to the following conditions: The above copyright notice and this permission notice<<beginOptional>> (including the next paragraph)<<endOptional>> "
+        "shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, "
+        "INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL "
+        '<<var;name="holder";words="1,12">> BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, '
+        "OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE", 1.0,
     ),
     Template(
         "notice-apache-2.0", "apache-2.0",
@@ -74,9 +88,23 @@ TEMPLATES = (
     Template("notice-cc-by-sa", "cc-by-sa-4.0", "licensed under<<beginOptional>> a Creative Commons<<endOptional>> CC BY-SA 4.0", 0.9),
     Template("notice-cc-by", "cc-by-4.0", "licensed under<<beginOptional>> a Creative Commons<<endOptional>> CC BY 4.0", 0.9),
     Template(
-        "text-bsd", "bsd-text",
+        "opening-bsd", "bsd-text",
         "Redistribution and use in source and binary forms, with or without modification, are permitted"
-        "<<beginOptional>> (subject to the limitations in the disclaimer below)<<endOptional>> provided that the following conditions are met", 1.0,
+        "<<beginOptional>> (subject to the limitations in the disclaimer below)<<endOptional>> provided that the following conditions are met", 0.9,
+    ),
+    Template(
+        "text-bsd", "bsd-whole",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+        "<<beginOptional>>1<<endOptional>> Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+        "<<beginOptional>>2<<endOptional>> Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer "
+        "in the documentation and/or other materials provided with the distribution. "
+        '<<beginOptional>><<beginOptional>>3<<endOptional>> Neither the name of <<var;name="holder";words="1,12">> nor the names of <<beginOptional>>its<<endOptional>> contributors '
+        "may be used to endorse or promote products derived from this software without specific prior written permission.<<endOptional>> "
+        'THIS SOFTWARE IS PROVIDED BY <<var;name="holder";words="1,12">> AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF '
+        'MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL <<var;name="holder";words="1,12">> BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, '
+        "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS "
+        "INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF "
+        "THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE", 1.0,
     ),
 )
 
