@@ -91,7 +91,7 @@ def tokens_of(url: str | None) -> list[str]:
     for label in host.lower().split("."):
         if label:
             out.add("host:" + _DIGITS.sub("#", label))
-            out.update("part:" + p for p in _SPLIT.split(label) if p)
+            out.update("part:" + p for p in _SPLIT.split(label) if p and p != label)  # a whole label is its own part
     for seg in _DIGITS.sub("#", path.lower()).split("/"):
         if seg and seg != "#":
             out.add("path:" + seg)
@@ -197,7 +197,7 @@ def judge(pages: DataFrame, rules=RULES, seeds=SEEDS, **mining) -> DataFrame:
     parsed = with_tokens(pages).withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
     rule, verdict = listed(F.col("host"), F.col("path"), rules)
     parsed = parsed.withColumns({"rule": rule, "listed": verdict})
-    seeded = F.when(F.arrays_overlap("tokens", F.array(*[F.lit("part:" + w) for w in seeds])), "block") if seeds else F.lit(None)
+    seeded = F.when(F.arrays_overlap("tokens", F.array(*[F.lit(kind + w) for w in seeds for kind in ("host:", "part:")])), "block") if seeds else F.lit(None)
     mined = mine(parsed.select("tokens", F.coalesce("listed", seeded).alias("verdict")), **mining)
     out = by_rules(parsed, mined)
     by_seed = F.when(seeded.isNotNull(), 1.0)
