@@ -28,7 +28,7 @@ def duck():
 
 def test_entry_smoke(spark):
     df = E.entry(spark)
-    assert df.columns == ["t_item", "similar_item", "target_name", "similar_name", "score", "strength"]
+    assert df.columns == ["t_item", "similar_item", "target_name", "similar_name", "score", "strength", "rank"]
     assert df.count() >= 0
 
 
