@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import bpe, decontam, html_blocks, icws, licenses, ppm, quality, syncmers, urls, warc
+from tidewater.llm import bpe, decontam, html_blocks, icws, importance, licenses, packing, ppm, quality, syncmers, urls, warc
 from tidewater.llm.common import held_out, load
 
 RANKS = "byte_bpe_50k.tiktoken"
+WORDS = "word_bpe_49k.json"
 
 
 def op1_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,15 +66,28 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
 
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's token ids, packed into sequences."""
+    import public_tokenizers
+
+    return packing.report(load(spark, sf_dir, "documents"), public_tokenizers.path(WORDS))
+
+
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents drawn for their likeness to the benchmark's texts."""
+    return importance.report(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_license_templates, op2_language_ppm, op3_url_rules, op4_byte_bpe, op5_minhash_icws,
         op6_decontaminate, op7_warc_zstd, op8_html_blocks, op9_syncmers, op10_quality_rules,
+        op12_packing, op13_importance,
     )
 }
 
-SQL = {"op1_license_templates": licenses.report_sql(), "op7_warc_zstd": """
+SQL = {"op1_license_templates": licenses.report_sql(), "op13_importance": importance.report_sql(), "op7_warc_zstd": """
 WITH p AS (
   SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, ''))::BIGINT AS n, sha256(coalesce(html, '')) AS digest FROM pages
 ), f AS (SELECT digest, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY digest)
