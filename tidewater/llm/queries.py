@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import bpe, decontam, html_blocks, icws, importance, licenses, packing, ppm, quality, syncmers, urls, warc
+from tidewater.llm import bpe, decontam, html_blocks, icws, importance, licenses, packing, ppm, quality, runs, syncmers, urls, warc
 from tidewater.llm.common import held_out, load
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -66,6 +66,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document."""
+    return runs.report(load(spark, sf_dir, "documents"))
+
+
 def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's token ids, packed into sequences."""
     import public_tokenizers
@@ -83,7 +88,7 @@ QUERIES = {
     for f in (
         op1_license_templates, op2_language_ppm, op3_url_rules, op4_byte_bpe, op5_minhash_icws,
         op6_decontaminate, op7_warc_zstd, op8_html_blocks, op9_syncmers, op10_quality_rules,
-        op12_packing, op13_importance,
+        op11_periodic_runs, op12_packing, op13_importance,
     )
 }
 
