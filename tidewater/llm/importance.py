@@ -47,10 +47,12 @@ def words(text: Column) -> Column:
 
 def features(found: Column, max_n: int) -> Column:
     """All runs of 1 to ``max_n`` consecutive words, each joined by one space."""
-    runs = [found]
-    for n in range(2, max_n + 1):
+
+    def of(n: int) -> Column:
         starts = F.when(F.size(found) >= n, F.sequence(F.lit(1), F.size(found) - (n - 1))).otherwise(F.array().cast("array<int>"))
-        runs.append(F.transform(starts, lambda i, n=n: F.array_join(F.slice(found, i, n), " ")))
+        return F.transform(starts, lambda i: F.array_join(F.slice(found, i, n), " "))
+
+    runs = [found, *map(of, range(2, max_n + 1))]
     return F.concat(*runs) if len(runs) > 1 else found
 
 
