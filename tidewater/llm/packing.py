@@ -20,9 +20,11 @@ A retried task makes the same windows, as it reads the same rows in the same ord
 from __future__ import annotations
 
 import heapq
+import os
+import re
+import struct
 from bisect import insort
 
-import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -35,7 +37,7 @@ END = 1
 #: Windows differenced at once.
 BLOCK = 256
 #: Words whose ids a worker keeps, in each of two generations, and the longest word it keeps.
-MEMO_WORDS, MEMO_BYTES = 150_000, 48
+MEMO_WORDS, MEMO_BYTES = 250_000, 48
 #: Rows and id bytes after which a worker hands on a batch.
 OUT_ROWS, OUT_BYTES = 4096, 8 << 20
 
@@ -119,72 +121,73 @@ def halves(pieces: list[tuple[int, int, int]], width: int) -> list[list[tuple[in
     return out
 
 
-class Codec:
-    """Ids of texts as little-endian 32-bit bytes.
+class Codec(dict):
+    """Ids of words, and so of texts, as little-endian 32-bit bytes.
 
     The tokenizer drops white space and never joins ids over it, so a text's ids are those of its words.
-    A mark after a letter or digit is a token of its own, and case is dropped, so words are kept without
-    either.  They are kept in two generations, so that memory is bounded.
+    A word of letters between marks is three parts of their own, and case is dropped.  New letters go to the
+    tokenizer's model, written as it writes their bytes; any other new word goes through the whole tokenizer.
+    Words are kept in two generations, this one and ``old``, which bound the memory.
     """
 
-    BREAK = "\x01"  # a word of one id, put between words that are encoded together
+    #: Marks, letters that no normalisation changes, marks.  An apostrophe before letters may belong to them.
+    PARTS = re.compile("([!-&(-/:-@\\[-`{-~]*)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\\[-`{-~]*)")
 
     def __init__(self, path: str):
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task's core is all it may use
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        (self.mark,) = self.tokenizer.encode(self.BREAK, add_special_tokens=False).ids
-        self.tails = {m: self._alone(m) for m in (b".", b",", b";", b":", b"!", b"?")}
-        self.young: dict[bytes, bytes] = {}
+        super().__init__()
         self.old: dict[bytes, bytes] = {}
+        tokenizer = Tokenizer.from_file(path)
+        self.encode = tokenizer.encode
+        self.tokenize = tokenizer.model.tokenize
+        letters = [chr(c) for c in range(0x61, 0x100) if self.PARTS.fullmatch(chr(c)) and chr(c).islower()]
+        self.written = {ord(c): tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in letters}
+
+    def __missing__(self, word: bytes) -> bytes:
+        got = self.old.get(word)
+        if got is None:
+            got = self._new(word)
+        if len(word) <= MEMO_BYTES:
+            self[word] = got
+        return got
 
-    def _alone(self, word: bytes) -> bytes:
-        return np.array(self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _new(self, words: list[bytes]) -> dict[bytes, bytes]:
-        """Ids of words that are not kept, many words to a call."""
-        got = {}
-        for at in range(0, len(words), 1024):
-            some = words[at : at + 1024]
-            text = f" {self.BREAK} ".join([w.decode("utf-8", "replace") for w in some])
-            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-            ends = np.flatnonzero(ids == self.mark).tolist()
-            if len(ends) != len(some) - 1:  # a word has the break's id
-                got.update((w, self._alone(w)) for w in some)
-                continue
-            raw = ids.tobytes()
-            for w, start, end in zip(some, [0] + [4 * e + 4 for e in ends], [4 * e for e in ends] + [len(raw)]):
-                got[w] = raw[start:end]
+    def _new(self, raw: bytes) -> bytes:
+        if raw.isalpha() and raw.islower():
+            return pack_ids([t.id for t in self.tokenize(raw.decode())])
+        word = raw.decode("utf-8", "replace")
+        parts = self.PARTS.fullmatch(word)
+        if not parts or "<|" in word:  # a special token is an id of its own
+            return pack_ids(self.encode(word, add_special_tokens=False).ids)
+        before, letters, after = parts.groups()
+        low = letters.lower()
+        if low == word:
+            return pack_ids([t.id for t in self.tokenize(low.translate(self.written))])
+        marks = lambda m: self._marks(m.encode()) if m else b""
+        return marks(before) + self[low.encode()] + marks(after)
+
+    def _marks(self, marks: bytes) -> bytes:
+        """Marks alone, kept under a name that no word has."""
+        key = b" " + marks
+        got = self.get(key) or self.old.get(key) or pack_ids(self.encode(marks.decode(), add_special_tokens=False).ids)
+        if len(key) <= MEMO_BYTES:
+            self[key] = got
         return got
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        split = [t.encode("utf-8", "surrogatepass").split() for t in texts]
-        young, old, tails = self.young, self.old, self.tails
-        known: dict[bytes, bytes] = {}
-        new: dict[bytes, list] = {}
-        for w in set().union(*split):
-            tail = w[-1:] if w[-1:] in tails and w[-2:-1].isalnum() else b""
-            core = w[:-1] if tail else w
-            if core.isalpha():
-                core = core.lower()
-            got = young.get(core)
-            if got is None and (got := old.get(core)) is not None:
-                young[core] = got
-            if got is None:
-                new.setdefault(core, []).append((w, tail))
-            else:
-                known[w] = got + tails[tail] if tail else got
-        for core, got in self._new(list(new)).items():
-            if len(core) <= MEMO_BYTES:
-                young[core] = got
-            for w, tail in new[core]:
-                known[w] = got + tails[tail] if tail else got
-        if len(young) > MEMO_WORDS:
-            self.young, self.old = {}, young
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+        get = self.__getitem__
+        out = []
+        for t in texts:
+            out.append(b"".join(map(get, t.encode("utf-8", "surrogatepass").split())))
+            if len(self) > MEMO_WORDS:
+                self.old = dict(self)
+                self.clear()
+        return out
+
+
+def pack_ids(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def pack(docs: DataFrame, tokenizer: str, width: int = WIDTH, end: int = END, block: int = BLOCK) -> DataFrame:
