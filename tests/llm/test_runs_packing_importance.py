@@ -206,7 +206,7 @@ def test_word_ids_are_the_tokenizers(spark):
     texts = [r.text or "" for r in load(spark, SF, "documents").collect()]
     texts += ["x.\x01. a\x01 \x01 b. é. 9, q", "H̱ <|ENDOFTEXT|> it's. 'S. DON'T, A.B.C. x", " \x01 ", "á ́b\x1c\x85 <|endoftext|> x", "12³ ǅ İ"]
     for _ in range(2):
-        assert [np.frombuffer(b, "<u4").tolist() for b in codec.ids(texts)] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+        assert [np.frombuffer(b, "<u4").tolist() for b in codec.ids([x.encode() for x in texts])] == [t.encode(x, add_special_tokens=False).ids for x in texts]
 
 
 # 13 importance

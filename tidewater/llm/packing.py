@@ -24,6 +24,7 @@ import os
 import re
 import struct
 from bisect import insort
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -175,11 +176,11 @@ class Codec(dict):
             self[key] = got
         return got
 
-    def ids(self, texts: list[str]) -> list[bytes]:
+    def ids(self, texts: list[bytes]) -> list[bytes]:
         get = self.__getitem__
         out = []
         for t in texts:
-            out.append(b"".join(map(get, t.encode("utf-8", "surrogatepass").split())))
+            out.append(b"".join(map(get, t.split())))
             if len(self) > MEMO_WORDS:
                 self.old = dict(self)
                 self.clear()
@@ -190,12 +191,18 @@ def pack_ids(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
+@lru_cache(maxsize=2)
+def codec_of(path: str) -> Codec:
+    """A worker's codec, and the words it keeps, for all of its tasks."""
+    return Codec(path)
+
+
 def pack(docs: DataFrame, tokenizer: str, width: int = WIDTH, end: int = END, block: int = BLOCK) -> DataFrame:
     """Pieces of the documents' ids with their places in the sequences."""
     bounded_batches(docs.sparkSession)
 
     def run(batches):
-        codec, mark = Codec(tokenizer), end.to_bytes(4, "little")
+        codec, mark = codec_of(tokenizer), end.to_bytes(4, "little")
         at = TaskContext.get().partitionId() << 36
         cols = [[] for _ in range(7)]
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
@@ -226,7 +233,7 @@ def pack(docs: DataFrame, tokenizer: str, width: int = WIDTH, end: int = END, bl
             return got
 
         for b in batches:
-            texts = [x or "" for x in b.column("text").to_pylist()]
+            texts = [x or b"" for x in b.column("text").to_pylist()]
             for doc_id, ids in zip(b.column("doc_id").to_pylist(), codec.ids(texts)):
                 ids += mark
                 n = len(ids) // 4
@@ -251,7 +258,7 @@ def pack(docs: DataFrame, tokenizer: str, width: int = WIDTH, end: int = END, bl
             place(map(cut, pieces))
         yield batch()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SCHEMA)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).mapInArrow(run, SCHEMA)
 
 
 def report(docs: DataFrame, tokenizer: str) -> DataFrame:
