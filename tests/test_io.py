@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from tidewater.sources import readers, sinks
+from tidewater.sources import intake, readers, sinks
 from tidewater.streaming import events as S
 from tidewater.sources.tables import Tables
 
@@ -35,6 +35,20 @@ def test_malformed_rows_are_quarantined(spark, tmp_dir):
     assert [r._corrupt_record for r in bad.collect()] == ["2,abc"]
 
 
+def test_intake_routes_a_folder_in_one_write(spark, tmp_dir):
+    for folder in ("a", "b"):
+        os.makedirs(os.path.join(tmp_dir, "in", folder))
+    _write(os.path.join(tmp_dir, "in/a/x.csv"), 'id,name,v\n1,ab,2.5\n2,cd\n3,ef,1,9\nq,gh,2\n5,"i,j",3\n6,"kl,4\n,mn,5\n7,,\n\n8,op,x\n')
+    _write(os.path.join(tmp_dir, "in/b/y.csv"), "id,name,v\n10,zz,1\n")
+    _write(os.path.join(tmp_dir, "in/b/z.csv"), "")
+    for _ in range(2):  # a replay leaves the same folder
+        taken = intake.ingest_csv(spark, os.path.join(tmp_dir, "in"), "id BIGINT, name STRING, v DOUBLE", os.path.join(tmp_dir, "out"), required=("id",))
+        assert sorted((r.id, r.name, r.v, r.folder) for r in taken.good.collect()) == [(1, "ab", 2.5, "a"), (5, "i,j", 3.0, "a"), (7, None, None, "a"), (10, "zz", 1.0, "b")]
+        assert sorted(r.line for r in taken.bad.collect()) == [",mn,5.0", "2,cd", "3,ef,1,9", '6,"kl,4', "8,op,x", "q,gh,2"]
+        assert sorted((r.file_path.rsplit("/", 1)[1], r.n_good, r.n_bad) for r in taken.counts().collect()) == [("x.csv", 3, 6), ("y.csv", 1, 0)]
+    assert "PartitionFilters: [isnotnull(is_bad" in taken.good._jdf.queryExecution().toString()
+
+
 def test_schema_applied_not_ignored(spark, tmp_dir):
     _write(os.path.join(tmp_dir, "o.csv"), "order_id,quantity\n1,5\n2,x\n")
     df = readers.read_csv(spark, os.path.join(tmp_dir, "o.csv"), "order_id INT, quantity INT")

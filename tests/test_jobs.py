@@ -1,6 +1,7 @@
 """File-to-file jobs on small literal files in the shapes of FIXTURES.md §B."""
 
 import os
+from decimal import Decimal
 
 from tidewater.plans import jobs
 
@@ -45,12 +46,44 @@ def test_commerce_etl_end_to_end(spark, tmp_dir):
             cust[10].is_active, cust[10].loyalty_points) == ("Ann", "ann@example.com", "5551234567", "MN", "USA", True, 0)
     assert cust[11].phone is None and cust[11].country == "Canada"
     prods = {r.product_id: r for r in out["products"].collect()}
-    assert set(prods) == {"P1", "P2"} and str(prods["P2"].price) == "399.99" and prods["P1"].stock_quantity == 0
+    assert set(prods) == {"P1", "P2"} and prods["P2"].price == Decimal("399.99") and prods["P1"].stock_quantity == 0
     assert prods["P1"].brand == "Acme"
     rev = {r.category: (str(r.total_revenue), r.total_orders) for r in out["revenue_by_category"].collect()}
     assert rev == {"Home": ("18.00", 1), "Office": ("5.50", 1)}
 
 
+def _triple(folder, orders):
+    o, c, p = (os.path.join(folder, f"{n}.csv") for n in ("orders", "customers", "products"))
+    _write(o, "order_id,customer_id,product_id,order_date,ship_date,quantity,unit_price,discount_pct,total_amount,payment_method,order_status\n" + orders)
+    _write(c, "customer_id,first_name,last_name,email,phone,signup_date,country,state,postal_code,is_active,loyalty_points\n"
+              "10,Ann,Lee,ann@example.com,,2023-01-01,USA,MN,55101,yes,1\n11,Bo,Ng,bo@example.com,,2023-01-02,USA,MN,1,no,2\n")
+    _write(p, "product_id,product_name,category,brand,price,cost,stock_quantity,weight_kg,created_date,is_active\n"
+              "P1,Lamp,Home,acme,$10.125,4.0625,3,1.125,2022-01-01,Yes\n")
+    return o, c, p
+
+
+def test_decimals_are_rounded_once_at_the_end(spark, tmp_dir):
+    paths = _triple(tmp_dir, "1,10,P1,2024-01-05,,2,100.00,12.345,1,Cash,Pending\n2,11,P1,2024-01-05,,2,5.555,0,1,Cash,Pending\n"
+                             "3,10,P1,2024-01-05,,1,0.0049,0,1,Cash,Pending\n4,10,P1,2024-01-05,,1,10,100000000,1,Cash,Pending\n")
+    out = jobs.commerce_etl(spark, *paths, os.path.join(tmp_dir, "out"))
+    orders = {r.order_id: r for r in out["orders"].collect()}
+    assert [orders[k].total_amount for k in (1, 2, 3, 4)] == [Decimal("175.31"), Decimal("11.11"), Decimal("0.00"), Decimal("10.00")]
+    assert orders[3].unit_price == Decimal("0.0049") and orders[1].discount_pct == Decimal("12.345")
+    (product,) = out["products"].collect()
+    assert (product.price, product.cost, product.weight_kg) == (Decimal("10.125"), Decimal("4.0625"), Decimal("1.125"))
+    assert [(r["rank"], r.customer_id, r.total_spent) for r in sorted(out["top_customers"].collect(), key=lambda r: r["rank"])] == [(1, 10, Decimal("185.31")), (2, 11, Decimal("11.11"))]
+    assert "rejected" not in out
+
+
+def test_commerce_etl_sets_malformed_lines_aside(spark, tmp_dir):
+    good = "1,10,P1,2024-01-05,,2,100.00,0,1,Cash,Pending\n"
+    paths = _triple(tmp_dir, good + "x,10,P1,2024-01-05,,2,100.00,0,1,Cash,Pending\n3,10,P1\n4,10,P1,2024-01-05,,2,1,0,1,Cash,Pending,more\n,10,P1,2024-01-05,,2,1,0,1,Cash,Pending\n")
+    out = jobs.commerce_etl(spark, *paths, os.path.join(tmp_dir, "out"), quarantine=True)
+    assert [r.order_id for r in out["orders"].collect()] == [1]
+    counts = {r.table: (r.n_good, r.n_bad, r.file_path.rsplit("/", 1)[1]) for r in out["rejected"].collect()}
+    assert counts == {"orders": (1, 4, "orders.csv"), "customers": (2, 0, "customers.csv"), "products": (1, 0, "products.csv")}
+
+
 def test_item_similarities_job(spark, tmp_dir):
     ratings = os.path.join(tmp_dir, "ratings.dat")
     movies = os.path.join(tmp_dir, "movies.dat")

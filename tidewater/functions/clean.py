@@ -41,6 +41,9 @@ CREDIT_CARDS = ["Visa", "MasterCard"]
 VALID_ORDER_STATUS = ["Delivered", "Pending", "Cancelled", "Returned", "Shipped"]
 
 MONEY = "decimal(18,2)"
+# Unrounded amounts and percentages: six decimals.
+EXACT = "decimal(18,6)"
+PERCENT = "decimal(9,6)"
 
 
 def string_columns(df: DataFrame) -> list[str]:

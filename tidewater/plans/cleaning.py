@@ -2,8 +2,9 @@
 except the declared integers), in the reference's step order.
 
 Deviations from the reference (SURVEY §2.14): the duplicate survivor is
-deterministic (smallest raw row, not arbitrary); money is DECIMAL(18,2) instead of
-FLOAT; the recomputed total is exact decimal arithmetic rounded HALF_UP.
+deterministic (smallest raw row, not arbitrary); prices, discounts and weights keep
+their decimals as DECIMAL (six places) instead of FLOAT; the recomputed total is exact
+decimal arithmetic, rounded HALF_UP to two places once, at the end.
 """
 
 from __future__ import annotations
@@ -58,8 +59,8 @@ def clean_orders(raw: DataFrame) -> DataFrame:
     )
     df = df.withColumns(
         {
-            "unit_price": F.col("unit_price").try_cast(C.MONEY),
-            "discount_pct": F.col("discount_pct").try_cast(C.MONEY),
+            "unit_price": F.col("unit_price").try_cast(C.EXACT),
+            "discount_pct": F.col("discount_pct").try_cast(C.PERCENT),
             "total_amount": F.col("total_amount").try_cast(C.MONEY),
         }
     )
@@ -68,13 +69,15 @@ def clean_orders(raw: DataFrame) -> DataFrame:
     df = df.withColumns(
         {
             "discount_pct": F.when(F.col("discount_pct").between(0, 100), F.col("discount_pct")).otherwise(
-                F.lit(0).cast(C.MONEY)
+                F.lit(0).cast(C.PERCENT)
             ),
             "payment_method": C.payment(F.col("payment_method")),
             "order_status": F.when(F.col("order_status").isin(C.VALID_ORDER_STATUS), F.col("order_status")),
         }
     )
-    total = F.col("quantity") * F.col("unit_price") * (F.lit(100) - F.col("discount_pct")) * F.lit(0.01).cast("decimal(3,2)")
+    # 22 + 9 + 1 digits, 12 of them decimals: the product is exact before its one rounding
+    gross = (F.col("quantity") * F.col("unit_price")).cast("decimal(22,6)")
+    total = gross * (F.lit(100) - F.col("discount_pct")).cast(C.PERCENT) * F.lit(0.01).cast("decimal(3,2)")
     df = df.withColumn("total_amount", F.round(total, 2).cast(C.MONEY))
     return df.dropna(subset=["order_id", "customer_id", "product_id", "order_date", "quantity", "unit_price"])
 
@@ -94,9 +97,9 @@ def clean_products(raw: DataFrame) -> DataFrame:
     )
     df = df.withColumns(
         {
-            "price": F.col("price").try_cast(C.MONEY),
-            "cost": F.col("cost").try_cast(C.MONEY),
-            "weight_kg": F.col("weight_kg").try_cast(C.MONEY),
+            "price": F.col("price").try_cast(C.EXACT),
+            "cost": F.col("cost").try_cast(C.EXACT),
+            "weight_kg": F.col("weight_kg").try_cast(C.EXACT),
             "created_date": C.parse_date(F.col("created_date")),
             "is_active": C.to_bool(F.col("is_active")),
         }

@@ -46,8 +46,9 @@ def raw_orders(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
         "CASE WHEN k % 31 = 0 THEN 0 ELSE CAST(l_quantity AS INT) END + copy AS quantity",
         """CASE WHEN k % 37 = 0 THEN 'abc' WHEN k % 41 = 0 THEN 'NULL'
                 WHEN k % 3 = 0 THEN concat('$', CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS STRING))
+                WHEN k % 7 = 0 THEN concat(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS STRING), '5')
                 ELSE CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS STRING) END AS unit_price""",
-        """CASE WHEN k % 43 = 0 THEN '150' WHEN k % 47 = 0 THEN NULL
+        """CASE WHEN k % 43 = 0 THEN '150' WHEN k % 47 = 0 THEN NULL WHEN k % 11 = 0 THEN '12.345'
                 ELSE CAST(CAST(CAST(l_discount AS DECIMAL(18,2)) * 100 AS INT) AS STRING) END AS discount_pct""",
         """CASE WHEN k % 53 = 0 THEN '1,299.99'
                 ELSE concat('$', CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS STRING)) END AS total_amount""",
@@ -98,11 +99,12 @@ def raw_products(part: DataFrame) -> DataFrame:
         "CASE WHEN p_partkey % 19 = 0 THEN '' ELSE lower(p_brand) END AS brand",
         """CASE WHEN p_partkey % 37 = 0 THEN 'abc' WHEN p_partkey % 31 = 0 THEN '1,299.99'
                 WHEN p_partkey % 7 = 0 THEN replace(CAST(pr AS STRING), '.', ',')
-                WHEN p_partkey % 3 = 0 THEN concat('$', CAST(pr AS STRING)) ELSE CAST(pr AS STRING) END AS price""",
+                WHEN p_partkey % 3 = 0 THEN concat('$', CAST(pr AS STRING))
+                WHEN p_partkey % 5 = 0 THEN concat(CAST(pr AS STRING), '5') ELSE CAST(pr AS STRING) END AS price""",
         """CASE WHEN p_partkey % 41 = 0 THEN '-5.00' WHEN p_partkey % 11 = 0 THEN concat('$', CAST(pr - 100 AS STRING))
                 ELSE CAST(pr - 100 AS STRING) END AS cost""",
         "CASE WHEN p_partkey % 13 = 0 THEN NULL ELSE p_size * 10 - 50 END + copy AS stock_quantity",
-        "CASE WHEN p_partkey % 43 = 0 THEN 'heavy' ELSE concat(CAST(p_size AS STRING), '.5') END AS weight_kg",
+        "CASE WHEN p_partkey % 43 = 0 THEN 'heavy' WHEN p_partkey % 4 = 0 THEN concat(CAST(p_size AS STRING), '.125') ELSE concat(CAST(p_size AS STRING), '.5') END AS weight_kg",
         """CASE WHEN p_partkey % 47 = 0 THEN '13-45-2020'
                 WHEN p_partkey % 3 = 0 THEN date_format(date_add(DATE'2019-01-01', CAST(p_partkey % 1500 AS INT)), 'MM-dd-yyyy')
                 WHEN p_partkey % 3 = 1 THEN date_format(date_add(DATE'2019-01-01', CAST(p_partkey % 1500 AS INT)), 'yyyy/MM/dd')
@@ -127,8 +129,9 @@ base_o AS (SELECT k AS order_id, o_custkey AS customer_id,
   CASE WHEN k % 31 = 0 THEN 0 ELSE CAST(l_quantity AS INTEGER) END AS quantity,
   CASE WHEN k % 37 = 0 THEN 'abc' WHEN k % 41 = 0 THEN 'NULL'
        WHEN k % 3 = 0 THEN '$' || CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR)
+       WHEN k % 7 = 0 THEN CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) || '5'
        ELSE CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) END AS unit_price,
-  CASE WHEN k % 43 = 0 THEN '150' WHEN k % 47 = 0 THEN NULL
+  CASE WHEN k % 43 = 0 THEN '150' WHEN k % 47 = 0 THEN NULL WHEN k % 11 = 0 THEN '12.345'
        ELSE CAST(CAST(CAST(l_discount AS DECIMAL(18,2)) * 100 AS INTEGER) AS VARCHAR) END AS discount_pct,
   CASE WHEN k % 53 = 0 THEN '1,299.99' ELSE '$' || CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) END AS total_amount,
   CASE k % 4 WHEN 0 THEN 'Visa' WHEN 1 THEN 'MasterCard' WHEN 2 THEN 'Debit' ELSE 'PayPal' END AS payment_method,
@@ -169,17 +172,17 @@ f AS (SELECT * FROM p WHERE regexp_matches(unit_price, '^\\d+(\\.\\d+)?$') AND r
         AND regexp_matches(total_amount, '^\\d+(\\.\\d+)?$')),
 c AS (SELECT order_id, customer_id, product_id, order_date,
         CASE WHEN ship_date >= order_date THEN ship_date END AS ship_date, quantity,
-        CAST(unit_price AS DECIMAL(18,2)) AS unit_price, CAST(discount_pct AS DECIMAL(18,2)) AS discount_pct,
+        CAST(unit_price AS DECIMAL(18,6)) AS unit_price, TRY_CAST(discount_pct AS DECIMAL(9,6)) AS discount_pct,
         payment_method, order_status FROM f),
 g AS (SELECT * FROM c WHERE quantity > 0 AND unit_price > 0),
 h AS (SELECT order_id, customer_id, product_id, order_date, ship_date, quantity, unit_price,
-        CASE WHEN discount_pct BETWEEN 0 AND 100 THEN discount_pct ELSE CAST(0 AS DECIMAL(18,2)) END AS discount_pct,
+        CASE WHEN discount_pct BETWEEN 0 AND 100 THEN discount_pct ELSE CAST(0 AS DECIMAL(9,6)) END AS discount_pct,
         CASE WHEN payment_method IN ('Visa', 'MasterCard') THEN 'Credit Card' WHEN payment_method = 'Debit' THEN 'Debit Card'
              ELSE payment_method END AS payment_method,
         CASE WHEN order_status IN ('Delivered', 'Pending', 'Cancelled', 'Returned', 'Shipped') THEN order_status END AS order_status
       FROM g)
 SELECT order_id, customer_id, product_id, order_date, ship_date, quantity, unit_price, discount_pct,
-  CAST(round(quantity * unit_price * (100 - discount_pct) * 0.01, 2) AS DECIMAL(18,2)) AS total_amount,
+  CAST(round(CAST(quantity * unit_price AS DECIMAL(22,6)) * CAST(100 - discount_pct AS DECIMAL(9,6)) * CAST(0.01 AS DECIMAL(3,2)), 2) AS DECIMAL(18,2)) AS total_amount,
   payment_method, order_status
 FROM h WHERE order_id IS NOT NULL AND customer_id IS NOT NULL AND product_id IS NOT NULL AND order_date IS NOT NULL
   AND quantity IS NOT NULL AND unit_price IS NOT NULL"""
@@ -234,11 +237,12 @@ base_p AS (SELECT
   CASE WHEN p_partkey % 19 = 0 THEN '' ELSE lower(p_brand) END AS brand,
   CASE WHEN p_partkey % 37 = 0 THEN 'abc' WHEN p_partkey % 31 = 0 THEN '1,299.99'
        WHEN p_partkey % 7 = 0 THEN replace(CAST(pr AS VARCHAR), '.', ',')
-       WHEN p_partkey % 3 = 0 THEN '$' || CAST(pr AS VARCHAR) ELSE CAST(pr AS VARCHAR) END AS price,
+       WHEN p_partkey % 3 = 0 THEN '$' || CAST(pr AS VARCHAR)
+       WHEN p_partkey % 5 = 0 THEN CAST(pr AS VARCHAR) || '5' ELSE CAST(pr AS VARCHAR) END AS price,
   CASE WHEN p_partkey % 41 = 0 THEN '-5.00' WHEN p_partkey % 11 = 0 THEN '$' || CAST(pr - 100 AS VARCHAR)
        ELSE CAST(pr - 100 AS VARCHAR) END AS cost,
   CASE WHEN p_partkey % 13 = 0 THEN NULL ELSE p_size * 10 - 50 END AS stock_quantity,
-  CASE WHEN p_partkey % 43 = 0 THEN 'heavy' ELSE CAST(p_size AS VARCHAR) || '.5' END AS weight_kg,
+  CASE WHEN p_partkey % 43 = 0 THEN 'heavy' WHEN p_partkey % 4 = 0 THEN CAST(p_size AS VARCHAR) || '.125' ELSE CAST(p_size AS VARCHAR) || '.5' END AS weight_kg,
   CASE WHEN p_partkey % 47 = 0 THEN '13-45-2020'
        WHEN p_partkey % 3 = 0 THEN strftime(DATE '2019-01-01' + CAST(p_partkey % 1500 AS INTEGER), '%m-%d-%Y')
        WHEN p_partkey % 3 = 1 THEN strftime(DATE '2019-01-01' + CAST(p_partkey % 1500 AS INTEGER), '%Y/%m/%d')
@@ -260,8 +264,8 @@ a AS (SELECT CASE WHEN regexp_matches(product_id, '^P\\d+$') THEN product_id END
         created_date, is_active FROM t),
 b AS (SELECT * FROM a WHERE regexp_matches(price, '^\\d+(\\.\\d+)?$') AND regexp_matches(cost, '^\\d+(\\.\\d+)?$')
         AND regexp_matches(weight_kg, '^\\d+(\\.\\d+)?$')),
-c AS (SELECT product_id, product_name, category, brand, CAST(price AS DECIMAL(18,2)) AS price, CAST(cost AS DECIMAL(18,2)) AS cost,
-        stock_quantity, CAST(weight_kg AS DECIMAL(18,2)) AS weight_kg, {_DATE.format(c='created_date')} AS created_date,
+c AS (SELECT product_id, product_name, category, brand, CAST(price AS DECIMAL(18,6)) AS price, CAST(cost AS DECIMAL(18,6)) AS cost,
+        stock_quantity, CAST(weight_kg AS DECIMAL(18,6)) AS weight_kg, {_DATE.format(c='created_date')} AS created_date,
         CASE WHEN upper(trim(is_active)) IN ('TRUE', 'YES', 'Y') THEN TRUE WHEN upper(trim(is_active)) IN ('FALSE', 'NO', 'N') THEN FALSE END AS is_active
       FROM b),
 e AS (SELECT product_id, product_name, category,
@@ -314,3 +318,52 @@ def clean_revenue_by_category(spark, sf):
     )
     d = cleaning.order_details(tables["orders"], tables["customers"], tables["products"])
     return d.groupBy("category").agg(F.sum("total_amount").alias("total_revenue"), F.count("order_id").alias("total_orders"))
+
+
+# ---- the same jobs from raw CSV folders ------------------------------------------------
+
+
+def _csv_triple(spark, sf, run):
+    """Header CSV folders of the raw triple; every 59th order id is text, so its line is malformed."""
+    t = Tables(spark, sf, spread=True)
+    orders = raw_orders(t.lineitem, t.orders)
+    broken = F.when(F.col("order_id") % 59 == 0, F.concat(F.lit("no-"), F.col("order_id"))).otherwise(F.col("order_id").cast("string"))
+    for name, df in (("orders", orders.withColumn("order_id", broken)), ("customers", raw_customers(t.customer)), ("products", raw_products(t.part))):
+        df.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{run}/{name}")
+    return tuple(f"{run}/{n}" for n in ("orders", "customers", "products"))
+
+
+@register("clean_orders_from_csv", f"SELECT * FROM ({CLEAN_ORDERS_SQL}) WHERE order_id % 59 <> 0", "S8 S16 C2 F28")
+def clean_orders_from_csv(spark, sf):
+    """The raw orders as a CSV folder, read with the declared schema (malformed lines set aside), then C2."""
+    from tidewater.plans.jobs import RAW_ORDERS
+    from tidewater.sources.intake import FILE, FOLDER, ingest_csv
+    from tidewater.streaming.events import new_run_dir
+
+    run = new_run_dir(spark, "orders-csv")
+    orders, _, _ = _csv_triple(spark, sf, run)
+    taken = ingest_csv(spark, orders, RAW_ORDERS, f"{run}/raw", required=("order_id",))
+    clean = cleaning.clean_orders(taken.good.drop(FILE, FOLDER))
+    return clean.withColumns({c: F.col(c).cast("long") for c in ("order_id", "customer_id")})
+
+
+@register(
+    "commerce_job_top_customers",
+    f"""{_CLEAN_CTES},
+s AS (SELECT co.customer_id, cc.first_name, cc.last_name, CAST(sum(co.total_amount) AS DECIMAL(28,2)) AS total_spent
+  FROM co JOIN cc ON co.customer_id = cc.customer_id JOIN cp ON co.product_id = cp.product_id WHERE co.order_id % 59 <> 0 GROUP BY 1, 2, 3)
+SELECT CAST(customer_id AS BIGINT) AS customer_id, first_name, last_name, total_spent,
+  CAST(row_number() OVER (ORDER BY total_spent DESC, customer_id) AS INTEGER) AS rank,
+  (SELECT count(*) FROM raw_lines WHERE order_id % 59 = 0) AS n_rejected
+FROM s ORDER BY total_spent DESC, customer_id LIMIT 10""".replace("WITH co AS", f"WITH raw_lines AS (WITH {_RAW_ORDERS_SQL} SELECT order_id FROM raw_o), co AS", 1),
+    "C1 C2 C3 C4 C5 S8 S16 O3 K1",
+)
+def commerce_job_top_customers(spark, sf):
+    """C1–C5 as one job from three raw CSV folders: the ten best customers in order, and the lines set aside."""
+    from tidewater.plans.jobs import commerce_etl
+    from tidewater.streaming.events import new_run_dir
+
+    run = new_run_dir(spark, "commerce-job")
+    out = commerce_etl(spark, *_csv_triple(spark, sf, run), f"{run}/out", quarantine=True)
+    rejected = out["rejected"].agg(F.sum("n_bad")).scalar()
+    return out["top_customers"].select(F.col("customer_id").cast("long").alias("customer_id"), "first_name", "last_name", "total_spent", "rank", rejected.alias("n_rejected"))

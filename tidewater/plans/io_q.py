@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.columns import money
 from tidewater.plans.registry import register
-from tidewater.sources import readers, sinks
+from tidewater.sources import intake, readers, sinks
 from tidewater.sources.tables import Tables
 from tidewater.streaming.events import new_run_dir
 
@@ -113,22 +113,42 @@ def numbers_squares(spark, sf):
 
 @register(
     "file_name_counts",
-    """SELECT 'events' AS source, count(*) AS n FROM events""",
-    "F28 S16 K7",
+    "SELECT 'event_type=' || event_type AS source, count(*) AS n FROM events GROUP BY event_type",
+    "F28 S3",
 )
 def file_name_counts(spark, sf):
-    """Every row tagged with its source file name; rows per source (here the
-    file stem), malformed rows quarantined (none in derived data)."""
+    """every row tagged with the file it was read from; rows per folder of those files."""
     run = new_run_dir(spark, "named")
-    t = Tables(spark, sf)
-    t.events.select("event_id", "event_type").write.mode("overwrite").option("header", True).csv(f"{run}/events")
-    df = readers.read_csv(spark, f"{run}/events", "event_id BIGINT, event_type STRING", keep_corrupt=True,
-                          with_file_name=True)
-    good, _bad = readers.split_malformed(df)
-    # count(event_id) also keeps a data column in the query: Spark refuses a query that
-    # reads nothing but the corrupt-record column of a raw CSV scan.
-    tagged = good.filter(F.col("file_name").isNotNull()).withColumn("source", F.lit("events"))
-    return tagged.groupBy("source").agg(F.count("event_id").alias("n"))
+    Tables(spark, sf).events.select("event_id", "user_id", "event_type").write.partitionBy("event_type").option("header", True).csv(f"{run}/events")
+    df = readers.read_csv(spark, f"{run}/events/*/", "event_id BIGINT, user_id BIGINT", with_file_name=True)
+    source = F.element_at(F.split("file_path", "/"), -2)
+    return df.groupBy(source.alias("source")).agg(F.count("event_id").alias("n"))
+
+
+@register(
+    "csv_quarantine_by_folder",
+    """WITH e AS (SELECT event_type, event_id, user_id, event_id % 11 = 0 OR event_id % 13 = 0 OR event_id % 17 = 0 OR event_id % 19 = 0 AS bad FROM events)
+SELECT 'event_type=' || event_type AS folder, count(*) FILTER (WHERE NOT bad) AS n_good, count(*) FILTER (WHERE bad) AS n_bad,
+  CAST(coalesce(sum(user_id) FILTER (WHERE NOT bad), 0) AS BIGINT) AS user_sum FROM e GROUP BY event_type""",
+    "S16 S3 F28 K2",
+)
+def csv_quarantine_by_folder(spark, sf):
+    """A folder of CSV files without header, one subfolder an event type, some lines of which
+    lack a field, have one too many, hold text for a number or an open quote.  One scan and
+    one write route good and malformed rows; both are counted per folder from the result."""
+    run = new_run_dir(spark, "quarantine")
+    k, ok = F.col("event_id"), F.concat_ws(",", "event_id", "user_id", "ts")
+    line = (
+        F.when(k % 11 == 0, F.concat_ws(",", "event_id", "user_id"))
+        .when(k % 13 == 0, F.concat(ok, F.lit(",more")))
+        .when(k % 17 == 0, F.concat(F.lit("no-"), ok))
+        .when(k % 19 == 0, F.concat(F.lit('"'), ok))
+        .otherwise(ok)
+    )
+    Tables(spark, sf).events.select("event_type", line.alias("value")).write.partitionBy("event_type").text(f"{run}/in")
+    taken = intake.ingest_csv(spark, f"{run}/in", "event_id BIGINT, user_id BIGINT, ts TIMESTAMP_NTZ", f"{run}/out", header=False)
+    sums = taken.good.groupBy(intake.FOLDER).agg(F.sum("user_id").alias("user_sum"))
+    return taken.counts(intake.FOLDER).join(sums, intake.FOLDER, "left").withColumn("user_sum", F.coalesce("user_sum", F.lit(0)))
 
 
 @register(

@@ -6,6 +6,8 @@ writing Parquet outputs.  Raw schemas follow FIXTURES.md §B and are applied wit
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,8 +16,9 @@ from tidewater.operators import aggregate as agg
 from tidewater.operators import similarity as S
 from tidewater.operators.joins import anti_join
 from tidewater.plans import cleaning, models
-from tidewater.sources import readers, sinks
+from tidewater.sources import intake, readers, sinks
 
+# The raw files' columns and declared types.
 RAW_ORDERS = (
     "order_id INT, customer_id INT, product_id STRING, order_date STRING, ship_date STRING, quantity INT, "
     "unit_price STRING, discount_pct STRING, total_amount STRING, payment_method STRING, order_status STRING"
@@ -30,15 +33,25 @@ RAW_CUSTOMERS = (
 )
 
 
-def commerce_etl(spark: SparkSession, orders: str, customers: str, products: str, out: str) -> dict[str, DataFrame]:
+def commerce_etl(
+    spark: SparkSession, orders: str, customers: str, products: str, out: str, quarantine: bool = False
+) -> dict[str, DataFrame]:
     """Raw CSVs → cleaned tables (written once) → order details → five reports.
 
     Every output is Parquet under ``out`` (overwrite: re-runs are idempotent); the
-    returned DataFrames read those files.
+    returned DataFrames read those files.  A field that its declared type does not take
+    is NULL, as in the reference; with ``quarantine`` such rows, and rows of too few or too
+    many fields, go to ``out/raw`` as raw lines instead (``rejected`` counts them per file).
     """
-    raw_o = readers.read_csv(spark, orders, RAW_ORDERS)
-    raw_c = readers.read_csv(spark, customers, RAW_CUSTOMERS)
-    raw_p = readers.read_csv(spark, products, RAW_PRODUCTS)
+    raw = {"orders": (orders, RAW_ORDERS, "order_id"), "customers": (customers, RAW_CUSTOMERS, "customer_id"),
+           "products": (products, RAW_PRODUCTS, "product_id")}
+    counts = []
+    if quarantine:
+        taken = {n: intake.ingest_csv(spark, path, st, f"{out}/raw/{n}", required=(k,)) for n, (path, st, k) in raw.items()}
+        raw_o, raw_c, raw_p = (taken[n].good.drop(intake.FILE, intake.FOLDER) for n in raw)
+        counts = [t.counts().withColumn("table", F.lit(n)) for n, t in taken.items()]
+    else:
+        raw_o, raw_c, raw_p = (readers.read_csv(spark, path, st) for path, st, _ in raw.values())
     t = cleaning.publish_clean_tables(raw_o, raw_c, raw_p, f"{out}/clean")
     details = cleaning.order_details(t["orders"], t["customers"], t["products"])
     sinks.write_parquet(details, f"{out}/order_details")
@@ -48,17 +61,17 @@ def commerce_etl(spark: SparkSession, orders: str, customers: str, products: str
         "revenue_by_category": d.groupBy("category").agg(
             F.sum("total_amount").alias("total_revenue"), F.count("order_id").alias("total_orders")
         ),
-        "top_customers": d.groupBy("customer_id", "first_name", "last_name")
-        .agg(F.sum("total_amount").alias("total_spent"))
-        .orderBy(F.col("total_spent").desc(), F.col("customer_id"))
-        .limit(10),
+        "top_customers": agg.ranked_top_k(
+            d.groupBy("customer_id", "first_name", "last_name").agg(F.sum("total_amount").alias("total_spent")),
+            [F.col("total_spent").desc(), F.col("customer_id")], 10,
+        ),
         "profit_by_product": d.groupBy("product_id", "product_name").agg(F.sum(profit).alias("total_profit")),
         "monthly_sales": d.groupBy(F.date_trunc("month", F.col("order_date")).alias("month")).agg(
             F.sum("total_amount").alias("monthly_revenue")
         ),
         "sales_by_category": d.groupBy("category").agg(F.sum("total_amount").alias("total_amount")),
     }
-    out_frames = {**t, "order_details": d}
+    out_frames = {**t, "order_details": d, **({"rejected": reduce(DataFrame.unionByName, counts)} if counts else {})}
     for name, df in reports.items():
         sinks.write_parquet(df, f"{out}/{name}")
         out_frames[name] = spark.read.parquet(f"{out}/{name}")

@@ -41,7 +41,7 @@ def read_csv(
       reference's schema trap).
     * ``infer_schema`` costs an extra pass and is off unless asked for.
     * ``keep_corrupt`` adds ``_corrupt_record`` (malformed lines keep their raw text);
-      ``with_file_name`` adds the source file name from the hidden ``_metadata``.
+      ``with_file_name`` adds ``file_path`` and ``file_name`` from the hidden ``_metadata``.
     """
     r = spark.read.option("header", header).option("sep", sep).option("mode", mode)
     if encoding:
@@ -56,7 +56,7 @@ def read_csv(
         r = r.option("inferSchema", True)
     df = r.csv(path)
     if with_file_name:
-        df = df.withColumn("file_name", F.col("_metadata.file_name"))
+        df = df.withColumns({"file_path": F.col("_metadata.file_path"), "file_name": F.col("_metadata.file_name")})
     return df
 
 
