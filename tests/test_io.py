@@ -120,10 +120,6 @@ def test_event_json_roundtrip_and_late_rows(spark, tmp_dir):
     assert log.filter("event_type = 'navigation'").first().n == 1
     bad = S.parse_events(spark.read.text(inp)).filter(~F.col("is_valid"))
     assert bad.count() == 1
-    S.run_with_quarantine(S.read_event_stream(spark, inp), os.path.join(tmp_dir, "good"),
-                          os.path.join(tmp_dir, "bad"), os.path.join(tmp_dir, "ck3"))
-    assert spark.read.parquet(os.path.join(tmp_dir, "good")).count() == 5
-    assert [r.value for r in spark.read.text(os.path.join(tmp_dir, "bad")).collect()] == ["not json"]
     kinds = S.read_event_stream(spark, inp).filter("is_valid").select(
         F.to_json(F.struct(S.event_kind(F.col("event_type")).alias("kind"), "timestamp")).alias("value"))
     q = S.publish_stream(kinds, os.path.join(tmp_dir, "ck4"), path=os.path.join(tmp_dir, "pub"), available_now=True)
@@ -131,6 +127,89 @@ def test_event_json_roundtrip_and_late_rows(spark, tmp_dir):
     assert spark.read.text(os.path.join(tmp_dir, "pub")).count() == 5
 
 
+def test_quarantine_reads_once_and_replays(spark, tmp_dir):
+    inp, out, ck = (os.path.join(tmp_dir, n) for n in ("in", "out", "ck"))
+    os.makedirs(inp)
+    at = "2026-01-01T10:00:0{}Z"
+    files = [
+        [f'{{"event_id": 1, "event_type": "order", "timestamp": "{at.format(1)}"}}', "no json"],
+        ['{"event_id": 2, "event_type": "order", "timestamp": "yesterday"}'],
+        [f'{{"event_id": 3, "timestamp": "{at.format(3)}"}}', f'{{"event_id": 4, "event_type": "view", "timestamp": "{at.format(4)}"}}'],
+    ]
+    for i, lines in enumerate(files):
+        _write(os.path.join(inp, f"part-{i}.json"), "\n".join(lines) + "\n")
+        os.utime(os.path.join(inp, f"part-{i}.json"), (1_000_000 + i, 1_000_000 + i))
+
+    def state(good, bad):
+        return sorted((r.event_id, r.event_type, r.batch_id) for r in good.collect()), sorted((r.raw, r.batch_id) for r in bad.collect())
+
+    first = state(*S.run_with_quarantine(S.read_event_stream(spark, inp, max_files=1), out, ck))
+    assert first[0] == [(1, "order", 0), (4, "view", 2)]
+    assert first[1] == sorted([("no json", 0), (files[1][0], 1), (files[2][0], 2)])
+    # a batch that was written but not committed is written again, over its own folder
+    os.remove(os.path.join(ck, "commits", "2"))
+    again = os.path.join(ck, "commits", ".2.crc")
+    if os.path.exists(again):
+        os.remove(again)
+    assert state(*S.run_with_quarantine(S.read_event_stream(spark, inp, max_files=1), out, ck)) == first
+    assert os.path.exists(os.path.join(ck, "commits", "2"))
+    assert sorted(os.listdir(os.path.join(out, "batch_id=1"))) == ["._SUCCESS.crc", "_SUCCESS", "is_valid=false"]
+
+
+def test_ordered_publishing_keeps_small_batches_on_time(spark, tmp_dir):
+    from datetime import datetime, timedelta
+
+    start = datetime(2026, 1, 1)
+    rows = [(i, i % 7, "view", start + timedelta(minutes=(i * 7919) % 5000), 1.0) for i in range(3000)]
+    events = spark.createDataFrame(rows, "event_id long, user_id long, event_type string, ts timestamp_ntz, value double")
+    S.publish_batch(events, os.path.join(tmp_dir, "in"), files=6)
+    times = []
+    for name in sorted(n for n in os.listdir(os.path.join(tmp_dir, "in")) if n.startswith("part-")):
+        path = os.path.join(tmp_dir, "in", name)
+        times.append((os.path.getmtime(path), [r.ts for r in S.parse_events(spark.read.text(path)).collect()]))
+    assert len(times) == 6 and [t for t, _ in times] == sorted({t for t, _ in times})
+    assert all(max(a) <= min(b) for (_, a), (_, b) in zip(times, times[1:]))
+    stream = S.windowed_counts(S.read_event_stream(spark, os.path.join(tmp_dir, "in"), max_files=1), "1 hour", "10 minutes")
+    S.run_to_files(stream, os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ck"))
+    got = {r.window_start: r.n for r in spark.read.parquet(os.path.join(tmp_dir, "out")).collect()}
+    want = {}
+    for r in rows:
+        hour = r[3].replace(minute=0)
+        want[hour] = want.get(hour, 0) + 1
+    last = max(r[3] for r in rows) - timedelta(minutes=10)
+    assert got == {h: n for h, n in want.items() if h + timedelta(hours=1) <= last}
+
+
+def test_hot_user_sessions_are_stitched_over_slots(spark, tmp_dir):
+    import random
+    from datetime import datetime, timedelta
+
+    r = random.Random(3)
+    start, rows, at = datetime(2026, 1, 1), [], 0
+    for i in range(4000):  # one user with a third of the events and more; gaps of exactly 30 minutes too
+        at += r.choice([0, 20, 60, 400, 1799, 1800, 1801, 5000])
+        rows.append((i, 1 if i % 2 else r.randrange(2, 9), "view", start + timedelta(seconds=at), 1.0))
+    events = spark.createDataFrame(rows, "event_id long, user_id long, event_type string, ts timestamp_ntz, value double")
+    S.publish_batch(events, os.path.join(tmp_dir, "in"), files=4)
+    stream = S.hot_session_counts(S.read_event_stream(spark, os.path.join(tmp_dir, "in"), max_files=1))
+    S.run_to_files(stream, os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ck"))
+    got = sorted(tuple(x) for x in spark.read.parquet(os.path.join(tmp_dir, "out")).collect())
+    sessions, gap = [], timedelta(minutes=30)
+    for user in range(1, 9):
+        open_ = None
+        for ts in sorted(x[3] for x in rows if x[1] == user):
+            if open_ and ts < open_[2]:
+                open_[2], open_[3] = ts + gap, open_[3] + 1
+            else:
+                open_ = [user, ts, ts + gap, 1]
+                sessions.append(open_)
+    sessions = sorted(map(tuple, sessions))
+    # nothing else, and all but the newest, which the watermark has not closed
+    assert len(got) == len(set(got)) and set(got) <= set(sessions)
+    closed = max(x[3] for x in rows) - timedelta(hours=12)
+    assert {s for s in sessions if s[2] <= closed} <= set(got) and len(got) > 0.97 * len(sessions)
+
+
 def test_persist_scope_releases_blocks(spark):
     from pyspark import StorageLevel
 

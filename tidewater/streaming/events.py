@@ -17,6 +17,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewater.session import scratch_path
 
@@ -41,12 +42,35 @@ def to_event_json(events: DataFrame) -> DataFrame:
     )
 
 
-def publish_batch(events: DataFrame, path: str) -> str:
-    """Write events as JSON lines (batch producer).  Returns the folder."""
-    to_event_json(events).write.mode("overwrite").text(path)
+def publish_batch(events: DataFrame, path: str, files: int | None = None) -> str:
+    """Write events as JSON lines (batch producer).  Returns the folder.
+
+    With ``files`` they are published in event order: that many files, each a range of event
+    times and sorted by them, whose modification times rise with the ranges.  A stream takes
+    files by modification time, so with any ``max_files`` a micro-batch holds only events
+    later than those before it, and the watermark drops none that one batch would keep.
+    (The store must keep modification times, as HDFS and local disks do.)
+    """
+    if not files:
+        to_event_json(events).write.mode("overwrite").text(path)
+        return path
+    ordered = events.repartitionByRange(files, F.col("ts").asc_nulls_first()).sortWithinPartitions(F.col("ts").asc_nulls_first())
+    to_event_json(ordered).write.mode("overwrite").text(path)
+    _stamp_by_name(events.sparkSession, path)
     return path
 
 
+def _stamp_by_name(spark: SparkSession, path: str) -> None:
+    """Modification times a second apart, in the order of the part files' names, the last one now."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    parts = sorted((f.getPath() for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-")), key=lambda p: p.getName())
+    now = int(jvm.System.currentTimeMillis())
+    for k, part in enumerate(parts, start=1):  # a file for each micro-batch's share, never one a row
+        fs.setTimes(part, now - 1000 * (len(parts) - k), -1)
+
+
 def parse_events(raw: DataFrame, value: str = "value") -> DataFrame:
     """Parse JSON values; adds ``ts`` and ``is_valid`` (bad JSON or timestamp → False)."""
     p = raw.select(F.col(value).alias("raw"), F.from_json(F.col(value), EVENT_SCHEMA).alias("e"))
@@ -128,6 +152,44 @@ def session_counts(events: DataFrame, gap: str = "30 minutes", watermark: str =
     )
 
 
+def hot_session_counts(events: DataFrame, gap_minutes: int = 30, watermark: str = "1 hour") -> DataFrame:
+    """T3 for users of very many events: sessions without one task holding a user's events.
+
+    Stage 1 keeps state by (user, slot), a slot being as long as the gap, so a user's events
+    are spread over slots and partially counted before the shuffle.  Events of one slot are
+    never a gap apart, so its count, first and last time are all that sessions need.
+    Stage 2 keeps state by user and chains slots that follow each other; a chain holds a row
+    a slot, however many events there are.  A closed chain is split where the first
+    time of a slot is a gap or more after the last time of the slot before.
+
+    Append mode: a chain is emitted once the watermark has passed the slot after its last one.
+    """
+    gap = f"{gap_minutes} minutes"
+    slots = (
+        events.filter("is_valid")
+        .withWatermark("ts", watermark)
+        .groupBy("user_id", F.window("ts", gap))
+        .agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("first"), F.max("ts").alias("last"))
+    )
+    row = F.struct("first", "last", "n")
+    chains = (
+        slots.groupBy("user_id", F.session_window(F.window_time("window"), f"{gap_minutes * 60 + 1} seconds"))
+        .agg(F.array_sort(F.collect_list(row)).alias("slots"))
+    )
+    far = f"INTERVAL {gap_minutes} MINUTES"
+    # each slot joins the last session of those before it, or opens the next one
+    joined = f"""aggregate(slots, CAST(array() AS ARRAY<STRUCT<first: TIMESTAMP, last: TIMESTAMP, n: BIGINT>>), (done, s) ->
+        CASE WHEN size(done) > 0 AND s.first < element_at(done, -1).last + {far}
+        THEN concat(slice(done, 1, size(done) - 1), array(named_struct('first', element_at(done, -1).first, 'last', s.last, 'n', element_at(done, -1).n + s.n)))
+        ELSE concat(done, array(named_struct('first', s.first, 'last', s.last, 'n', s.n))) END)"""
+    return chains.select("user_id", F.explode(F.expr(joined)).alias("s")).select(
+        "user_id",
+        F.col("s.first").cast("timestamp_ntz").alias("session_start"),
+        (F.col("s.last") + F.expr(far)).cast("timestamp_ntz").alias("session_end"),
+        F.col("s.n").alias("n_events"),
+    )
+
+
 def run_to_changelog(stream: DataFrame, out: str, checkpoint: str, mode: str = "update") -> None:
     """Run a streaming aggregate over all available input, writing each micro-batch's
     rows to ``out/batch_id=N`` (overwrite → idempotent when a batch is replayed).
@@ -169,13 +231,24 @@ def run_to_files(stream: DataFrame, out: str, checkpoint: str, fmt: str = "parqu
     q.awaitTermination()
 
 
-def run_with_quarantine(events: DataFrame, good_out: str, bad_out: str, checkpoint: str) -> None:
-    """Split a parsed event stream — valid events to ``good_out`` (Parquet), malformed
-    raw values to ``bad_out`` (text) — each through its own exactly-once file sink."""
-    good = events.filter("is_valid").drop("raw", "is_valid")
-    bad = events.filter("NOT is_valid").select(F.col("raw").alias("value"))
-    run_to_files(good, good_out, f"{checkpoint}/good", fmt="parquet")
-    run_to_files(bad, bad_out, f"{checkpoint}/bad", fmt="text")
+def run_with_quarantine(events: DataFrame, out: str, checkpoint: str) -> tuple[DataFrame, DataFrame]:
+    """Route a parsed event stream in one pass, all available input; (valid events, malformed raw values).
+
+    Each micro-batch is read once and written once, to ``out/batch_id=N`` with a folder for either
+    side.  A replayed batch overwrites its own folder, so both sides stay exactly once.
+    Returned are the table's two sides; a read of one does not touch the other's files.
+    """
+    kept = [c for c in events.columns if c not in ("raw", "is_valid")]
+    routed = events.select(*(F.when(F.col("is_valid"), F.col(c)).alias(c) for c in kept), F.when(~F.col("is_valid"), F.col("raw")).alias("raw"), "is_valid")
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").partitionBy("is_valid").parquet(f"{out}/batch_id={batch_id}")
+
+    q = routed.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+    schema = T.StructType([*routed.schema.fields, T.StructField("batch_id", T.LongType())])
+    table = events.sparkSession.read.schema(schema).parquet(out)
+    return table.where("is_valid").select(*kept, "batch_id"), table.where("NOT is_valid").select("raw", "batch_id")
 
 
 def new_run_dir(spark: SparkSession, name: str) -> str:
