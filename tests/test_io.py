@@ -90,6 +90,49 @@ def test_tables_text_and_dense_keys(spark, tmp_dir):
     assert "things" not in [t.name for t in spark.catalog.listTables("tw_db")]
 
 
+def test_inserts_into_a_keyed_table(spark, tmp_dir):
+    import pytest
+
+    sinks.create_database(spark, "tw_keyed", location=os.path.join(tmp_dir, "db"))
+    sinks.create_keyed_table(spark, "tw_keyed.numbers", "number_string STRING", "number_id")
+    df = lambda *v: spark.createDataFrame([(x,) for x in v], "number_string string")
+    state = lambda: sorted((r.number_id, r.number_string, r.load_id) for r in spark.table("tw_keyed.numbers").collect())
+    put = lambda d, load: sinks.insert_with_key(d, "tw_keyed.numbers", "number_id", ["number_string"], load)
+    put(df("513-849-0582", "(513) 555-1234", "513.777.8888"), "one")
+    put(df().limit(0), "none")
+    put(df("5138499999", "'quoted'"), "it's two")
+    first = state()
+    assert first == [(1, "(513) 555-1234", "one"), (2, "513-849-0582", "one"), (3, "513.777.8888", "one"), (4, "'quoted'", "it's two"), (5, "5138499999", "it's two")]
+    put(df("513-849-0582", "(513) 555-1234", "513.777.8888"), "one")  # run again, though another load follows
+    put(df("5138499999", "'quoted'"), "it's two")
+    assert state() == first
+    with pytest.raises(ValueError):
+        put(df("1", "2", "3", "4"), "one")
+    put(df("5138499999", "'quoted'", "6"), "it's two")  # the last load may grow
+    assert [r[0] for r in state()] == [1, 2, 3, 4, 5, 6]
+    sinks.drop_table(spark, "tw_keyed.numbers")
+
+
+def test_rows_to_driver_are_bounded(spark):
+    import pytest
+
+    assert sorted(r.id for r in sinks.to_driver(spark.range(5), 5)) == [0, 1, 2, 3, 4]
+    with pytest.raises(ValueError):
+        sinks.to_driver(spark.range(6), 5)
+
+
+def test_global_rank_through_ranges(spark):
+    from tidewater.operators.order import global_rank
+
+    rows = [(i % 5, i) for i in range(500)] + [(None, -1)]
+    df = spark.createDataFrame(rows, "k int, v long").repartition(7)
+    got = global_rank(df, F.col("k").desc_nulls_last(), "v", partitions=9).collect()
+    want = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    assert [(r.k, r.v) for r in sorted(got, key=lambda r: r["rank"])] == want and sorted(r["rank"] for r in got) == list(range(1, 502))
+    assert len({r["rank"] for r in global_rank(df.where("k = 1").select("k"), "k").collect()}) == 100
+    assert global_rank(df.limit(0), "k").collect() == []
+
+
 def test_event_json_roundtrip_and_late_rows(spark, tmp_dir):
     inp = os.path.join(tmp_dir, "in")
     os.makedirs(inp)

@@ -22,7 +22,7 @@ def count_by(df: DataFrame, keys: Sequence[str] | str, name: str = "count") -> D
 
 
 def global_reduce(df: DataFrame, value: str) -> DataFrame:
-    """One-row sum / max / min / avg / count / fold(0, +)."""
+    """One-row sum / max / min / count / fold(0, +)."""
     v = F.col(value)
     return df.agg(
         F.sum(v).alias("sum_value"),

@@ -277,7 +277,7 @@ SELECT * FROM e WHERE product_id IS NOT NULL AND product_name IS NOT NULL AND ca
   AND price IS NOT NULL AND cost IS NOT NULL AND created_date IS NOT NULL AND is_active IS NOT NULL"""
 
 
-@register("clean_orders", CLEAN_ORDERS_SQL, "C2 S8 P16 P17 P19 P23 P24 F6 F8 F9 F10 F14 F15 F18 F19 F20 F22 F31 A16")
+@register("clean_orders", CLEAN_ORDERS_SQL, "C2 P16 P17 P19 P23 P24 F6 F8 F9 F10 F14 F15 F18 F19 F20 F22 F31 A16")
 def clean_orders_q(spark, sf):
     t = Tables(spark, sf, spread=True)
     return cleaning.clean_orders(raw_orders(t.lineitem, t.orders))

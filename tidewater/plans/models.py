@@ -114,19 +114,25 @@ def sales_by_category(lines: DataFrame) -> DataFrame:
 
 # ---- C9: small ETL ----------------------------------------------------------------
 
-def sales_etl(orders: DataFrame, customers: DataFrame, fill_amount=25) -> dict[str, DataFrame]:
-    """Fill → drop → dedup → join → three aggregates.
-
-    ``orders``: order_id, customer_id, date, amount.  ``customers``: customer_id,
-    city, segment.  Returns the three reports; ``sources.sinks.write_parquet(..., partition_by=["city"])``
-    (K2) writes ``by_city`` partitioned by city.
-    """
+def sales_joined(orders: DataFrame, customers: DataFrame, fill_amount=25) -> DataFrame:
+    """Fill → drop → dedup → join.  ``orders``: order_id, customer_id, date, amount;
+    ``customers``: customer_id, city, segment."""
     from tidewater.operators.aggregate import keep_one_per_key
 
     o = orders.fillna({"amount": fill_amount}).dropna(subset=["customer_id"])
     o = keep_one_per_key(o, "order_id", ["customer_id", "date", "amount"])
     c = keep_one_per_key(customers, "customer_id", ["city", "segment"])
-    joined = o.join(c, "customer_id", "inner")
+    return o.join(c, "customer_id", "inner")
+
+
+def sales_etl(orders: DataFrame, customers: DataFrame, fill_amount=25) -> dict[str, DataFrame]:
+    """The joined sales and three aggregates of them.
+
+    ``sources.sinks.write_parquet(..., partition_by=["city"])`` (K2) writes ``by_city``
+    partitioned by city; ``operators.layout.persisted`` keeps ``sales_joined`` for callers that
+    run all three.
+    """
+    joined = sales_joined(orders, customers, fill_amount)
     return {
         "by_city": joined.groupBy("city").agg(
             F.sum("amount").alias("total_sales"), F.count(F.lit(1)).alias("orders")
@@ -152,21 +158,21 @@ def item_stats(ratings: DataFrame, item: str, rating: str) -> DataFrame:
     )
 
 
-def top_rated(ratings, names, item, rating, name_col, k=10, min_count=0, max_dim_rows=1_000_000):
+def top_rated(ratings, names, item, rating, name_col, k=10, min_count=0):
     """C11: best mean rating (optional minimum count), names attached with default."""
     s = item_stats(ratings, item, rating).filter(F.col("n_ratings") >= min_count)
     top = ranked_top_k(s, [F.col("avg_rating").desc(), F.col(item)], k)
-    return _attach_names(top, names, item, name_col, max_dim_rows)
+    return _attach_names(top, names, item, name_col)
 
 
-def most_rated(ratings, names, item, rating, name_col, k=10, max_dim_rows=1_000_000):
+def most_rated(ratings, names, item, rating, name_col, k=10):
     """C11: most frequently rated items with names."""
     s = item_stats(ratings, item, rating)
     top = ranked_top_k(s, [F.col("n_ratings").desc(), F.col(item)], k)
-    return _attach_names(top, names, item, name_col, max_dim_rows)
+    return _attach_names(top, names, item, name_col)
 
 
-def _attach_names(top: DataFrame, names: DataFrame, item: str, name_col: str, max_dim_rows: int) -> DataFrame:
+def _attach_names(top: DataFrame, names: DataFrame, item: str, name_col: str) -> DataFrame:
     # The top-k side has k rows (a proven bound); the name table may be large.  Semi-join
     # the names against the broadcast k keys first, then left-join the k rows to them,
     # so the dimension is never broadcast or fully shuffled against the fact side.

@@ -68,7 +68,7 @@ def quality_relationships(spark, sf):
   ('customers', 'customer_id', 'unique', (SELECT count(*) FROM (SELECT c_custkey FROM customer WHERE c_custkey IS NOT NULL GROUP BY 1 HAVING count(*) > 1))),
   ('customers', 'customer_id', 'not_null', (SELECT count(*) FROM customer WHERE c_custkey IS NULL))
 ) AS t(model, "column", test, failures)""",
-    "Q1 Q2 Q3 Q4 C8 K13",
+    "Q1 Q2 Q3 Q4 C8",
 )
 def quality_report(spark, sf):
     """The model tests of the staging and mart models, one summary row per test."""

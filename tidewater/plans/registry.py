@@ -48,6 +48,7 @@ def all_queries() -> dict[str, Query]:
         similarity_q,
         streaming_q,
         io_q,
+        files_q,
     )
 
     # Queries whose oracle is another query's SQL (same result by construction).

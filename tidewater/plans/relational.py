@@ -9,8 +9,7 @@ from tidewater.functions.columns import money
 from tidewater.functions.text import neighbour_count
 from tidewater.functions.udfs import name_code, phone_or_null, register_normalize_phone
 from tidewater.operators import aggregate as agg
-from tidewater.operators import sets
-from tidewater.operators.layout import partition_histogram
+from tidewater.operators import layout, sets
 from tidewater.plans.registry import register
 from tidewater.sources.sinks import register_view
 from tidewater.sources.tables import Tables
@@ -20,7 +19,7 @@ from tidewater.sources.tables import Tables
     "global_reduce",
     """SELECT sum(l_quantity) AS sum_value, max(l_quantity) AS max_value, min(l_quantity) AS min_value,
   count(l_quantity) AS count_value, count(*) AS count_rows, coalesce(sum(l_quantity), 0) AS fold_value FROM lineitem""",
-    "A9 A10 A12 A13 A14",
+    "A10 A12 A13 A14",
 )
 def global_reduce(spark, sf):
     return agg.global_reduce(Tables(spark, sf).lineitem, "l_quantity")
@@ -321,7 +320,7 @@ def graph_lines(spark, sf):
            FROM lineitem GROUP BY l_partkey)
 SELECT c.id, c.connections, coalesce(p.p_name, 'Unknown') AS name FROM c LEFT JOIN part p ON c.id = p.p_partkey
 WHERE c.connections = (SELECT min(connections) FROM c)""",
-    "C10 A11 A25 A10 F1 F2 F3 F10 S6",
+    "C10 A11 A25 A10 F1 F2 F3 F10",
 )
 def least_connected(spark, sf):
     """Nodes with the fewest connections (ties kept), names attached."""
@@ -333,9 +332,24 @@ def least_connected(spark, sf):
     return low.join(names, "id", "left").withColumn("name", F.coalesce("name", F.lit("Unknown")))
 
 
-@register("partition_histogram", None, "L5 L1 L2")
+@register(
+    "partition_histogram",
+    """SELECT * FROM (VALUES ('spread'), ('spread by key'), ('narrow')) AS t(layout),
+  (SELECT count(*) AS n_rows, TRUE AS within_limit, CAST(0 AS BIGINT) AS split_keys, TRUE AS is_even FROM lineitem)""",
+    "L1 L2 L3 L5",
+)
 def partition_histogram_q(spark, sf):
-    """Rows per partition after hash-repartitioning lineitem by order key (no oracle:
-    the layout is Spark's own)."""
-    li = Tables(spark, sf).lineitem.repartition(16, "l_orderkey")
-    return partition_histogram(li)
+    """Rows per partition of three layouts of lineitem: raised to 16 partitions (L1), hashed by order
+    key into 16 (L2), narrowed to 2 without a shuffle (L3).  What holds of any layout is checked: all rows are there,
+    no more partitions than asked for, no key in two partitions where it is the key, and an even spread where there is none."""
+    li = Tables(spark, sf).lineitem.select("l_orderkey")
+    spread = layout.spread(li, 16)
+    layouts = {"spread": (spread, 16), "spread by key": (layout.spread(li, 16, "l_orderkey"), 16), "narrow": (layout.narrow(spread, 2), 2)}
+    out = []
+    for name, (df, limit) in layouts.items():
+        parts = layout.partition_histogram(df)
+        total = parts.agg(F.sum("rows").alias("n_rows"), (F.max("partition_id") < limit).alias("within_limit"), F.max("rows").alias("most"))
+        even = (F.col("most") <= F.ceil(F.col("n_rows") / limit) + limit) if name == "spread" else F.lit(True)
+        split = df.withColumn("part", F.spark_partition_id()).groupBy("l_orderkey").agg(F.count_distinct("part").alias("n")).where("n > 1").agg(F.count(F.lit(1))).scalar() if name == "spread by key" else F.lit(0).cast("long")
+        out.append(total.select(F.lit(name).alias("layout"), "n_rows", "within_limit", split.alias("split_keys"), even.alias("is_even")))
+    return out[0].union(out[1]).union(out[2])

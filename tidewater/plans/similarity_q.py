@@ -36,7 +36,7 @@ SELECT a.i AS item1, b.i AS item2, CAST(sum(a.q * b.q) AS BIGINT) AS sum_xy, CAS
        THEN CAST(sum(a.q * b.q) AS BIGINT) / (sqrt(CAST(sum(a.q * a.q) AS BIGINT)) * sqrt(CAST(sum(b.q * b.q) AS BIGINT)))
        ELSE 0.0 END AS similarity
 FROM r a JOIN r b ON a.u = b.u AND a.i < b.i GROUP BY a.i, b.i""",
-    "C6 J7 A22 F7 F19 L2 L4",
+    "C6 J7 A22 F7 F19",
 )
 def item_similarity(spark, sf):
     """Full co-purchase cosine table.  Users with more than HOT_USER_RATINGS ratings
@@ -69,7 +69,7 @@ top AS (SELECT *, CAST(row_number() OVER (ORDER BY score DESC, similar_item) AS
 SELECT top.t_item, top.similar_item, coalesce(pt.p_name, 'Unknown') AS target_name,
        coalesce(ps.p_name, 'Unknown') AS similar_name, top.score, top.strength, top.rank
 FROM top LEFT JOIN part pt ON top.t_item = pt.p_partkey LEFT JOIN part ps ON top.similar_item = ps.p_partkey ORDER BY top.rank""",
-    "C7 J8 P12 O3 K12",
+    "C7 J8 P12 O3",
 )
 def similar_items(spark, sf):
     """C7 (flagship): top-10 parts most similar to the most-bought part, names attached.

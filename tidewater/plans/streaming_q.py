@@ -28,7 +28,7 @@ def _published(spark, sf, name):
   event_type, count(*) AS n FROM events
 WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR
 GROUP BY 1, 2, 3""",
-    "T1 T2 S17 K11 F27",
+    "T2 S17 K11 F21",
 )
 def stream_event_counts(spark, sf):
     """Daily counts per event type, append mode with a 1-hour watermark: rows later

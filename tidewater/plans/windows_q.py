@@ -127,7 +127,7 @@ SELECT event_id, user_id, ts,
 FROM f"""
 
 
-@register("sessions", SESSIONS_SQL, "W8 F21 F24 P5")
+@register("sessions", SESSIONS_SQL, "W8 F24 P5")
 def sessions(spark, sf):
     """30-minute inactivity sessions per user (exactly 30:00 stays in the session)."""
     e = Tables(spark, sf).events.select("event_id", "user_id", "ts")

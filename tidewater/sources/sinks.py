@@ -7,11 +7,14 @@ parameter (``files``), never a hard-coded ``coalesce(1)`` on large data.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidewater.operators.order import global_rank
+
 
 def write_parquet(
     df: DataFrame,
@@ -73,6 +76,53 @@ def describe(spark: SparkSession, table: str, comment: str, columns: dict[str, s
         spark.sql(f"ALTER TABLE {table} ALTER COLUMN {col} COMMENT '{text.replace(chr(39), chr(39) * 2)}'")
 
 
+def descriptions(spark: SparkSession, table: str) -> DataFrame:
+    """What :func:`describe` wrote, read back: (column, data_type, comment); column NULL is the table itself."""
+    rows = [(c.name, c.dataType, c.description) for c in spark.catalog.listColumns(table)]
+    rows.append((None, None, spark.catalog.getTable(table).description))
+    return spark.createDataFrame(rows, "column string, data_type string, comment string")
+
+
+def to_driver(df: DataFrame, max_rows: int = 100_000) -> list:
+    """The rows as a list on the driver; more than ``max_rows`` is an error, not a silent cut."""
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"more than {max_rows} rows: write them to a table instead")
+    return rows
+
+
+def create_keyed_table(spark: SparkSession, name: str, columns: str, key: str, fmt: str = "parquet") -> None:
+    """A table with a generated key; every insert is a partition of its own."""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({key} BIGINT, {columns}, load_id STRING) USING {fmt} PARTITIONED BY (load_id)")
+
+
+def insert_with_key(df: DataFrame, name: str, key: str, order_by: Sequence[str], load_id: str) -> None:
+    """Insert rows whose keys go on, without gaps, from the table's largest.
+
+    Rows are numbered in ``order_by`` order through range partitions.  The insert overwrites the
+    partition of its ``load_id`` alone: a load that failed half-way or is run again gets
+    the keys it had.  A load that others already follow must come with as many rows
+    as before, or its keys would meet theirs; that is an error.  One load at a time.
+    """
+    spark = df.sparkSession
+    table = spark.table(name)
+    own = table.where(F.col("load_id") == load_id).agg(F.min(key).alias("low"), F.count(F.lit(1)).alias("n")).first()
+    top = table.where(F.col("load_id") != load_id).agg(F.max(key).alias("high")).first().high or 0
+    base = own.low - 1 if own.n else top
+    columns = [c for c in table.columns if c not in (key, "load_id")]
+    ranked = global_rank(df.select(*columns), *order_by, name=key)
+    rows = ranked.select((F.col(key) + base).alias(key), *columns)
+    if top > base and rows.count() != own.n:
+        raise ValueError(f"load {load_id!r} is followed by others and had {own.n} rows")
+    view = f"load_{uuid.uuid4().hex}"
+    rows.createOrReplaceTempView(view)
+    try:
+        text = load_id.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION (load_id = '{text}') SELECT * FROM {view}")
+    finally:
+        spark.catalog.dropTempView(view)
+
+
 def with_dense_key(df: DataFrame, order_by: Sequence[str], key: str = "id", partitions: int | None = None) -> DataFrame:
     """Dense surrogate key 1..n in ``order_by`` order without a single-partition window.
 

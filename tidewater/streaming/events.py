@@ -42,6 +42,12 @@ def to_event_json(events: DataFrame) -> DataFrame:
     )
 
 
+def stamped_now(events: DataFrame) -> DataFrame:
+    """What a producer sends when something happens: the type and the current UTC time as ISO text."""
+    now = F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    return events.select(F.to_json(F.struct("event_type", F.concat(now, F.lit("+00:00")).alias("timestamp"))).alias("value"))
+
+
 def publish_batch(events: DataFrame, path: str, files: int | None = None) -> str:
     """Write events as JSON lines (batch producer).  Returns the folder.
 
