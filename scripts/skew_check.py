@@ -54,6 +54,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     spark.sparkContext.setCheckpointDir(os.path.join(scratch, "ckpt"))
     from tidewater.operators import aggregate as agg
+    from tidewater.operators import joins as J
     from tidewater.operators import similarity as S
     from tidewater.operators import windows as W
 
@@ -101,6 +102,15 @@ def main() -> None:
         "item_similarity/plain": lambda: S.item_similarity(ratings),
         "item_similarity/hot_salted": lambda: S.item_similarity(ratings, 32, hot_threshold=1000),
     }
+    # Skewed lines: a third of them are of part 1.
+    lines = li.select("l_orderkey", "l_linenumber", F.when(F.col("l_orderkey") % 3 == 0, F.lit(1)).otherwise(F.col("l_partkey")).cast("long").alias("k"))
+    parts = spark.read.parquet(f"{sf}/part.parquet").select(F.col("p_partkey").alias("k"), "p_brand")
+    cases["salted_join/plain"] = lambda: lines.join(parts, "k").select("l_orderkey", "l_linenumber", "p_brand")
+    cases["salted_join/found_hot"] = lambda: J.salted_join(lines, parts, "k", 64).select("l_orderkey", "l_linenumber", "p_brand")
+    # A third of the events are of one user, and tied at the top of it.
+    tied = e.select("user_id", "event_id", F.when(F.col("user_id") == 0, F.lit(0)).otherwise(F.col("event_id") % 7).alias("v"))
+    cases["top_ranks/plain"] = lambda: tied.withColumn("rnk", F.rank().over(Window.partitionBy("user_id").orderBy("v"))).where("rnk <= 3").select("event_id", "rnk")
+    cases["top_ranks/by_value"] = lambda: W.top_ranks(tied, "user_id", ["v"], 3, salt_buckets=64).select("event_id", "rnk")
     sc = spark.sparkContext
     groups, results = {}, {}
     for name, build in cases.items():
@@ -111,7 +121,7 @@ def main() -> None:
                         for s in (sc.statusTracker().getJobInfo(j).stageIds if sc.statusTracker().getJobInfo(j) else [])]
     same = {
         op: results[f"{op}/plain"] == results[[k for k in cases if k.startswith(op + "/") and not k.endswith("plain")][0]]
-        for op in ("sessions", "running_total", "top_per_group", "dedup", "item_similarity")
+        for op in ("sessions", "running_total", "top_per_group", "dedup", "item_similarity", "salted_join", "top_ranks")
     }
     spark.stop()
 

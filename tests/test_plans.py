@@ -88,3 +88,43 @@ def test_pivot_with_fixed_values_runs_no_job_at_build_time(spark):
         assert len(tracker.getJobIdsForGroup(grp)) >= 1  # values inferred: one extra job
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_salted_join_finds_and_repeats_only_hot_keys(spark):
+    from tidewater.operators.joins import hot_keys, salted_join
+
+    t = Tables(spark, SF)
+    part = F.when(F.col("l_orderkey") % 3 == 0, F.lit(1)).when(F.col("l_orderkey") % 50 != 1, F.col("l_partkey")).cast("long")
+    li = t.lineitem.select("l_orderkey", "l_linenumber", part.alias("k"))
+    dim = t.part.select(F.col("p_partkey").alias("k"), "p_brand").where("p_brand <> 'Brand#11'")
+    hot = {r.k: r.salts for r in hot_keys(li, "k", 16).collect()}
+    assert hot == {1: 6}  # a third of the rows and a bit fills six parts in sixteen
+    assert t.part.count() + sum(s - 1 for s in hot.values()) < 2 * t.part.count()
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        rows = sorted(map(tuple, salted_join(li, dim, "k", 16, how=how).collect()), key=str)
+        assert rows == sorted(map(tuple, li.join(dim, "k", how).select(salted_join(li, dim, "k", 16, how=how).columns).collect()), key=str)
+    assert hot_keys(li.limit(0), "k", 16).collect() == [] and hot_keys(t.lineitem, "l_orderkey", 16).collect() == []
+
+
+def final_plan(spark, name):
+    """The plan as it ran, broadcasts off, as at a size where neither side is small."""
+    off = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k, None) for k in off}
+    for k, v in off.items():
+        spark.conf.set(k, v)
+    try:
+        df = E.queries()[name](spark, SF)
+        df.collect()
+        text = df._jdf.queryExecution().executedPlan().toString()
+        return text[text.index("Final Plan") : text.index("Initial Plan")]
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_ordered_scans_read_and_shuffle_their_rows_once(spark):
+    for name in ("sessions", "running_total", "lag_diff_lead"):
+        p = final_plan(spark, name)
+        assert p.count("FileScan parquet") == 1 and p.count("ReusedExchange") == 1, name
+    p = final_plan(spark, "rolling_7d")
+    assert p.count("FileScan parquet") == 1 and p.count("Exchange hashpartitioning") == 1 and "Join" not in p

@@ -126,7 +126,7 @@ def test_rolling_mean_matches_plain_range_window(spark, evs):
     # include exact 7-day distances: the look-back is inclusive
     evs = evs + [(u, s + 7 * 86400, v) for u, s, v in evs[:3]]
     df = _df(spark, evs).withColumn("v", F.col("v").cast("decimal(18,2)"))
-    two = windows.rolling_mean(df, "u", "ts", F.col("v"), "eid", days=7, chunk_seconds=86400)
+    two = windows.rolling_mean(df, "u", "ts", F.col("v"), "eid", days=7, chunk_days=7)
     micros = F.unix_micros(F.col("ts").cast("timestamp"))
     w = Window.partitionBy("u").orderBy(micros).rangeBetween(-7 * 86_400_000_000, 0)
     plain = df.select("eid", F.sum("v").over(w).alias("s"), F.count("v").over(w).alias("n"))

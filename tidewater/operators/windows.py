@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions.columns import as_cols, epoch_seconds
+from tidewater.operators.joins import salted_join
 
 _RANKERS = {"row_number": F.row_number, "rank": F.rank, "dense_rank": F.dense_rank}
 
@@ -61,6 +62,42 @@ def top_n_per_group(
     return src.withColumn(rank_col, ranker().over(w2)).filter(F.col(rank_col) <= n)
 
 
+def top_ranks(
+    df: DataFrame,
+    keys: Sequence[str] | str,
+    order: Sequence[str],
+    n: int,
+    dense: bool = False,
+    salt_buckets: int = 64,
+    rank_col: str = "rnk",
+) -> DataFrame:
+    """W2 with ties kept: rows whose ``rank`` (or ``dense_rank``) in ascending ``order`` columns is ≤ n.
+
+    A rank needs no row but those with smaller order values: rows are counted per (group,
+    order value), pre-aggregated before the shuffle; the counts before each value give
+    its rank; only values that reach n are joined back.  A group with very many rows tied
+    at the top is one row in the counts, and its rows are split over several tasks in
+    the join (:func:`~tidewater.operators.joins.salted_join`).  NULL groups and values are values.
+    """
+    keys, order = as_cols(keys), as_cols(order)
+    by = keys + order
+    counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
+    w = Window.partitionBy(*keys).orderBy(*order)
+    if dense:
+        place = F.row_number().over(w)
+    else:
+        # only a group's first n values can have a rank of n or less, and Spark cuts to them before the sum
+        counts = counts.withColumn("__d", F.row_number().over(w)).where(F.col("__d") <= n).drop("__d")
+        place = F.coalesce(F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + 1
+    kept = counts.withColumn(rank_col, place.cast("int")).where(F.col(rank_col) <= n).drop("__n")
+    kept = kept.select(F.xxhash64(*by).alias("__h"), *[F.col(c).alias(f"__k_{c}") for c in by], rank_col)
+    rows = df.withColumn("__h", F.xxhash64(*by))
+    joined = salted_join(rows, kept, "__h", salt_buckets)
+    for c in by:  # the hash only finds partners
+        joined = joined.where(F.col(c).eqNullSafe(F.col(f"__k_{c}")))
+    return joined.select(*df.columns, rank_col)
+
+
 def rank_all(
     df: DataFrame,
     keys: Sequence[str] | str,
@@ -125,6 +162,16 @@ def _chunk(ts_seconds: Column, chunk_seconds: int) -> Column:
     return F.floor(ts_seconds / F.lit(chunk_seconds)).cast("long")
 
 
+def _reads(columns: Sequence[str]) -> Column:
+    """Always true, but made from all ``columns``.
+
+    Spark reuses an exchange only where both sides read the same columns.  A summary of chunks needs
+    few of them; after a filter by this, it and the rows both read all, so the summary is made from
+    the very exchange whose rows it is joined to, and these are scanned and shuffled once.
+    """
+    return F.xxhash64(*columns).bitwiseAND(F.lit(0)) == 0
+
+
 def _with_summary(rows: DataFrame, summary: DataFrame, entity: str) -> DataFrame:
     """Join a per-(entity, chunk) summary back; NULL entities and NULL times are groups like any other."""
     s = summary.withColumnsRenamed({entity: "__s_entity", "__chunk": "__s_chunk"})
@@ -153,8 +200,10 @@ def running_totals(
         .orderBy(F.col(order_col))
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    d = d.withColumns({f"__l{k[3:]}": F.sum(k).over(w_local) for k in tmp})
-    summary = d.groupBy(entity, "__chunk").agg(*[F.sum(k).alias(f"__t{k[3:]}") for k in tmp])
+    d = d.withColumns({f"__l{k[3:]}": F.sum(k).over(w_local) for k in tmp}).where(_reads(df.columns))
+    # the last row of a chunk holds its totals
+    last = F.lead(F.lit(1)).over(Window.partitionBy(entity, "__chunk").orderBy(F.col(order_col))).isNull()
+    summary = d.withColumn("__last", last).where("__last").select(entity, "__chunk", *[F.col(f"__l{k[3:]}").alias(f"__t{k[3:]}") for k in tmp])
     w_chunks = Window.partitionBy(entity).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
     summary = summary.select(
         entity, "__chunk",
@@ -211,9 +260,11 @@ def lag_lead(
             "__is_last": F.lead(F.lit(1)).over(w_local).isNull(),
         }
     )
-    key = F.struct(F.col(order_col), F.col(tiebreak))
-    summary = d.groupBy(entity, "__chunk").agg(
-        F.max_by(value, key).alias("__last_v"), F.min_by(value, key).alias("__first_v")
+    d = d.where(_reads(df.columns))
+    ends = d.where(F.col("__is_first") | F.col("__is_last"))
+    summary = ends.groupBy(entity, "__chunk").agg(
+        F.max(F.when(F.col("__is_last"), F.col(value))).alias("__last_v"),
+        F.max(F.when(F.col("__is_first"), F.col(value))).alias("__first_v"),
     )
     w_chunks = Window.partitionBy(entity).orderBy("__chunk")
     summary = summary.select(
@@ -237,49 +288,43 @@ def rolling_mean(
     value: Column,
     row_id: str,
     days: int = 7,
-    chunk_seconds: int = 86400,
+    chunk_days: int | None = None,
 ) -> DataFrame:
     """Sum / count / mean over ``RANGE BETWEEN INTERVAL days DAYS PRECEDING AND CURRENT ROW``.
 
-    The look-back is inclusive (a row exactly ``days`` days older is inside).  Computed
-    without a per-entity window: with P(x) = running sum of rows with ``ts <= x``,
-    the frame sum is ``P(t) − P(t − days − 1µs)``.  One probe row per data row, at
-    ``t − days − 1µs`` with value 0, is added to the same ordered stream; both prefix
-    sums come from the two-level :func:`running_totals`, so a hot entity is spread over
-    its time chunks.  ``row_id`` must be unique; the mean is the exact (decimal) sum
-    divided by the count, as DOUBLE.
+    The look-back is inclusive (a row exactly ``days`` days older is inside).  Rows are cut
+    into chunks of ``chunk_days`` (eight look-backs by default), so a hot entity is spread
+    over its chunks; a row of a chunk's last ``days`` days also goes, as look-back only, to the
+    next chunk.  One scan, one shuffle and one sort.  The sum is that of all rows of the chunk up to
+    the row, less that of the rows before the look-back: two frames that only grow, where a
+    sliding one would sum the look-back anew for each row.  The mean is the exact
+    (decimal) sum divided by the count, as DOUBLE.  Rows without a time look back to each
+    other.  ``row_id`` tells rows apart for the caller; it is not used here.
     """
-    data = df.withColumns(
-        {"__val": value, "__cnt": F.when(value.isNotNull(), F.lit(1)).otherwise(F.lit(0)), "__probe": F.lit(False)}
-    )
-    probes = df.select(
-        F.col(entity),
-        (F.col(ts) - F.expr(f"INTERVAL {int(days)} DAYS") - F.expr("INTERVAL 1 MICROSECOND")).alias(ts),
-        F.col(row_id),
-        F.coalesce(value * F.lit(0), F.lit(0)).alias("__val"),
-        F.lit(0).alias("__cnt"),
-        F.lit(True).alias("__probe"),
-    )
-    both = data.unionByName(probes, allowMissingColumns=True)
-    run = running_totals(both, entity, ts, {"__ps": F.col("__val"), "__pn": F.col("__cnt")}, chunk_seconds)
-    # Each row id has exactly two rows (data, probe): fold them with one aggregate — a
-    # single pass over the running totals instead of a self-join of two filtered copies.
-    probe = F.col("__probe")
-    keep = [c for c in df.columns if c != row_id]
-    rows = run.groupBy(row_id).agg(
-        *[F.max(F.when(~probe, F.col(c))).alias(c) for c in keep],
-        F.max(F.when(~probe, F.col("__ps"))).alias("__ps"),
-        F.max(F.when(~probe, F.col("__pn"))).alias("__pn"),
-        F.max(F.when(probe, F.col("__ps"))).alias("__qs"),
-        F.max(F.when(probe, F.col("__pn"))).alias("__qn"),
-    )
-    # rows without a time have no look-back: their frame is all rows without a time
-    rows = rows.withColumns({c: F.when(F.col(ts).isNotNull(), F.col(c)).otherwise(F.lit(0)) for c in ("__qs", "__qn")})
-    n = F.col("__pn") - F.col("__qn")
-    s = F.when(n > 0, F.col("__ps") - F.coalesce(F.col("__qs"), F.lit(0)))
-    return rows.withColumns(
+    width = int(chunk_days or 8 * days)
+    if width < days:
+        raise ValueError(f"a chunk of {width} days is shorter than the look-back of {days}")
+    day = 86_400_000_000
+    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    own = F.floor(F.col("__us") / F.lit(width * day)).cast("long")
+    late = F.pmod("__us", F.lit(width * day)) >= (width - days) * day
+    d = df.withColumns({"__us": micros, "__v": value})
+    d = d.withColumns({"__own": own, "__chunk": F.explode(F.when(late, F.array(own, own + 1)).otherwise(F.array(own)))})
+    w = Window.partitionBy(entity, "__chunk").orderBy("__us")
+    upto, before = w.rangeBetween(Window.unboundedPreceding, 0), w.rangeBetween(Window.unboundedPreceding, -(days * day + 1))
+    has_time = F.col("__us").isNotNull()
+    d = d.withColumns(
+        {
+            "__ps": F.sum("__v").over(upto), "__pn": F.count("__v").over(upto),
+            "__qs": F.when(has_time, F.sum("__v").over(before)), "__qn": F.when(has_time, F.count("__v").over(before)),
+        }
+    )
+    d = d.where(F.col("__chunk").eqNullSafe(F.col("__own")))
+    n = F.col("__pn") - F.coalesce("__qn", F.lit(0))
+    s = F.when(n > 0, F.col("__ps") - F.coalesce("__qs", F.lit(0)))
+    return d.withColumns(
         {"rolling_sum": s, "rolling_n": n.cast("long"), "rolling_avg": F.try_divide(s.cast("double"), n)}
-    ).drop("__ps", "__pn", "__qs", "__qn").select(*df.columns, "rolling_sum", "rolling_n", "rolling_avg")
+    ).select(*df.columns, "rolling_sum", "rolling_n", "rolling_avg")
 
 
 def sessionize(

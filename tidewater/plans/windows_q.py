@@ -35,7 +35,7 @@ def top_per_group(spark, sf):
 def top3_with_ties(spark, sf):
     """Top-3 with ties kept (``rank() <= 3``); ties are frequent on the priority."""
     o = Tables(spark, sf).orders.select("o_custkey", "o_orderkey", "o_orderpriority")
-    return W.top_n_per_group(o, "o_custkey", [F.col("o_orderpriority")], n=3, method="rank")
+    return W.top_ranks(o, "o_custkey", ["o_orderpriority"], 3)
 
 
 @register(
