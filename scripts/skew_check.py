@@ -100,7 +100,7 @@ def main() -> None:
             .select("user_id", "event_id"),
         "dedup/min_by": lambda: agg.keep_one_per_key(e.select("user_id", "event_id"), "user_id", ["event_id"]),
         "item_similarity/plain": lambda: S.item_similarity(ratings),
-        "item_similarity/hot_salted": lambda: S.item_similarity(ratings, 32, hot_threshold=1000),
+        "item_similarity/hot_salted": lambda: S.item_similarity(ratings, hot_shares=64),
     }
     # Skewed lines: a third of them are of part 1.
     lines = li.select("l_orderkey", "l_linenumber", F.when(F.col("l_orderkey") % 3 == 0, F.lit(1)).otherwise(F.col("l_partkey")).cast("long").alias("k"))

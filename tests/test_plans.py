@@ -128,3 +128,8 @@ def test_ordered_scans_read_and_shuffle_their_rows_once(spark):
         assert p.count("FileScan parquet") == 1 and p.count("ReusedExchange") == 1, name
     p = final_plan(spark, "rolling_7d")
     assert p.count("FileScan parquet") == 1 and p.count("Exchange hashpartitioning") == 1 and "Join" not in p
+
+
+def test_quality_suite_scans_each_model_once(spark):
+    p = final_plan(spark, "quality_report")
+    assert p.count("FileScan parquet") == 2 and p.count("Scan ExistingRDD") == 1 and "Join" not in p

@@ -155,10 +155,21 @@ def test_salted_item_similarity_equals_plain(spark, data):
     r = df.groupBy("user", "item").agg(F.sum("rating").alias("rating"))
     a = sorted(map(tuple, S.item_similarity(r, salt_buckets=3).collect()))
     b = sorted(map(tuple, S.item_similarity(r).collect()))
-    c = sorted(map(tuple, S.item_similarity(r, salt_buckets=3, hot_threshold=2).collect()))
+    c = sorted(map(tuple, S.item_similarity(r, hot_shares=3).collect()))
     assert a == b == c
 
 
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 5), st.integers(0, 7), st.integers(1, 5)), min_size=1, max_size=60), st.integers(0, 4), st.sampled_from([-1.0, 0.5, 0.97]))
+def test_pruned_pairs_equal_the_filtered_full_table(spark, data, min_pairs, score):
+    from tidewater.operators import similarity as S
+
+    df = spark.createDataFrame(data, "user long, item long, rating long")
+    r = df.groupBy("user", "item").agg(F.sum("rating").alias("rating")).checkpoint()
+    full = S.item_similarity(r).where((F.col("similarity") > score) & (F.col("num_pairs") > min_pairs))
+    assert sorted(map(tuple, S.similar_pairs(r, score, min_pairs).select(full.columns).collect())) == sorted(map(tuple, full.collect()))
+
+
 @SETTINGS
 @given(st.lists(st.text(alphabet="0123456789-/+ ", min_size=0, max_size=12), min_size=1, max_size=60))
 def test_guarded_date_parse_equals_plain_parse(spark, texts):
@@ -203,3 +214,27 @@ def test_clean_orders_is_idempotent(spark):
     twice = cleaning.clean_orders(as_raw)
     assert once.count() > 0
     assert once.exceptAll(twice).count() == 0 and twice.exceptAll(once).count() == 0
+
+
+@SETTINGS
+@given(
+    st.lists(st.integers(0, 6) | st.none(), max_size=20),
+    st.lists(st.tuples(st.integers(0, 9) | st.none(), st.integers(0, 9) | st.none(), st.sampled_from(["F", "O", "P", None])), max_size=30),
+)
+def test_suite_counts_what_each_test_finds(spark, parents, rows):
+    from tidewater.operators import quality as Q
+
+    p = spark.createDataFrame([(x,) for x in parents], "id long")
+    c = spark.createDataFrame(rows, "k long, pid long, status string")
+    got = Q.run_suite([
+        Q.Model("p", p, unique=["id"], not_null=["id"]),
+        Q.Model("c", c, unique=["k"], not_null=["k", "status"], accepted={"status": ["F", "O"]}, relationships=[("pid", "p", "id")]),
+        Q.Model("bare", p, accepted={"id": [1, 2]}),
+    ])
+    want = Q.run_tests([
+        Q.Check("p", "id", "unique", Q.unique(p, "id")), Q.Check("p", "id", "not_null", Q.not_null(p, "id")),
+        Q.Check("c", "k", "unique", Q.unique(c, "k")), Q.Check("c", "k", "not_null", Q.not_null(c, "k")),
+        Q.Check("c", "status", "not_null", Q.not_null(c, "status")), Q.Check("c", "status", "accepted_values", Q.accepted_values(c, "status", ["F", "O"])),
+        Q.Check("c", "pid", "relationships", Q.relationships(c, "pid", p, "id")), Q.Check("bare", "id", "accepted_values", Q.accepted_values(p, "id", [1, 2])),
+    ])
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))

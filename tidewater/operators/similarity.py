@@ -10,9 +10,12 @@ keep every sum exact (BIGINT), so scores are reproducible bit for bit.
 * :func:`item_similarity` (C6) materialises the full pair table, which is by
   definition quadratic in items per user.  The self-join feeds a partial
   aggregate in the same stage, so pair rows are never written or shuffled
-  un-aggregated.  Users with more ratings than ``hot_threshold`` have their pairs
+  un-aggregated.  Users with a large share of the ratings have their pairs
   spread over ``(user, salt)`` reducers (others are untouched); AQE's skew-join
   split remains on as a second line of defence.
+* :func:`similar_pairs` gives the rows of that table above a score and a number of
+  common users without forming the rest: pairs that can have enough common users are
+  found without the users that rate nearly everything.
 """
 
 from __future__ import annotations
@@ -20,6 +23,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.operators.joins import hot_keys
+from tidewater.operators.windows import top_n_per_group
+
 
 def cosine(sum_xy: Column, sum_xx: Column, sum_yy: Column) -> Column:
     """``xy / (sqrt(xx) sqrt(yy))``, 0.0 when the denominator is 0 (guarded division)."""
@@ -38,56 +44,90 @@ def ratings_from_orders(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
-def item_similarity(
-    ratings: DataFrame,
-    salt_buckets: int = 1,
-    hot_threshold: int | None = None,
-) -> DataFrame:
+def _sums(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("item1", "item2").agg(
+        F.sum(F.col("x") * F.col("y")).alias("sum_xy"),
+        F.sum(F.col("x") * F.col("x")).alias("sum_xx"),
+        F.sum(F.col("y") * F.col("y")).alias("sum_yy"),
+        F.count(F.lit(1)).alias("num_pairs"),
+    )
+
+
+def _user_pairs(ratings: DataFrame, salts: Column | None = None) -> DataFrame:
+    """Pairs ``item1 < item2`` of each user's ratings; a user's left rows are dealt to ``salts``, the right ones repeated."""
+    r1 = ratings.withColumnsRenamed({"item": "item1", "rating": "x"})
+    r2 = ratings.withColumnsRenamed({"user": "user_b", "item": "item2", "rating": "y"})
+    cond = (F.col("user") == F.col("user_b")) & (F.col("item1") < F.col("item2"))
+    if salts is not None:
+        r1 = r1.withColumn("salt", F.pmod(F.xxhash64("item1"), salts))
+        r2 = r2.withColumn("salt_b", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)))
+        cond = cond & (F.col("salt") == F.col("salt_b"))
+    return r1.join(r2, cond, "inner")
+
+
+def item_similarity(ratings: DataFrame, salt_buckets: int = 1, hot_shares: int | None = None) -> DataFrame:
     """Every co-rated item pair ``item1 < item2`` with sums, count and cosine score.
 
     The ``item1 < item2`` residual sits in the join condition (J7), so Catalyst
     evaluates it inside the join rather than after it.
 
     Hot users: a user with k ratings yields k²/2 pairs, all produced by the task that
-    owns the user.  With ``salt_buckets > 1`` the left rows get salt = hash(item) mod n
-    and the right rows are replicated once per salt, so those pairs are produced by n
-    reducers.  ``hot_threshold`` restricts this to users with more than that many
-    ratings (found by a pre-aggregated count per user): other users keep salt 0 and are not
-    replicated.  Every variant yields exactly the same rows.
+    owns the user.  With ``hot_shares``, users that hold more than one part in so many of
+    the ratings are found by a sketch and listed with as many salts as they fill such
+    parts (at most ``2 * hot_shares`` rows, broadcast): left rows get salt = hash(item), the right
+    rows are repeated once a salt, so the user's pairs are made by that many
+    reducers.  Other users are not repeated.  ``salt_buckets`` above 1 instead salts every
+    user alike.  Every variant yields exactly the same rows.
     """
-    r1 = ratings.select(F.col("user"), F.col("item").alias("item1"), F.col("rating").alias("x"))
-    r2 = ratings.select(F.col("user").alias("user_b"), F.col("item").alias("item2"), F.col("rating").alias("y"))
-    if salt_buckets > 1:
-        n = F.lit(salt_buckets)
-        all_salts = F.sequence(F.lit(0).cast("long"), F.lit(salt_buckets - 1).cast("long"))
-        if hot_threshold is not None:
-            hot = (
-                ratings.groupBy("user").agg(F.count(F.lit(1)).alias("__k"))
-                .filter(F.col("__k") > hot_threshold)
-                .select(F.col("user").alias("__hot_user"), F.lit(True).alias("__hot"))
-            )
-            r1 = r1.join(hot, F.col("user") == F.col("__hot_user"), "left").drop("__hot_user")
-            r2 = r2.join(hot, F.col("user_b") == F.col("__hot_user"), "left").drop("__hot_user")
-            is_hot1 = F.coalesce(F.col("__hot"), F.lit(False))
-            r1 = r1.withColumn("salt", F.when(is_hot1, F.pmod(F.xxhash64("item1"), n)).otherwise(F.lit(0).cast("long"))).drop("__hot")
-            is_hot2 = F.coalesce(F.col("__hot"), F.lit(False))
-            r2 = r2.withColumn(
-                "salt_b", F.explode(F.when(is_hot2, all_salts).otherwise(F.array(F.lit(0).cast("long"))))
-            ).drop("__hot")
-        else:
-            r1 = r1.withColumn("salt", F.pmod(F.xxhash64("item1"), n))
-            r2 = r2.withColumn("salt_b", F.explode(all_salts))
-        cond = (F.col("user") == F.col("user_b")) & (F.col("salt") == F.col("salt_b")) & (F.col("item1") < F.col("item2"))
+    ratings = ratings.select("user", "item", "rating")
+    if hot_shares:
+        hot = F.broadcast(hot_keys(ratings, "user", hot_shares).withColumnRenamed("user", "__hot").checkpoint(eager=True))
+        salted = ratings.join(hot, F.col("user") == F.col("__hot"), "left").drop("__hot")
+        pairs = _user_pairs(salted.withColumn("salts", F.coalesce("salts", F.lit(1).cast("long"))), F.col("salts"))
     else:
-        cond = (F.col("user") == F.col("user_b")) & (F.col("item1") < F.col("item2"))
-    pairs = r1.join(r2, cond, "inner")
-    sims = pairs.groupBy("item1", "item2").agg(
-        F.sum(F.col("x") * F.col("y")).alias("sum_xy"),
-        F.sum(F.col("x") * F.col("x")).alias("sum_xx"),
-        F.sum(F.col("y") * F.col("y")).alias("sum_yy"),
-        F.count(F.lit(1)).alias("num_pairs"),
-    )
-    return sims.withColumn("similarity", cosine(F.col("sum_xy"), F.col("sum_xx"), F.col("sum_yy")))
+        pairs = _user_pairs(ratings, F.lit(salt_buckets).cast("long") if salt_buckets > 1 else None)
+    return _sums(pairs).withColumn("similarity", cosine(F.col("sum_xy"), F.col("sum_xx"), F.col("sum_yy")))
+
+
+def similar_pairs(ratings: DataFrame, score_threshold: float, min_pairs: int) -> DataFrame:
+    """C6 with its filters inside the join: pairs with ``similarity > score_threshold`` and ``num_pairs > min_pairs``.
+
+    Exactly the rows of the full table that pass.  Let t = ``min_pairs`` + 1 common users be needed.
+    Items with fewer than t users are left out.  Of each item's users the t - 1 that rate most items
+    are set aside (a group limit before the shuffle, whatever the size of the item).  Two items with t
+    common users share one that neither has set aside: were all common users set aside by one of the
+    two, the set-aside users of both, in the one order of users, would lie within t - 1.  So pairs are
+    formed from the other users only, and users that rate nearly everything, whose pairs are
+    most of all, form hardly any.  The users set aside are then added to the sums of
+    those pairs alone: a lookup of t - 1 users for either item.
+
+    ``ratings``: one row a (user, item), not NULL; it is read several times, so it should be a written table.
+    """
+    t = min_pairs + 1
+    ratings = ratings.select("user", "item", "rating")
+    large = ratings.groupBy("item").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= t).select("item")
+    ratings = ratings.join(large, "item", "left_semi")
+    if t == 1:
+        sums = _sums(_user_pairs(ratings))
+    else:
+        active = ratings.groupBy("user").agg(F.count(F.lit(1)).alias("k"))
+        ranked = ratings.join(active, "user")
+        aside = top_n_per_group(ranked, "item", [F.col("k").desc(), F.col("user")], t - 1).select("user", "item", "rating").checkpoint(eager=True)
+        rest = ratings.join(aside, ["user", "item"], "left_anti")
+        formed = _sums(_user_pairs(rest)).checkpoint(eager=True)
+        found = formed.select("item1", "item2")
+        # users set aside by the first item, whatever they are to the second; then those set aside by the second alone
+        one = aside.select("user", F.col("item").alias("item1"), F.col("rating").alias("x"))
+        two = ratings.select("user", F.col("item").alias("item2"), F.col("rating").alias("y"))
+        more = found.join(one, "item1").join(two, ["user", "item2"]).select("item1", "item2", "x", "y")
+        one = rest.select("user", F.col("item").alias("item1"), F.col("rating").alias("x"))
+        two = aside.select("user", F.col("item").alias("item2"), F.col("rating").alias("y"))
+        more = more.union(found.join(two, "item2").join(one, ["user", "item1"]).select("item1", "item2", "x", "y"))
+        sums = formed.unionByName(_sums(more)).groupBy("item1", "item2").agg(
+            *(F.sum(c).alias(c) for c in ("sum_xy", "sum_xx", "sum_yy", "num_pairs"))
+        )
+    scored = sums.withColumn("similarity", cosine(F.col("sum_xy"), F.col("sum_xx"), F.col("sum_yy")))
+    return scored.where((F.col("similarity") > score_threshold) & (F.col("num_pairs") > min_pairs))
 
 
 def similar_items(
@@ -121,8 +161,6 @@ def similar_items(
     good = sims.filter((F.col("score") > score_threshold) & (F.col("strength") > min_pairs))
     # top-k per target (one target: the classic top-k); a partial group limit keeps
     # each map task's candidates to k per target before the shuffle
-    from tidewater.operators.windows import top_n_per_group
-
     return top_n_per_group(good, "t_item", [F.col("score").desc(), F.col("similar_item")], k, rank_col="rank")
 
 

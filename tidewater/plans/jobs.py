@@ -94,7 +94,7 @@ def item_similarities(
     lines = readers.read_text(spark, ratings_path)
     r = readers.parse_delimited(lines, "::", [("user", "long"), ("item", "long"), ("rating", "double"), ("ts", "long")])
     ratings = r.groupBy("user", "item").agg(F.sum(F.col("rating").cast("decimal(18,2)")).alias("rating"))
-    sinks.write_parquet(S.item_similarity(ratings, 64, hot_threshold=10_000), out)
+    sinks.write_parquet(S.item_similarity(ratings.checkpoint(eager=True), hot_shares=256), out)
     sims = spark.read.parquet(out)
     pick = (F.col("item1") == item_id) | (F.col("item2") == item_id)
     good = sims.filter(pick & (F.col("similarity") > score_threshold) & (F.col("num_pairs") > min_pairs)).select(

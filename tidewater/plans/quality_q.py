@@ -71,18 +71,18 @@ def quality_relationships(spark, sf):
     "Q1 Q2 Q3 Q4 C8",
 )
 def quality_report(spark, sf):
-    """The model tests of the staging and mart models, one summary row per test."""
-    c, o, t = _models(spark, sf)
-    mart = models.customer_summary(c, o)
-    checks = [
-        Q.Check("stg_customers", "customer_id", "unique", Q.unique(c, "customer_id")),
-        Q.Check("stg_customers", "customer_id", "not_null", Q.not_null(c, "customer_id")),
-        Q.Check("stg_orders", "order_id", "unique", Q.unique(o, "order_id")),
-        Q.Check("stg_orders", "order_id", "not_null", Q.not_null(o, "order_id")),
-        Q.Check("stg_orders", "status", "accepted_values", Q.accepted_values(o, "status", ACCEPTED_STATUS)),
-        Q.Check("stg_orders", "customer_id", "not_null", Q.not_null(o, "customer_id")),
-        Q.Check("stg_orders", "customer_id", "relationships", Q.relationships(o, "customer_id", c, "customer_id")),
-        Q.Check("customers", "customer_id", "unique", Q.unique(mart, "customer_id")),
-        Q.Check("customers", "customer_id", "not_null", Q.not_null(mart, "customer_id")),
-    ]
-    return Q.run_tests(checks)
+    """The model tests of the staging and mart models, one summary row per test, each model scanned once.
+
+    The mart is written first, as the table that the tests of a built model read."""
+    c, o, _ = _models(spark, sf)
+    mart = models.customer_summary(c, o).select("customer_id").checkpoint(eager=True)
+    return Q.run_suite(
+        [
+            Q.Model("stg_customers", c, unique=["customer_id"], not_null=["customer_id"]),
+            Q.Model(
+                "stg_orders", o, unique=["order_id"], not_null=["order_id", "customer_id"], accepted={"status": ACCEPTED_STATUS},
+                relationships=[("customer_id", "stg_customers", "customer_id")],
+            ),
+            Q.Model("customers", mart, unique=["customer_id"], not_null=["customer_id"]),
+        ]
+    )

@@ -14,9 +14,8 @@ SCORE_THRESHOLD = 0.97
 # purchase data has at most a handful of common buyers per pair, so it is a parameter.
 MIN_PAIRS = 1
 TOP_K = 10
-# A user whose pairs would exceed ~5·10^7 rows in one task is split over 64 reducers.
-HOT_USER_RATINGS = 10_000
-HOT_USER_SALTS = 64
+# A user with more than one part in so many of the ratings is split, by the number of such parts.
+HOT_SHARES = 256
 
 _RATINGS_SQL = """r AS (SELECT o_custkey AS u, l_partkey AS i, CAST(sum(l_quantity) AS BIGINT) AS q
        FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_custkey, l_partkey)"""
@@ -39,21 +38,34 @@ FROM r a JOIN r b ON a.u = b.u AND a.i < b.i GROUP BY a.i, b.i""",
     "C6 J7 A22 F7 F19",
 )
 def item_similarity(spark, sf):
-    """Full co-purchase cosine table.  Users with more than HOT_USER_RATINGS ratings
-    (none in the test data; a third of all rows on a skewed cluster) are split over
-    HOT_USER_SALTS reducers."""
-    # The ratings feed three consumers (hot-user counts, both join sides): checkpoint them
+    """Full co-purchase cosine table.  Users with more than one part in HOT_SHARES of the
+    ratings (a third of all rows on a skewed cluster) are split over several reducers."""
+    # The ratings feed three consumers (the hot-user sketch, both join sides): checkpoint them
     # once to the shared checkpoint folder, which also cuts lineage before the pair stage.
     ratings = _ratings(spark, sf).checkpoint(eager=True)
-    return S.item_similarity(ratings, HOT_USER_SALTS, hot_threshold=HOT_USER_RATINGS)
+    return S.item_similarity(ratings, hot_shares=HOT_SHARES)
 
 
 @register("item_similarity_salted", None, "C6 J10 J7 A22")
 def item_similarity_salted(spark, sf):
-    """C6 with every user treated as hot (threshold 0): each user's pairs are spread
+    """C6 with every user treated as hot: each user's pairs are spread
     over 4 ``(user, salt)`` reducers (left rows salted by item hash, right rows
     replicated per salt).  Same result as ``item_similarity``; the SQL oracle is shared."""
-    return S.item_similarity(_ratings(spark, sf), salt_buckets=4, hot_threshold=0)
+    return S.item_similarity(_ratings(spark, sf).checkpoint(eager=True), salt_buckets=4)
+
+
+@register(
+    "similar_pairs",
+    f"""WITH {_RATINGS_SQL},
+p AS (SELECT a.i AS item1, b.i AS item2, CAST(sum(a.q * b.q) AS BIGINT) AS sum_xy, CAST(sum(a.q * a.q) AS BIGINT) AS sum_xx,
+  CAST(sum(b.q * b.q) AS BIGINT) AS sum_yy, count(*) AS num_pairs FROM r a JOIN r b ON a.u = b.u AND a.i < b.i GROUP BY a.i, b.i)
+SELECT *, CASE WHEN sqrt(sum_xx) * sqrt(sum_yy) <> 0 THEN sum_xy / (sqrt(sum_xx) * sqrt(sum_yy)) ELSE 0.0 END AS similarity
+FROM p WHERE num_pairs > {MIN_PAIRS} AND similarity > {SCORE_THRESHOLD}""",
+    "C6 J7 A22 F7",
+)
+def similar_pairs(spark, sf):
+    """C6 with threshold and co-occurrence inside the join: the same rows as the filtered full table, without its pairs."""
+    return S.similar_pairs(_ratings(spark, sf).checkpoint(eager=True), SCORE_THRESHOLD, MIN_PAIRS)
 
 
 @register(
