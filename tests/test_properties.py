@@ -238,3 +238,14 @@ def test_suite_counts_what_each_test_finds(spark, parents, rows):
         Q.Check("c", "pid", "relationships", Q.relationships(c, "pid", p, "id")), Q.Check("bare", "id", "accepted_values", Q.accepted_values(p, "id", [1, 2])),
     ])
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 4) | st.none(), st.integers(0, 3) | st.none(), st.sampled_from(["a", "b", None])), min_size=1, max_size=40), st.sampled_from(["first", "last"]))
+def test_both_ways_to_keep_one_row_per_key_agree(spark, data, keep):
+    from tidewater.operators.aggregate import keep_one_per_key
+
+    df = spark.createDataFrame(data, "k long, v long, s string")
+    a = keep_one_per_key(df, "k", ["v", "s"], keep).select("k", "v", "s")
+    b = keep_one_per_key(df, "k", ["v", "s"], keep, near_unique=True)
+    assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))

@@ -61,6 +61,7 @@ def keep_one_per_key(
     keys: Sequence[str] | str,
     order_by: Sequence[str] | str,
     keep: str = "first",
+    near_unique: bool = False,
 ) -> DataFrame:
     """One deterministic survivor per key (``dropDuplicates`` picks an arbitrary one).
 
@@ -69,9 +70,17 @@ def keep_one_per_key(
     for a full tie-break.  Implemented as ``min_by``/``max_by`` over a struct so it
     aggregates partially on the map side: a key holding a third of all rows is
     reduced per map task before the shuffle instead of being sorted in one task.
+
+    ``near_unique`` says that few rows share a key, so that nothing can be reduced before the
+    shuffle: rows are then shuffled and sorted once, and the first of each key stays,
+    where the aggregate would sort whole rows on both sides of the shuffle.
     """
     keys = as_cols(keys)
     order = as_cols(order_by)
+    if near_unique:
+        by = [F.col(c).asc_nulls_first() if keep == "first" else F.col(c).desc_nulls_last() for c in order]
+        first = F.lag(F.lit(1)).over(Window.partitionBy(*keys).orderBy(*by)).isNull()
+        return df.withColumn("__first", first).where("__first").drop("__first")
     rest = [c for c in df.columns if c not in keys]
     pick = F.min_by if keep == "first" else F.max_by
     row = F.struct(*[F.col(c) for c in rest])

@@ -17,8 +17,9 @@ from tidewater.operators.aggregate import keep_one_per_key
 
 
 def _dedup(df: DataFrame, key: str) -> DataFrame:
+    """One row an id.  Rows without an id go at once, as every cleaning drops them in the end; ids repeat seldom."""
     others = [c for c in df.columns if c != key]
-    return keep_one_per_key(df, key, others).select(*df.columns)
+    return keep_one_per_key(df.where(F.col(key).isNotNull()), key, others, near_unique=True).select(*df.columns)
 
 
 def clean_customers(raw: DataFrame) -> DataFrame:
