@@ -148,17 +148,31 @@ def test_bpe_is_tiktoken(spark):
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
     enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
     texts = ["", None, "Hello  world!!\n\n it's 123", "naïve café ’s 你好  x \x1c\x1d y", "a" * 3000, "<|endoftext|>", "\x00\x7f", "😀" * 50, " " * 40 + "z"]
-    texts += [r.text for r in load(spark, SF, "documents").limit(40).collect()]
+    texts += [r.text for r in load(spark, SF, "documents").collect()]
+    texts += ["tab\t\tx  \r\n", "'s's 't 'LL it'll", "12a3 _ ", "a\x1c\x1d b", " " * 50 + "a\n"]  # of ASCII alone
     df = bpe.decode(bpe.encode(docs_of(spark, texts), RANKS, P.PATTERN), RANKS)
     for r in df.collect():
         t = texts[r.doc_id] or ""
         assert r.ids == enc.encode_ordinary(t) and bytes(r.decoded) == t.encode()
 
 
+def test_bpe_memo_changes_no_id(monkeypatch):
+    monkeypatch.setattr(bpe, "MEMO", 3)
+    entries = bpe.read_ranks(RANKS)
+    small, large = bpe.Codec(entries, P.PATTERN), bpe.Codec(entries, P.PATTERN)
+    monkeypatch.setattr(bpe, "KEPT", 4)
+    texts = ["one two three four", "two qwertyz two, four qwertyz", "five six", "one two qwertyz"] * 3
+    monkeypatch.setattr(bpe, "MEMO", 3)
+    got = [small.encode(t) for t in texts]
+    monkeypatch.setattr(bpe, "MEMO", 10**6)
+    assert got == [large.encode(t) for t in texts] and len(small) <= 7
+    assert bpe.ascii_form(r"\p{Han}+") is None and bpe.ascii_form(r"[^\p{L}]|\p{N}")("a1-b") == ["1", "-"]
+
+
 def test_perfect_hash_is_minimal_and_exact():
     keys = [str(i).encode() for i in range(5000)]
     h = bpe.PerfectHash(keys)
-    assert h.find(keys) == list(range(5000)) and None not in h.keys and h.find([b"x", b"5000"]) == [-1, -1]
+    assert [h.find(k) for k in keys] == list(range(5000)) and None not in h.keys and [h.find(k) for k in (b"x", b"5000")] == [-1, -1]
 
 
 # 5 near-duplicates

@@ -14,7 +14,8 @@ from __future__ import annotations
 
 import base64
 import heapq
-import itertools
+import re
+import struct
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +26,9 @@ from pyspark.sql import functions as F
 
 from tidewater.llm.common import bounded_batches
 
-MEMO = 400_000  # pre-tokens that a worker remembers
-_MIX = np.uint64(0x9E3779B97F4A7C15)
+MEMO = 250_000  # pre-tokens that a worker remembers, in each of two generations
+KEPT = 48  # characters of the longest of them
+_MIX, _WORD = np.uint64(0x9E3779B97F4A7C15), 0xFFFFFFFFFFFFFFFF
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -79,6 +81,7 @@ class PerfectHash:
         self.value = np.zeros(n, np.int32)
         for i, s in enumerate(self._slots(h)):
             self.keys[s], self.value[s] = keys[i], i
+        self._shift, self._value = self.shift.tolist(), self.value.tolist()
 
     @staticmethod
     def hashes(keys: list[bytes]) -> np.ndarray:
@@ -88,70 +91,122 @@ class PerfectHash:
         d = self.shift[(h >> np.uint64(32)) % np.uint64(self.buckets)]
         return np.where(d < 0, -1 - d, (_mixed(h, d.astype(np.uint64)) % np.uint64(max(self.n, 1))).astype(np.int64))
 
-    def find(self, keys: list[bytes]) -> list[int]:
-        """The value of each key, -1 for strangers."""
-        if not keys or not self.n:
-            return [-1] * len(keys)
-        return [int(self.value[s]) if self.keys[s] == k else -1 for k, s in zip(keys, self._slots(self.hashes(keys)).tolist())]
-
-
-def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Ids of one pre-token: the lowest rank first, the leftmost of equals."""
-    n = len(piece)
-    end = list(range(1, n + 1))  # of the part that begins here; 0: no part begins here any more
-    before = list(range(-1, n - 1))
-    get, pop, push = ranks.get, heapq.heappop, heapq.heappush
-    heap = [(r, i, i + 2) for i in range(n - 1) if (r := get(piece[i : i + 2])) is not None]
-    heapq.heapify(heap)
-    while heap:
-        _, i, stop = pop(heap)
-        j = end[i]
-        if not j or j == n or end[j] != stop:
-            continue  # one of the two parts has been merged since
-        end[i], end[j] = stop, 0
-        if stop < n:
-            before[stop] = i
-            after = end[stop]
-            r = get(piece[i:after])
-            if r is not None:
-                push(heap, (r, i, after))
-        p = before[i]
-        if p >= 0:
-            r = get(piece[p:stop])
-            if r is not None:
-                push(heap, (r, p, stop))
-    out, i = [], 0
-    while i < n:
-        stop = end[i]
-        out.append(ranks[piece[i:stop]])
-        i = stop
-    return out
+    def find(self, key: bytes) -> int:
+        """The value of the key, -1 for strangers."""
+        if not self.n:
+            return -1
+        h = xxhash.xxh3_64_intdigest(key)
+        d = self._shift[(h >> 32) % self.buckets]
+        if d < 0:
+            s = -1 - d
+        else:
+            x = ((h ^ (d * int(_MIX) & _WORD)) * 0xBF58476D1CE4E5B9) & _WORD
+            s = (x ^ (x >> 29)) % self.n
+        return self._value[s] if self.keys[s] == key else -1
+
 
+class Merger:
+    """The second tier: a heap of neighbouring pairs over linked bytes."""
+
+    def __init__(self, entries: list[bytes]):
+        self.ranks = {e: i for i, e in enumerate(entries)}
+        self.pairs = [-1] * 65536  # ranks of two bytes
+        for e, i in self.ranks.items():
+            if len(e) == 2:
+                self.pairs[e[0] << 8 | e[1]] = i
+
+    def ids(self, piece: bytes) -> list[int]:
+        """Ids of one pre-token: the lowest rank first, the leftmost of equals."""
+        n = len(piece)
+        pairs, ranks, get, pop, push = self.pairs, self.ranks, self.ranks.get, heapq.heappop, heapq.heappush
+        end = list(range(1, n + 1))  # of the part that begins here; 0: no part begins here any more
+        before = list(range(-1, n - 1))
+        # rank, place and end of the joined part, as one number
+        heap = [r << 64 | i << 32 | i + 2 for i, (a, b) in enumerate(zip(piece, piece[1:])) if (r := pairs[a << 8 | b]) >= 0]
+        heapq.heapify(heap)
+        while heap:
+            top = pop(heap)
+            i, stop = top >> 32 & 0xFFFFFFFF, top & 0xFFFFFFFF
+            j = end[i]
+            if not j or j == n or end[j] != stop:
+                continue  # one of the two parts has been merged since
+            end[i], end[j] = stop, 0
+            if stop < n:
+                before[stop] = i
+                after = end[stop]
+                r = get(piece[i:after])
+                if r is not None:
+                    push(heap, r << 64 | i << 32 | after)
+            p = before[i]
+            if p >= 0:
+                r = get(piece[p:stop])
+                if r is not None:
+                    push(heap, r << 64 | p << 32 | stop)
+        out, i = [], 0
+        while i < n:
+            stop = end[i]
+            out.append(ranks[piece[i:stop]])
+            i = stop
+        return out
+
+
+def ascii_form(pattern: str):
+    """How to find the pattern's matches in texts of ASCII alone, whose letters and digits need no tables; None if unknown."""
+    out, inside, at = [], False, 0
+    while at < len(pattern):
+        for name, range_ in ((r"\p{L}", "A-Za-z"), (r"\p{N}", "0-9")):
+            if pattern.startswith(name, at):
+                out.append(range_ if inside else f"[{range_}]")
+                at += len(name)
+                break
+        else:
+            step = 2 if pattern[at] == "\\" else 1
+            inside = {"[": True, "]": False}.get(pattern[at], inside)
+            out.append(pattern[at : at + step])
+            at += step
+    plain = "".join(out)
+    if re.search(r"\\[pPNX]", plain):
+        return None
+    try:
+        return re.compile(plain, re.ASCII).findall
+    except re.error:
+        return None
+
+
+class Codec(dict):
+    """Ids of pre-tokens, as the bytes of 32-bit numbers; those of new ones are looked up or merged, and kept.
+
+    They are kept in two generations, this one and ``old``, which bound the memory and change no result.
+    """
 
-class Codec:
     def __init__(self, entries: list[bytes], pattern: str):
-        self.entries = entries
+        super().__init__()
         # white space is what Unicode calls so, without the four separators U+001C to U+001F
-        self.pattern = regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
+        spaced = pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
+        self.findall = regex.compile(spaced).findall
+        self.findall_ascii = ascii_form(pattern) or self.findall
         self.whole = PerfectHash(entries)
-        self.ranks = {e: i for i, e in enumerate(entries)}
-        self.memo: dict[str, tuple[int, ...]] = {}
-
-    def _learn(self, pieces: list[str]) -> None:
-        raw = [p.encode("utf-8") for p in pieces]
-        for p, b, r in zip(pieces, raw, self.whole.find(raw)):
-            self.memo[p] = (r,) if r >= 0 else tuple(merge(b, self.ranks))  # tuples of numbers cost the garbage collector nothing
-
-    def encode(self, text: str) -> list[int]:
-        pieces = self.pattern.findall(text)
-        memo = self.memo
-        new = set(pieces).difference(memo)
-        if new:
-            if len(memo) + len(new) > MEMO:
-                memo.clear()
-                new = set(pieces)
-            self._learn(list(new))
-        return list(itertools.chain.from_iterable(map(memo.__getitem__, pieces)))
+        self.merger = Merger(entries)
+        self.old: dict[str, bytes] = {}
+
+    def __missing__(self, piece: str) -> bytes:
+        got = self.old.get(piece)
+        if got is None:
+            raw = piece.encode("utf-8")
+            r = self.whole.find(raw)
+            ids = [r] if r >= 0 else self.merger.ids(raw)
+            got = struct.pack(f"={len(ids)}i", *ids)
+        if len(piece) <= KEPT:
+            self[piece] = got
+        return got
+
+    def encode(self, text: str) -> bytes:
+        findall = self.findall_ascii if text.isascii() else self.findall
+        out = b"".join(map(self.__getitem__, findall(text)))
+        if len(self) > MEMO:
+            self.old = dict(self)
+            self.clear()
+        return out
 
 
 class Bytes:
@@ -194,9 +249,9 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", t
     @F.arrow_udf("array<int>")
     def run(texts: pa.Array) -> pa.Array:
         codec = _codec(shared, pattern)
-        ids = [np.array(codec.encode(x), np.int32) if x else np.empty(0, np.int32) for x in texts.to_pylist()]
-        offsets = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids) if ids else np.empty(0, np.int32)))
+        ids = [codec.encode(x) if x else b"" for x in texts.to_pylist()]
+        offsets = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), np.int32)))
 
     return docs.withColumn(to, run(F.col(text)))
 
