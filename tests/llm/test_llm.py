@@ -263,15 +263,37 @@ def test_no_edited_leak_is_lost(spark):
                 want[len(rows), k] = likeness
             rows.append(" ".join(["before"] * 9 + w + ["after"] * 9))
     items = docs_of(spark, [" ".join(t) for t in texts]).withColumnRenamed("doc_id", "item_id")
-    got = {(r.doc_id, r.item_id): r.similarity for r in decontam.report(docs_of(spark, rows), items).collect()}
+    found = decontam.report(docs_of(spark, rows), items).collect()
+    got = {(r.doc_id, r.item_id): r.similarity for r in found}
     lost = [p for p, x in want.items() if got.get(p, 0) < x - 1e-9]
     assert len(want) > 150 and not lost, (len(lost), len(want))
+    # the fingerprints' radius alone finds them, and no pair is reported whose window is not that similar
+    assert sum(r.distance <= decontam.RADIUS for r in found) >= 0.99 * len(found)
+    for r in found:
+        a, b = weigh(grams(rows[r.doc_id].split()[r.start : r.start + r.n_words])), weigh(grams(texts[r.item_id]))
+        common = sum(min(v, b.get(g, 0)) for g, v in a.items())
+        assert abs(common / (sum(a.values()) + sum(b.values()) - common) - r.similarity) < 1e-6 and r.similarity >= 0.8 - 1e-9
+
+
+def test_blocks_meet_within_the_radius(spark):
+    random.seed(11)
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    rows = []
+    for k in range(300):
+        a, flips = random.getrandbits(64), random.sample(range(64), decontam.RADIUS if k % 2 else random.randint(0, decontam.RADIUS))
+        rows.append((k, signed(a), signed(a ^ sum(1 << b for b in flips))))
+    df = spark.createDataFrame(rows, "k int, a long, b long")
+    left = df.select("k", F.inline(decontam.blocks(F.col("a"), decontam.PROBE)))
+    right = df.select("k", F.inline(decontam.blocks(F.col("b"))))
+    assert left.join(right, ["k", "block", "value"]).select("k").distinct().count() == len(rows)
+    assert df.select(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))).alias("d")).agg(F.max("d")).first()[0] == decontam.RADIUS
 
 
 def test_leaks_odd_rows(spark, odd):
     items = spark.createDataFrame([(1, "the cat sat on the mat and the dog"), (2, None), (None, ""), (3, "a b")], "item_id long, text string")
     got = {(r.doc_id, r.item_id) for r in decontam.report(odd, items).collect()}
     assert got == {(4, 1), (5, 1), (7, 3)}
+    assert all(r.distance is not None for r in decontam.leaks(odd, items).collect())
     clean = decontam.keep_clean(odd, items)
     assert clean.columns == odd.columns and clean.count() == 6
     assert decontam.report(odd, items.where("false")).count() == 0
