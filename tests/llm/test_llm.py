@@ -219,6 +219,17 @@ def test_icws_odd_rows(spark, odd):
     assert icws.classes(odd.where("false")).count() == 0
 
 
+def test_icws_tells_rows_apart_by_id_and_text(spark):
+    words = lambda p, n: " ".join(f"{p}{i}" for i in range(n))
+    a, b, c = words("a", 60), words("b", 60), words("c", 60)
+    rows = [(1, a, 1), (1, b, 2), (2, c, 3), (2, c, 3), (3, a + " more", 4), (None, b + " more", 5), (None, words("d", 60), 6), (None, words("d", 60) + " more", 7), (None, None, 8), (4, None, 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n int")
+    got = sorted(((r.doc_id, r.class_id, r.n_texts) for r in icws.classes(df).collect()), key=str)
+    assert got == sorted([(1, 1, 2), (1, 1, 2), (2, 2, 1), (2, 2, 1), (3, 1, 2), (None, 1, 2), (None, None, 2), (None, None, 2), (None, None, 1), (4, 4, 1)], key=str)
+    kept = icws.keep_one(df)
+    assert kept.columns == df.columns and sorted(r.n for r in kept.collect()) in ([1, 2, 3, 6, 8, 9], [1, 2, 3, 7, 8, 9])
+
+
 # 6 decontamination
 def test_leaks_match_brute_force(spark):
     random.seed(7)

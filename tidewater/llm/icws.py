@@ -17,7 +17,8 @@ class are done; in the others, nodes of different classes are compared unless an
 rules them out.  So a group of copies is not expanded into its pairs, and no bucket is cut.
 
 Null texts are classes of their own.  Empty texts and texts without a word are copies of one another
-only if they are equal.  Equal ids with different texts keep their own rows and classes.
+only if they are equal.  Equal ids with different texts keep their own rows and classes, and rows without an id are
+linked like any other.
 """
 
 from __future__ import annotations
@@ -170,7 +171,7 @@ def _raw_node(text: str) -> int:
 
 
 def sketch(docs: DataFrame, idf) -> DataFrame:
-    """(doc_id, node, bands): the node is the same for texts with the same words; bands are empty without words."""
+    """(doc_id, raw, node, bands): the node is the same for texts with the same words; bands are empty without words."""
 
     def run(batches):
         sampler = Sampler()
@@ -188,9 +189,14 @@ def sketch(docs: DataFrame, idf) -> DataFrame:
                         node[some[j]], bands[some[j]] = signed[j], k
                 for j in np.flatnonzero(n == 0).tolist():
                     node[some[j]] = _raw_node(texts[some[j]])
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(node, pa.int64()), pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "node", "bands"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("raw"), pa.array(node, pa.int64()), pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "raw", "node", "bands"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, node long, bands array<long>")
+    return _keyed(docs).mapInArrow(run, "doc_id long, raw long, node long, bands array<long>")
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """Id, text and the text's hash: with the id it tells rows with different texts apart."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("raw"))
 
 
 def _sets(docs: DataFrame, idf) -> DataFrame:
@@ -317,33 +323,47 @@ def link(members: DataFrame, sets: DataFrame, bands: DataFrame, folder: str, thr
     return known.union(upper.join(known, "node", "left_anti"))
 
 
-def classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """(doc_id, class_id, n_texts): the class's smallest doc_id and its number of different texts, a row for each row of ``docs``."""
+def _classified(docs: DataFrame, threshold: float) -> DataFrame:
+    """(doc_id, raw, node, class_id, n_texts, head): head is the (doc_id, raw) of the class's first row; null for null texts."""
     spark = docs.sparkSession
     bounded_batches(spark)
     folder = run_dir(spark, "icws")
-    docs = docs.select("doc_id", "text")
     idf = spark.sparkContext.broadcast(idf_table(docs))  # FEATURES floats
     rows = written(sketch(docs, idf), folder, "sketch")
-    nodes = rows.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
+    # the smallest id first, rows without an id last
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "raw")
+    nodes = rows.where(F.col("node").isNotNull()).groupBy("node").agg(F.min(first).alias("first"), F.first("bands").alias("bands"))
     banded = nodes.select("node", F.explode("bands").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.count("node").alias("n")).where(F.col("n") > 1).select("bucket")
     members = written(banded.join(shared, "bucket"), folder, "members")
-    wanted = nodes.select("node", "doc_id").join(members.select("node").distinct(), "node", "left_semi")
-    texts = docs.join(wanted, "doc_id")
+    wanted = nodes.select("node", F.col("first.doc_id").alias("id"), F.col("first.raw").alias("of")).join(members.select("node").distinct(), "node", "left_semi")
+    texts = _keyed(docs).join(wanted, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("raw") == F.col("of")))
     sets = written(_sets(texts.select("node", "text"), idf).dropDuplicates(["node"]), folder, "sets")
     label = link(members, sets, nodes.select("node", "bands"), folder, threshold)
     if label is None:
         label = nodes.select("node", F.col("node").alias("label"))
-    named = nodes.select("node", "doc_id").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    heads = named.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count("node").alias("n_texts"))
-    of_node = written(named.join(heads, "label").select("node", "class_id", "n_texts"), folder, "classes")
-    out = rows.select("doc_id", "node").join(of_node, "node", "left")
-    return out.select("doc_id", F.coalesce("class_id", F.when(F.col("node").isNull(), F.col("doc_id"))).alias("class_id"), F.coalesce("n_texts", F.lit(1)).alias("n_texts"))
+    named = nodes.select("node", "first").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    heads = named.groupBy("label").agg(F.min("first").alias("head"), F.count("node").alias("n_texts"))
+    of_node = written(named.join(heads, "label").select("node", "head", "n_texts"), folder, "classes")
+    return rows.select("doc_id", "raw", "node").join(of_node, "node", "left")
+
+
+def classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
+    """(doc_id, class_id, n_texts): the class's smallest doc_id and its number of different texts, a row for each row of ``docs``.
+
+    A class none of whose rows has an id has a null class_id.
+    """
+    alone = F.when(F.col("node").isNull(), F.col("doc_id"))
+    return _classified(docs, threshold).select("doc_id", F.coalesce("head.doc_id", alone).alias("class_id"), F.coalesce("n_texts", F.lit(1)).alias("n_texts"))
 
 
 def keep_one(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """One document of each class, that with the smallest id; repeated rows of it are one.  Null ids and null texts stay."""
-    heads = classes(docs, threshold).where(F.col("doc_id") == F.col("class_id")).select("doc_id").distinct()
-    one = docs.join(heads, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return one.unionByName(docs.where(F.col("doc_id").isNull()))
+    """One row of each class, that with the smallest id (rows without an id go last).
+
+    Rows are told apart by id and text, so that texts of other classes stay whatever their id.  Null texts all stay.
+    """
+    first = _classified(docs, threshold).where(F.col("head").isNotNull()).select(F.col("head.doc_id").alias("__id"), F.col("head.raw").alias("__raw")).distinct()
+    keyed = docs.withColumn("__of", F.xxhash64("text"))
+    one = keyed.where(F.col("text").isNotNull()).join(first, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__of") == F.col("__raw")), "left_semi")
+    # repeated rows of an id and text are one, any of them
+    return one.dropDuplicates(["doc_id", "__of"]).drop("__of").unionByName(docs.where(F.col("text").isNull()))
