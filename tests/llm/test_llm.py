@@ -127,7 +127,31 @@ def test_mined_rules_match_brute_force(spark):
     for x in tokens.collect():
         want = next((r for r in mined if set(r.tokens) <= set(x.tokens)), None)
         assert index.match(x.tokens) == want
-        assert joined[x.page_id] == (want and " ".join(want.tokens)) or want and set(joined[x.page_id].split()) == set(want.tokens)
+        assert joined[x.page_id] == (want and " ".join(want.tokens))
+
+
+def test_deep_shared_paths_are_one_item(spark):
+    deep = "/".join(f"seg{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(60))
+    rows = [f"http://h{k % 3}.net/{deep}/x{k}" for k in range(200)] + [f"http://h.example.com/{deep}/tail/y" for _ in range(40)] + [f"http://o.org/{k}" for k in range(100)]
+    pages = spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")
+    tokens = urls.with_tokens(pages).cache()
+    known = dict(urls.together(tokens.select("tokens"), 0.005).collect())
+    segs = {known[t] for t in known if t.startswith("path:seg")}
+    assert len(segs) == 1 and known["path:tail"] in ("host:example", "host:com", "path:tail", "host:h")
+    got = {r.page_id: r for r in urls.judge(pages).collect()}
+    joined = {r.page_id: r for r in urls.judge(pages, max_rules=0).collect()}
+    for k in range(len(rows)):
+        a, b = got[k], joined[k]
+        assert (a.verdict, a.confidence, a.mined_tokens) == (b.verdict, b.confidence, b.mined_tokens)
+        assert a.verdict == ("block" if k < 200 else a.verdict)
+
+
+def test_no_mined_rule_overrules_a_seed_word(spark):
+    rows = [f"http://a{k % 5}.org/fr/{k}" for k in range(300)] + ["http://casino.example.se/fr/x", "http://casino.example.se/xx/x", "http://shop.example.se/fr/x"]
+    got = {r.url: r for r in urls.judge(spark.createDataFrame([(u, "old", 1) for u in rows], "url string, verdict string, n int")).collect()}
+    assert got["http://casino.example.se/fr/x"].verdict == got["http://casino.example.se/xx/x"].verdict == "block"
+    assert got["http://casino.example.se/fr/x"].mined_tokens is None and got["http://shop.example.se/fr/x"].verdict == "allow"
+    assert {r.n for r in got.values()} == {1}
 
 
 def test_seed_words_in_any_host_label(spark):

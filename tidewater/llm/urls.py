@@ -2,17 +2,22 @@
 
 Labelled are the pages that a list of rules covers, and those whose host has a word from a short list
 (``SEEDS``).  URLs become sets of tokens (host labels and their parts, path segments, query keys;
-digits as ``#``, in parts left out), with the label, if there is one, as one more token.  Spark's FP-growth mines the
-frequent token sets of all pages, so unlabelled pages count against a rule; rules with a label as
-their consequent stay if their confidence and support suffice and no shorter rule of the same label
-is as sure.  A page that
-no listed rule covers gets the verdict of its surest mined rule, found through an inverted index on
-each rule's rarest token; else ``block`` if its host has a seed word, with confidence 1 as for the listed
-rules, both being given by hand; else ``allow``.
-
-The number of frequent sets is at most 2^(tokens of a URL) / support, whatever the number of pages,
-so the mined rules are small enough to hand to every task; ``max_rules`` is checked all the same, and
-beyond it the matching runs as a join instead.
+digits as ``#``, in parts left out), with the label, if there is one, as one more token.  Tokens that always
+come together, as the segments of a deep path that many pages share, are one item (the first of them), so that
+their subsets are not mined one by one.  Spark's FP-growth mines the frequent item sets of all pages, so
+unlabelled pages count against a rule; rules with a label as their consequent stay if their
+confidence and support suffice and no shorter rule of the same label is as sure.  A page that no listed
+rule covers is blocked if its host has a seed word, with confidence 1 as for the listed rules, both
+being given by hand; else it gets the verdict of its surest mined rule, found through an inverted
+index on each rule's rarest token; else ``allow``.
+
+Frequent items of a page are few where its tokens vary freely; ``max_rules`` is checked all the same, and
+beyond it the matching runs as a join, with the same result.
+
+:func:`judge` writes ``host``, ``path``, ``rule``, ``verdict``, ``confidence`` and ``mined_tokens``, in
+place of columns of those names; other columns stay.  Repeated rows count each and are judged alike; of
+rules equally sure the longer, then the more frequent, then ``block``, then the first by its tokens wins.
+A very long url is a long set of tokens.  An empty table gives an empty result.
 
 Null urls and urls without ``://`` have an empty host and path, no tokens, and are allowed.
 """
@@ -27,7 +32,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import bounded_batches
+from tidewater.llm.common import bounded_batches, run_dir, written
 
 #: Words in host names that mark a page as blocked when rules are mined; a parameter of :func:`judge`.
 SEEDS = ("adult", "ads", "bets", "casino", "pills", "porn", "spam", "warez")
@@ -120,9 +125,31 @@ class MinedRule:
     support: float
 
 
+def together(sets: DataFrame, min_support: float) -> DataFrame:
+    """(token, item): the frequent tokens of ``tokens``, and the first of those that stand in the very same rows.
+
+    Rows are told apart by all their tokens, so rows that are equal in them may count as one or as many.
+    Tokens are alike if as many rows have them and the rows' hashes have the same sum.  At
+    most as many tokens are frequent as rows have on average, divided by ``min_support``.
+    """
+    least = sets.count() * min_support
+    each = sets.select(F.explode("tokens").alias("token"), F.xxhash64("tokens").cast("decimal(38,0)").alias("h"))
+    seen = each.groupBy("token").agg(F.count("*").alias("n"), F.sum("h").alias("h")).where(F.col("n") >= least)
+    first = seen.groupBy("n", "h").agg(F.min("token").alias("item"))
+    return seen.join(first, ["n", "h"]).select("token", "item")
+
+
 def mine(labelled: DataFrame, min_support: float = 0.005, min_confidence: float = 0.6, max_tokens: int = 3) -> list[MinedRule]:
     """Rules from ``tokens`` and ``verdict`` (null: unlabelled), the surest first.  No rows: no rules."""
     items = labelled.where(F.size("tokens") > 0)
+    # frequent tokens only, as items; a row without any stays, as the support is a share of all rows
+    known = dict(together(items, min_support).collect())  # a row for each frequent token
+
+    @F.arrow_udf("array<string>")
+    def as_items(rows: pa.Array) -> pa.Array:
+        return pa.array([sorted({known[t] for t in x if t in known}) for x in rows.to_pylist()], pa.list_(pa.string()))
+
+    items = items.withColumn("tokens", as_items("tokens"))
     items = items.select(F.concat("tokens", F.array_compact(F.array(F.concat(F.lit("label:"), "verdict")))).alias("items"))
     if items.isEmpty():
         return []
@@ -183,7 +210,7 @@ def by_rules(pages: DataFrame, rules: list[MinedRule], max_rules: int = 100_000)
         return pages.withColumn("mined", run(F.col("tokens")))
     under = Index(rules).under
     table = spark.createDataFrame(
-        [(t, k, list(need), rules[k].verdict, rules[k].confidence) for t, at in under.items() for k, need in at],
+        [(t, k, list(rules[k].tokens), rules[k].verdict, rules[k].confidence) for t, at in under.items() for k, _ in at],
         "token string, k long, need array<string>, verdict string, confidence double",
     )
     sets = pages.select("tokens").distinct()
@@ -192,20 +219,22 @@ def by_rules(pages: DataFrame, rules: list[MinedRule], max_rules: int = 100_000)
     return pages.join(best, "tokens", "left")
 
 
-def judge(pages: DataFrame, rules=RULES, seeds=SEEDS, **mining) -> DataFrame:
+def judge(pages: DataFrame, rules=RULES, seeds=SEEDS, max_rules: int | None = None, **mining) -> DataFrame:
     """Host, path, listed rule, verdict, and for the method's own verdicts how sure it is; other columns stay."""
     parsed = with_tokens(pages).withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
     rule, verdict = listed(F.col("host"), F.col("path"), rules)
     parsed = parsed.withColumns({"rule": rule, "listed": verdict})
     seeded = F.when(F.arrays_overlap("tokens", F.array(*[F.lit(kind + w) for w in seeds for kind in ("host:", "part:")])), "block") if seeds else F.lit(None)
+    # tokens are made once, for the several passes of the mining and for the matching
+    parsed = written(parsed, run_dir(pages.sparkSession, "urls"), "parsed")
     mined = mine(parsed.select("tokens", F.coalesce("listed", seeded).alias("verdict")), **mining)
-    out = by_rules(parsed, mined)
+    out = by_rules(parsed, mined, **({"max_rules": max_rules} if max_rules is not None else {}))
     by_seed = F.when(seeded.isNotNull(), 1.0)
     return out.withColumns(
         {
-            "verdict": F.coalesce("listed", F.col("mined.verdict"), seeded, F.lit("allow")),
-            "confidence": F.when(F.col("listed").isNotNull(), 1.0).otherwise(F.coalesce(F.col("mined.confidence"), by_seed, F.lit(0.0))),
-            "mined_tokens": F.when(F.col("listed").isNull(), F.col("mined.tokens")),
+            "verdict": F.coalesce("listed", seeded, F.col("mined.verdict"), F.lit("allow")),
+            "confidence": F.when(F.col("listed").isNotNull(), 1.0).otherwise(F.coalesce(by_seed, F.col("mined.confidence"), F.lit(0.0))),
+            "mined_tokens": F.when(F.col("listed").isNull() & seeded.isNull(), F.col("mined.tokens")),
         }
     ).drop("listed", "mined", "tokens")
 
