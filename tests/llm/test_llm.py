@@ -10,6 +10,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 import public_tokenizers as P
@@ -376,6 +377,36 @@ def test_html_blocks(spark):
     assert got[1] == got[2] == "" and got[3] == 'open < text\nand "quoted' and len(got[4]) == 399_999
 
 
+def test_html_neighbours_decide_and_wrappers_do_not(spark):
+    model = html_blocks.train(spark)
+    weight = dict(zip(html_blocks.FEATURES, model.featureImportances.toArray()))
+    assert weight["prev_link_density"] > 0 and weight["next_link_density"] > 0 and weight["prev_words"] + weight["next_words"] > 0
+    assert all(model.predict(Vectors.dense(x)) == y for x, y in html_blocks.LABELLED)
+    long = "word " * 40
+    nav = "<nav><a href=1>Home</a><a href=2>Away</a></nav>"
+    pages = {
+        # readers' comments, adverts, notices and lists of links in an article
+        f"<article><p>{long}</p><div class='comment-thread'><p>I am a reader.</p></div><div id='reader-comments'><p>me too I say</p></div>"
+        "<div class='ad-300x250'><p>Buy now this thing</p></div><div class='adsbygoogle'>x</div><div class='gdpr-notice'><p>We use things</p></div>"
+        "<div class='cookie-law-info'><p>cookies here</p></div><ul><li><a href=1>One</a></li><li><a href=2>Two</a></li></ul></article>": long.strip(),
+        # short paragraphs, with and without an article
+        "<body><h2>Title</h2><p>Yes it is.</p><p>No.</p><p>Maybe so then.</p></body>": "Title\nYes it is.\nNo.\nMaybe so then.",
+        f"<body><p>{long}</p><p>Yes.</p><p>{long}</p></body>": f"{long.strip()}\nYes.\n{long.strip()}",
+        # a link between texts stays
+        f"<body><p>{long}</p><p><a href=1>See there</a></p><p>{long}</p></body>": f"{long.strip()}\nSee there\n{long.strip()}",
+        # a form around the page wraps it, another is furniture
+        f"<body><form id=aspnetForm>{nav}<h1>Story</h1><p>{long}</p><p>End of it.</p></form></body>": f"Story\n{long.strip()}\nEnd of it.",
+        f"<body><form action=s><label>Search this site</label></form><h1>Story</h1><p>{long}</p></body>": f"Story\n{long.strip()}",
+        # the page's header goes, the heading in the article's own stays
+        f"<body><header><h1>Site</h1></header><article><header><h1>My story</h1><p>by me</p></header><p>{long}</p></article></body>": f"My story\n{long.strip()}",
+        f"<body class='page no-sidebar has-comments'><div class='post-with-comments'><p>{long}</p></div><div class='commentary'><p>fine text</p></div></body>": f"{long.strip()}\nfine text",
+    }
+    rows = list(enumerate(pages))
+    got = {r.page_id: r.text for r in html_blocks.extract(spark.createDataFrame(rows, "page_id long, html string")).collect()}
+    for k, page in rows:
+        assert got[k] == pages[page], page
+
+
 def test_html_blocks_lose_no_main_text(spark):
     body = "<article><p>first words here</p>{}<p>last words here</p></article>"
     bare = ["<svg class=i/>", "<svg/>", "<button>", "<title-bar>", "<title-bar></title-bar>", "<select-menu>", "<select>", "<svg><title/></svg>", "<svg><title>hidden</title><svg/><path d='x'/></svg>",
