@@ -53,7 +53,7 @@ def test_sums_of_squares_are_exact():
         blocks, windows = code[: 2 * size].reshape(2, size), code[2 * size :].reshape(2, 2 * size)
         places = range(0, size, max(1, size // 50))
         want = [[((blocks[i] - windows[i, k : k + size]) ** 2).sum() for k in places] for i in range(2)]
-        got = runs.mismatches(blocks, windows)
+        got = runs.mismatches(blocks.T, windows.T).T
         assert (got[:, list(places)] == np.array(want)).all() and got.min() >= 0 and size * int(code.max()) ** 2 < runs.P
 
 

@@ -65,47 +65,44 @@ def _levels(size: int, back: bool) -> list[np.ndarray]:
 
 
 def ntt(x: np.ndarray) -> np.ndarray:
-    """Transform of each row, in bit-reversed order; rests are not made positive."""
-    rows, size = x.shape
+    """Transform of each column, in bit-reversed order; rests are not made positive."""
+    size, columns = x.shape
     for powers in _levels(size, False):
-        half = len(powers)
-        v = x.reshape(-1, 2, half)
+        v = x.reshape(-1, 2, len(powers), columns)
         out = np.empty_like(v)
         a, b = v[:, 0], v[:, 1]
-        np.add(a, b, out=out[:, 0])
-        out[:, 1] = _reduce(_reduce((a - b) * powers))
-        out[:, 0] = _reduce(out[:, 0])
+        out[:, 0] = _reduce(a + b)
+        out[:, 1] = _reduce(_reduce((a - b) * powers[:, None]))
         x = out
-    return x.reshape(rows, size)
+    return x.reshape(size, columns)
 
 
 def inverse(x: np.ndarray) -> np.ndarray:
-    """The rows whose transforms (in bit-reversed order) are given, from 0 to P - 1."""
-    rows, size = x.shape
+    """The columns whose transforms (in bit-reversed order) are given, from 0 to P - 1."""
+    size, columns = x.shape
     for powers in reversed(_levels(size, True)):
-        half = len(powers)
-        v = x.reshape(-1, 2, half)
+        v = x.reshape(-1, 2, len(powers), columns)
         out = np.empty_like(v)
-        a, b = v[:, 0], _reduce(_reduce(v[:, 1] * powers))
+        a, b = v[:, 0], _reduce(_reduce(v[:, 1] * powers[:, None]))
         np.add(a, b, out=out[:, 0])
         np.subtract(a, b, out=out[:, 1])
         x = _reduce(out)
-    return x.reshape(rows, size) * pow(size, P - 2, P) % P
+    return x.reshape(size, columns) * pow(size, P - 2, P) % P
 
 
 def mismatches(blocks: np.ndarray, windows: np.ndarray) -> np.ndarray:
-    """Sums of squared differences of each block (a row) and each place of its window.
+    """Sums of squared differences of each block (a column) and each place of its window (a row of the result).
 
     A window has twice the block's length; the places are those from 0 to the block's length - 1.
     Sums must stay below 65537.
     """
-    rows, size = blocks.shape
-    turned = np.zeros((rows, 2 * size), np.int64)
-    turned[:, :size] = blocks[:, ::-1]
-    cross = inverse(_reduce(_reduce(ntt(turned) * ntt(windows))))[:, size - 1 : 2 * size - 1]
-    squares = np.concatenate((np.zeros((rows, 1), np.int64), np.cumsum(windows * windows, axis=1)), axis=1)
-    own = (blocks * blocks).sum(axis=1, keepdims=True)
-    return own + (squares[:, size : 2 * size] - squares[:, :size]) - 2 * cross
+    size, columns = blocks.shape
+    turned = np.zeros((2 * size, columns), np.int64)
+    turned[:size] = blocks[::-1]
+    cross = inverse(_reduce(_reduce(ntt(turned) * ntt(windows))))[size - 1 : 2 * size - 1]
+    squares = np.concatenate((np.zeros((1, columns), np.int64), np.cumsum(windows * windows, axis=0)))
+    own = (blocks * blocks).sum(axis=0)
+    return own + (squares[size : 2 * size] - squares[:size]) - 2 * cross
 
 
 def coded(words: np.ndarray, size: int) -> np.ndarray:
@@ -132,11 +129,11 @@ def candidates(words: np.ndarray, scale: int, reach: np.ndarray) -> tuple[np.nda
     found_b, found_d = [], []
     for at in range(0, len(starts), step):
         some = starts[at : at + step]
-        blocks = code[some[:, None] + np.arange(short)]
+        blocks = code[some + np.arange(short)[:, None]]
         for first in range(size, 2 * size, short):
-            windows = code[(some + first)[:, None] + np.arange(2 * short)]
-            row, place = np.nonzero(mismatches(blocks, windows) == 0)
-            b, d = some[row], first + place
+            windows = code[some + first + np.arange(2 * short)[:, None]]
+            place, column = np.nonzero(mismatches(blocks, windows) == 0)
+            b, d = some[column], first + place
             keep = (b + d + size <= n) & (reach[b] < b + d + size)
             b, d = b[keep], d[keep]
             keep = (words[b] == words[b + d]) & (words[b + size - 1] == words[b + d + size - 1])
