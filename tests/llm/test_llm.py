@@ -509,3 +509,74 @@ def test_pipeline_stages(spark):
         out = spark.createDataFrame(out.collect(), out.schema)
         assert 0 < out.count() <= seen
         docs, seen = out, out.count()
+
+
+def leaked(texts, items):
+    """Places of the texts that hold an item's window, over all windows of the item's length, by brute force."""
+    import regex
+
+    split = lambda t: [w for w in regex.split(r"[^\p{L}\p{M}\p{N}]+", (t or "").lower()) if w]
+    grams = lambda w: [tuple(w[i : i + 5]) for i in range(len(w) - 4)] if len(w) >= 5 else [tuple(w)] * bool(w)
+    sets = [(w, Counter(grams(w))) for w in map(split, items) if w]
+    df = Counter(g for _, c in sets for g in c)
+    weigh = lambda c: {g: n * (1 + math.log(len(sets) / df.get(g, 1))) for g, n in c.items()}
+    weighed = [(len(w), weigh(c)) for w, c in sets]
+    out = set()
+    for k, words in enumerate(map(split, texts)):
+        for n, want in weighed:
+            size = min(n, 5)
+            at = [i for i in range(len(words) - size + 1) if tuple(words[i : i + size]) in want]
+            for start in sorted({max(0, i - j) for i in at for j in range(n - size + 1)}):
+                got = weigh(Counter(grams(words[start : start + n])))
+                common = sum(min(v, want.get(g, 0)) for g, v in got.items())
+                if common / (sum(got.values()) + sum(want.values()) - common) >= 0.8 - 1e-9:
+                    out.add(k)
+                    break
+    return out
+
+
+def test_pipeline_stages_match_brute_force(spark):
+    import corpus_pipeline
+    import tiktoken
+
+    stages = dict(corpus_pipeline.STAGES)
+    assert list(stages) == ["language", "quality", "near_dedup", "decontaminate", "encode"]
+    docs = load(spark, SF, "documents")
+
+    def run(name, docs):
+        out = stages[name](spark, docs, SF)
+        rows = out.collect()
+        return spark.createDataFrame(rows, out.schema), rows
+
+    seen = docs.collect()
+    model = ppm.train(docs)
+    judged = ppm.judge(model, [r.text for r in seen]).to_pylist()
+    docs, rows = run("language", docs)
+    assert sorted(rows) == sorted(r for r, x in zip(seen, judged) if x["lang_pred"] != "und" and x["bits_per_byte"] < 8)
+
+    # every rule's condition and weight, row by row
+    model = quality.train(docs, load(spark, SF, "labels"))
+    stats = {r.doc_id: r.stats for r in quality.with_statistics(docs).collect()}
+    seen, good = rows, []
+    for r in seen:
+        held = [w for rule, w in model.weights if all((stats[r.doc_id][n] <= at) if low else (stats[r.doc_id][n] > at) for n, low, at in rule)]
+        if 1 / (1 + math.exp(-(model.intercept + sum(held)))) >= 0.7:
+            good.append(r)
+    docs, rows = run("quality", docs)
+    assert sorted(rows) == sorted(good) and 0 < len(good) < len(seen)
+
+    classes = brute_classes(spark, docs)
+    seen = rows
+    docs, rows = run("near_dedup", docs)
+    assert sorted(r.doc_id for r in rows) == sorted(set(classes.values())) and set(rows) <= set(seen) and len(rows) < len(seen)
+
+    bad = leaked([r.text for r in rows], [r.text for r in load(spark, SF, "benchmark").collect()])
+    seen = rows
+    docs, rows = run("decontaminate", docs)
+    assert sorted(rows) == sorted(r for k, r in enumerate(seen) if k not in bad) and bad
+
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
+    enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    digest = lambda b: hashlib.sha256(b).hexdigest()
+    want = sorted((r.doc_id, len(i := enc.encode_ordinary(r.text)), digest(" ".join(map(str, i)).encode()), digest(r.text.encode())) for r in rows)
+    assert sorted(map(tuple, run("encode", docs)[1])) == want
