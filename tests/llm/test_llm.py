@@ -71,6 +71,38 @@ def test_license_odd_rows(odd):
 
 
 # 2 language
+def test_ppm_code_lengths_are_those_of_a_plain_coder(spark):
+    docs = load(spark, SF, "documents")
+    model = ppm.train(docs)
+    trees = {x: [{} for _ in range(4)] for x in model.langs}  # by order: context -> byte -> count
+    for r in ppm.sample(docs, 400, 100_000).collect():
+        b = b"\0\0\0" + (r.text or "").encode()
+        for i in range(3, len(b)):
+            for order in range(4):
+                of = trees[r.lang][order].setdefault(b[i - order : i], {})
+                of[b[i]] = of.get(b[i], 0) + 1
+
+    def cost(tree, b, i):
+        bits, out = 0.0, set()
+        for order in (3, 2, 1, 0):
+            left = {x: n for x, n in tree[order].get(b[i - order : i], {}).items() if x not in out}
+            if not left:
+                continue
+            total = sum(left.values()) + len(left)
+            if b[i] in left:
+                return bits + math.log2(total / left[b[i]])
+            bits += math.log2(total / len(left))
+            out |= set(left)
+        return bits + math.log2(max(1, 256 - len(tree[0].get(b"", {}))))
+
+    texts = [r.text for r in docs.where(held_out(F.col("doc_id")) & (F.length("text") < 700)).collect()][:14] + ["zq\u4e2d\0\0 xyz", "a", "naïve Übermaß ¿qué?"]
+    got = model.bits(texts)
+    for k, t in enumerate(texts):
+        b = b"\0\0\0" + t.encode()
+        for j, lang in enumerate(model.langs):
+            assert abs(sum(cost(trees[lang], b, i) for i in range(3, len(b))) - got[k, j]) < 1e-4 * len(b) + 1e-3
+
+
 def test_ppm_held_out_accuracy_and_code(spark):
     docs = load(spark, SF, "documents")
     model = ppm.train(docs)
