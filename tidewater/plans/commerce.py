@@ -255,11 +255,10 @@ def customers_without_urgent_orders_sql(spark, sf):
     """J6 through SQL text over temp views; written as LEFT ANTI JOIN (Catalyst does not
     rewrite ``LEFT JOIN … IS NULL`` into an anti join)."""
     t = Tables(spark, sf)
-    register_view(t.customer, "tw_customer")
-    register_view(t.orders, "tw_orders")
+    customer, orders = register_view(t.customer), register_view(t.orders)
     return spark.sql(
-        """SELECT c.c_custkey, c.c_name FROM tw_customer c LEFT ANTI JOIN
-           (SELECT o_custkey FROM tw_orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'F') o
+        f"""SELECT c.c_custkey, c.c_name FROM {customer} c LEFT ANTI JOIN
+           (SELECT o_custkey FROM {orders} WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'F') o
            ON c.c_custkey = o.o_custkey"""
     )
 

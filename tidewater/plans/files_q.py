@@ -163,8 +163,7 @@ def rows_to_driver(spark, sf):
 )
 def orders_by_ordinal(spark, sf):
     """Grouping by the places of the selected columns, in SQL."""
-    view = f"orders_{uuid.uuid4().hex}"
-    sinks.register_view(Tables(spark, sf).orders, view)
+    view = sinks.register_view(Tables(spark, sf).orders)
     return spark.sql(f"SELECT o_orderstatus AS status, o_orderpriority AS priority, count(*) AS n FROM {view} GROUP BY 1, 2")
 
 

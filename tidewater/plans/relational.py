@@ -257,8 +257,8 @@ def line_transforms(spark, sf):
 )
 def balance_sql(spark, sf):
     """SQL ``WHERE`` over a temp view, arithmetic projection."""
-    register_view(Tables(spark, sf).customer, "tw_customer_bal")
-    return spark.sql("SELECT c_custkey, c_acctbal + 10 AS bal_plus_10 FROM tw_customer_bal WHERE c_acctbal >= 18")
+    view = register_view(Tables(spark, sf).customer)
+    return spark.sql(f"SELECT c_custkey, c_acctbal + 10 AS bal_plus_10 FROM {view} WHERE c_acctbal >= 18")
 
 
 @register(

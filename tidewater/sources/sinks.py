@@ -63,8 +63,9 @@ def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def register_view(df: DataFrame, name: str) -> str:
-    """K7: temp view for SQL text."""
+def register_view(df: DataFrame, name: str | None = None) -> str:
+    """K7: temp view for SQL text, under a name of its own unless one is given."""
+    name = name or f"view_{uuid.uuid4().hex}"
     df.createOrReplaceTempView(name)
     return name
 
