@@ -28,8 +28,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import bounded_batches, run_dir, written
+from tidewater.operators.joins import salted_join
 
 LEAST = 100
+#: Copies of one payload that are more than one part in so many of the pages are dealt to several tasks.
+SHARES = 64
 ROLL = 128 << 20
 SAMPLE_BYTES = 1 << 20
 DICTIONARY_BYTES = 32 << 10
@@ -152,13 +155,22 @@ def parse(data: bytes) -> dict:
 
 
 def marked(pages: DataFrame, least: int = LEAST) -> DataFrame:
-    """Adds digest, n_bytes and refers_to (null: a response) to page_id, url and html."""
+    """Adds digest, n_bytes and refers_to (null: a response) to page_id, url and html.
+
+    Only pages of ``least`` bytes look for their like; others have no key and are spread.  Payloads
+    that very many pages share are known by their count and dealt to several tasks.
+    """
+    folder = run_dir(pages.sparkSession, "warc-marks")
     body = F.coalesce(F.col("html"), F.lit(""))
     own = pages.select("page_id", "url", body.alias("html")).withColumns({"digest": F.sha2(F.col("html").cast("binary"), 256), "n_bytes": F.octet_length("html").cast("long")})
-    heads = own.where(F.col("n_bytes") >= least).groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
-    heads = heads.where((F.col("n") > 1) & F.col("first").isNotNull()).select("digest", "first")
-    first: Column = F.when((F.col("n_bytes") >= least) & ~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))
-    return own.join(heads, "digest", "left").select("page_id", "url", "html", "digest", first.alias("refers_to"))
+    own = own.withColumn("key", F.when(F.col("n_bytes") >= least, F.col("digest")))
+    heads = own.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
+    heads = written(heads.where((F.col("n") > 1) & F.col("first").isNotNull()), folder, "heads")
+    share = F.col("n") * SHARES / F.lit(max(1, pages.count()))
+    hot = heads.where(share > 1).select("key", F.ceil(share).cast("long").alias("salts"))  # fewer than SHARES rows
+    first: Column = F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))
+    joined = salted_join(own, heads.select("key", "first"), "key", SHARES, ["page_id", "url"], "left", hot)
+    return joined.select("page_id", "url", "html", "digest", first.alias("refers_to"))
 
 
 def write(records: DataFrame, folder: str) -> DataFrame:
