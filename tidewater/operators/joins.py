@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions.columns import as_cols
+from tidewater.session import ensure_checkpoint_dir
 
 
 def lookup(
@@ -84,6 +85,7 @@ def salted_join(
         raise ValueError(f"salted_join can't keep unmatched rows of the replicated side: how={how!r}")
     cols = list(salt_from) if salt_from else fact.columns
     # at most 2 * salt_buckets rows, read from the shared folder by both sides
+    ensure_checkpoint_dir(fact.sparkSession)
     hot = (hot_keys(fact, key, salt_buckets) if hot is None else hot).checkpoint(eager=True)
     hot = F.broadcast(hot.select(F.col(key).alias("__hot"), F.col("salts").alias("__salts")))
     salts = F.coalesce("__salts", F.lit(1).cast("long"))

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from tidewater.operators.joins import hot_keys
 from tidewater.operators.windows import top_n_per_group
+from tidewater.session import ensure_checkpoint_dir
 
 
 def cosine(sum_xy: Column, sum_xx: Column, sum_yy: Column) -> Column:
@@ -81,6 +82,7 @@ def item_similarity(ratings: DataFrame, salt_buckets: int = 1, hot_shares: int |
     """
     ratings = ratings.select("user", "item", "rating")
     if hot_shares:
+        ensure_checkpoint_dir(ratings.sparkSession)
         hot = F.broadcast(hot_keys(ratings, "user", hot_shares).withColumnRenamed("user", "__hot").checkpoint(eager=True))
         salted = ratings.join(hot, F.col("user") == F.col("__hot"), "left").drop("__hot")
         pairs = _user_pairs(salted.withColumn("salts", F.coalesce("salts", F.lit(1).cast("long"))), F.col("salts"))
@@ -104,6 +106,7 @@ def similar_pairs(ratings: DataFrame, score_threshold: float, min_pairs: int) ->
     ``ratings``: one row a (user, item), not NULL; it is read several times, so it should be a written table.
     """
     t = min_pairs + 1
+    ensure_checkpoint_dir(ratings.sparkSession)
     ratings = ratings.select("user", "item", "rating")
     large = ratings.groupBy("item").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= t).select("item")
     ratings = ratings.join(large, "item", "left_semi")
