@@ -249,3 +249,16 @@ def test_both_ways_to_keep_one_row_per_key_agree(spark, data, keep):
     a = keep_one_per_key(df, "k", ["v", "s"], keep).select("k", "v", "s")
     b = keep_one_per_key(df, "k", ["v", "s"], keep, near_unique=True)
     assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+
+
+@SETTINGS
+@given(
+    st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 5) | st.none()), min_size=1, max_size=60),
+    st.integers(1, 4), st.booleans(),
+)
+def test_top_ranks_with_ties_match_window_functions(spark, data, n, dense):
+    df = spark.createDataFrame([(g, o, i) for i, (g, o) in enumerate(data)], "g string, o long, i long")
+    w = Window.partitionBy("g").orderBy("o")
+    plain = df.withColumn("r", (F.dense_rank() if dense else F.rank()).over(w)).where(F.col("r") <= n)
+    got = windows.top_ranks(df, "g", ["o"], n, dense=dense, salt_buckets=4)
+    assert {r.i: r.rnk for r in got.collect()} == {r.i: r.r for r in plain.collect()} and got.count() == plain.count()
