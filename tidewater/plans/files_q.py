@@ -144,7 +144,7 @@ def single_file_totals(spark, sf):
 @register(
     "rows_to_driver",
     "SELECT r_name AS region, string_agg(n_name, ',' ORDER BY n_name) AS nations, count(*) AS n FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_name",
-    "K12 J1 A5",
+    "K12 S11 J1 A5",
 )
 def rows_to_driver(spark, sf):
     """The nations and their regions brought to the driver (bounded, or an error), grouped there in plain Python."""
