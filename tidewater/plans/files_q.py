@@ -96,11 +96,22 @@ def least_connected_from_files(spark, sf):
     "S13 P6 L1",
 )
 def range_squares(spark, sf):
-    """A generated range as long as ``orders``, in eight partitions; squares summed on the executors."""
+    """A generated range as long as ``orders``, in eight partitions; squares summed on the executors.
+
+    The sum is below n³/3: a BIGINT as long as that surely holds it, beyond (3.0 million rows) a DECIMAL(38,0)."""
     n = Tables(spark, sf).orders.count()
-    numbers = readers.numbers(spark, 0, n, 8).withColumn("part", F.spark_partition_id())
+    return squares_of_range(spark, n, 8)
+
+
+def squares_of_range(spark, n: int, partitions: int):
+    """Length, exact sum of squares and partitions of a generated range."""
+    numbers = readers.numbers(spark, 0, n, partitions).withColumn("part", F.spark_partition_id())
+    squares = F.sum(F.col("value") * F.col("value"))
+    if n**3 // 3 >= 2**63:
+        value = F.col("value").cast("decimal(19,0)")
+        squares = F.sum(value * value).cast("decimal(38,0)")
     return numbers.agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col("value") * F.col("value")).alias("squares"),
+        F.count(F.lit(1)).alias("n"), squares.alias("squares"),
         F.count_distinct("part").cast("int").alias("partitions"),
     )
 
