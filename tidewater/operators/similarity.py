@@ -8,20 +8,22 @@ keep every sum exact (BIGINT), so scores are reproducible bit for bit.
   work is linear in the rows of those users, and a hot user costs one pair per
   rating.  This is the operator to use at scale.
 * :func:`item_similarity` (C6) materialises the full pair table, which is by
-  definition quadratic in items per user.  The self-join feeds a partial
-  aggregate in the same stage, so pair rows are never written or shuffled
-  un-aggregated.  Users with a large share of the ratings have their pairs
-  spread over ``(user, salt)`` reducers (others are untouched); AQE's skew-join
-  split remains on as a second line of defence.
+  definition quadratic in items per user.  Users' ratings are shuffled as arrays to
+  the task of one item of their pairs (not a hot one), which forms and sums them, so pair rows
+  are never written or shuffled.  Users with a large share of the ratings are
+  spread over ``(user, salt)`` reducers (others are untouched).
 * :func:`similar_pairs` gives the rows of that table above a score and a number of
-  common users without forming the rest: pairs that can have enough common users are
-  found without the users that rate nearly everything.
+  common users, filtered where they are summed: pairs that can have enough common users are
+  found without the hot users that rate nearly everything.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType
 
 from tidewater.operators.joins import hot_keys
 from tidewater.operators.windows import top_n_per_group
@@ -45,60 +47,139 @@ def ratings_from_orders(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
-def _sums(pairs: DataFrame) -> DataFrame:
-    return pairs.groupBy("item1", "item2").agg(
-        F.sum(F.col("x") * F.col("y")).alias("sum_xy"),
-        F.sum(F.col("x") * F.col("x")).alias("sum_xx"),
-        F.sum(F.col("y") * F.col("y")).alias("sum_yy"),
-        F.count(F.lit(1)).alias("num_pairs"),
-    )
+BASKET = 256  # ratings of a user in one row of arrays; users with more have several
+PAIRS_A_TASK = 1_000_000
+HOT_ITEMS = 4096
+_WHOLE = (("tinyint", 8), ("smallint", 16), ("int", 32))
+
 
+def _ends(df: DataFrame, *names: str) -> dict[str, tuple[int, int]]:
+    """Smallest and largest value of the whole-number columns, in one pass."""
+    wide = [c for c in names if isinstance(df.schema[c].dataType, LongType | IntegerType)]
+    row = df.agg(F.count(F.lit(1)), *(f(c) for c in wide for f in (F.min, F.max))).first()
+    return {c: (row[1 + 2 * i], row[2 + 2 * i]) for i, c in enumerate(wide) if row[1 + 2 * i] is not None}
 
-def _user_pairs(ratings: DataFrame, salts: Column | None = None) -> DataFrame:
-    """Pairs ``item1 < item2`` of each user's ratings; a user's left rows are dealt to ``salts``, the right ones repeated."""
-    r1 = ratings.withColumnsRenamed({"item": "item1", "rating": "x"})
-    r2 = ratings.withColumnsRenamed({"user": "user_b", "item": "item2", "rating": "y"})
-    cond = (F.col("user") == F.col("user_b")) & (F.col("item1") < F.col("item2"))
-    if salts is not None:
-        r1 = r1.withColumn("salt", F.pmod(F.xxhash64("item1"), salts))
-        r2 = r2.withColumn("salt_b", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)))
-        cond = cond & (F.col("salt") == F.col("salt_b"))
-    return r1.join(r2, cond, "inner")
+
+def _packed(array: Column, name: str, low: int, ends: tuple[int, int] | None) -> list[Column]:
+    """An array of whole numbers as one of their low bits, and one of the rest in the smallest type that holds it;
+    such arrays compress far better in a shuffle.  Other arrays stay as they are."""
+    if ends is None:
+        return [array.alias(name)]
+    fits = lambda bits: -(1 << (bits - 1)) <= ends[0] and ends[1] < 1 << (bits - 1)
+    kind = dict((v, k) for k, v in _WHOLE)[low]
+    if fits(low):
+        return [array.cast(f"array<{kind}>").alias(name)]
+    rest = next((t for t, bits in _WHOLE if fits(low + bits)), "bigint")
+    half = 1 << (low - 1)
+    below = F.transform(array, lambda v: (F.pmod(v, F.lit(2 * half).cast("long")) - half).cast(kind))
+    return [below.alias(name), F.transform(array, lambda v: F.shiftright(v, low).cast(rest)).alias(f"{name}_up")]
+
+
+def _unpacked(value, columns: list[str], name: str, low: int) -> Column:
+    """The number that ``value`` (how to take one element of a column) gives, of what :func:`_packed` made."""
+    if f"{name}_up" not in columns:
+        return value(name)
+    return F.shiftleft(value(f"{name}_up").cast("long"), low) + value(name).cast("long") + (1 << (low - 1))
+
+
+def _pair_sums(ratings: DataFrame, salt_buckets: int = 1, hot_shares: int | None = None) -> DataFrame:
+    """Sums and counts of all pairs ``item1 < item2`` of the users' ratings, grouped where the pairs are formed.
+
+    A user's ratings are ordered by item, hot items (more than one part in ``HOT_ITEMS`` of the ratings) last and
+    by their share, and kept as arrays of at most ``BASKET``.  Each rating is joined to the later ones of its user as
+    slices of those arrays, and these rows go to the task of the rating's own item.  All rows of a pair thus meet in
+    one task, a hot item's in those of the others: pairs are formed and summed there, and only arrays are shuffled.
+    """
+    kind = {c: ratings.schema[c].dataType for c in ("item", "rating")}
+    ensure_checkpoint_dir(ratings.sparkSession)
+    ratings = ratings.select("user", "item", "rating").where(F.col("user").isNotNull() & F.col("item").isNotNull())
+    ends = _ends(ratings, "item", "rating")
+    common = F.broadcast(hot_keys(ratings, "item", HOT_ITEMS).checkpoint(eager=True).withColumnsRenamed({"item": "__hot", "salts": "n"}))
+    counted = ratings.join(common, F.col("item") == F.col("__hot"), "left").drop("__hot").fillna(0, ["n"])
+    place = F.row_number().over(Window.partitionBy("user").orderBy("n", "item")) - 1
+    placed = counted.withColumn("p", place).withColumn("basket", F.floor(F.col("p") / BASKET).cast("int"))
+    rows = placed.groupBy("user", "basket").agg(F.array_sort(F.collect_list(F.struct("p", "item", "rating"))).alias("b"))
+    arrays = [*_packed(F.col("b.item"), "items", 16, ends.get("item")), *_packed(F.col("b.rating"), "ys", 8, ends.get("rating"))]
+    baskets = rows.select("user", "basket", *arrays).checkpoint(eager=True)
+    names = baskets.columns[2:]
+    k = F.sum(F.size("items")).cast("double")
+    n_pairs = baskets.groupBy("user").agg((k * (k - 1) / 2).alias("n")).agg(F.sum("n")).first()[0] or 0.0
+
+    def at(column):
+        return F.get(F.col(column), F.col("at"))
+
+    item, rating = (lambda v: _unpacked(v, names, "items", 16).cast(kind["item"])), (lambda v: _unpacked(v, names, "ys", 8).cast(kind["rating"]))
+    one = baskets.select("user", F.col("basket").alias("own"), *names, F.explode(F.sequence(F.lit(0), F.size("items") - 1)).alias("at"))
+    one = one.select("user", "own", "at", item(at).alias("a"), rating(at).alias("x"))
+    two, on = baskets.withColumnRenamed("user", "user_b"), (F.col("user") == F.col("user_b")) & (F.col("own") <= F.col("basket"))
+    if hot_shares or salt_buckets > 1:
+        if hot_shares:
+            hot = F.broadcast(hot_keys(ratings, "user", hot_shares).withColumnRenamed("user", "__hot").checkpoint(eager=True))
+            one = one.join(hot, F.col("user") == F.col("__hot"), "left").drop("__hot")
+            two = two.join(hot, F.col("user_b") == F.col("__hot"), "left").drop("__hot")
+            salts = F.coalesce("salts", F.lit(1).cast("long"))
+        else:
+            salts = F.lit(salt_buckets).cast("long")
+        one = one.withColumn("salt", F.pmod(F.xxhash64("a"), salts)).drop("salts")
+        two = two.withColumn("salt_b", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1))).drop("salts")
+        on = on & (F.col("salt") == F.col("salt_b"))
+    start = F.when(F.col("own") == F.col("basket"), F.col("at") + 2).otherwise(1)
+    met = one.join(two, on).where(start <= F.size("items"))
+    met = met.select("a", "x", *(F.slice(c, start, F.size("items")).alias(c) for c in names))
+    met = met.repartition(max(1, math.ceil(n_pairs / PAIRS_A_TASK)), "a").sortWithinPartitions("a")
+
+    pairs = met.select("a", "x", *names[1:], F.posexplode("items").alias("at", "first"))
+    pairs = pairs.select("a", "x", item(lambda c: F.col("first") if c == "items" else at(c)).alias("b"), rating(at).alias("y"))
+    sums = pairs.where(F.col("a") != F.col("b")).groupBy("a", "b").agg(
+        F.sum(F.col("x") * F.col("y")).alias("xy"),
+        F.sum(F.col("x") * F.col("x")).alias("aa"),
+        F.sum(F.col("y") * F.col("y")).alias("bb"),
+        F.count(F.lit(1)).alias("num_pairs"),
+    )
+    ordered = F.col("a") < F.col("b")
+    return sums.select(
+        F.least("a", "b").alias("item1"),
+        F.greatest("a", "b").alias("item2"),
+        F.col("xy").alias("sum_xy"),
+        F.when(ordered, F.col("aa")).otherwise(F.col("bb")).alias("sum_xx"),
+        F.when(ordered, F.col("bb")).otherwise(F.col("aa")).alias("sum_yy"),
+        "num_pairs",
+    )
 
 
 def item_similarity(ratings: DataFrame, salt_buckets: int = 1, hot_shares: int | None = None) -> DataFrame:
     """Every co-rated item pair ``item1 < item2`` with sums, count and cosine score.
 
-    The ``item1 < item2`` residual sits in the join condition (J7), so Catalyst
-    evaluates it inside the join rather than after it.
+    Pairs are summed in the task that forms them (:func:`_pair_sums`).
 
-    Hot users: a user with k ratings yields k²/2 pairs, all produced by the task that
+    Hot users: a user with k ratings yields k slices of up to k ratings, all cut by the task that
     owns the user.  With ``hot_shares``, users that hold more than one part in so many of
     the ratings are found by a sketch and listed with as many salts as they fill such
     parts (at most ``2 * hot_shares`` rows, broadcast): left rows get salt = hash(item), the right
-    rows are repeated once a salt, so the user's pairs are made by that many
+    rows are repeated once a salt, so the user's slices are cut by that many
     reducers.  Other users are not repeated.  ``salt_buckets`` above 1 instead salts every
     user alike.  Every variant yields exactly the same rows.
+
+    ``ratings`` is read several times, so it should be a written table.
     """
-    ratings = ratings.select("user", "item", "rating")
-    if hot_shares:
-        ensure_checkpoint_dir(ratings.sparkSession)
-        hot = F.broadcast(hot_keys(ratings, "user", hot_shares).withColumnRenamed("user", "__hot").checkpoint(eager=True))
-        salted = ratings.join(hot, F.col("user") == F.col("__hot"), "left").drop("__hot")
-        pairs = _user_pairs(salted.withColumn("salts", F.coalesce("salts", F.lit(1).cast("long"))), F.col("salts"))
-    else:
-        pairs = _user_pairs(ratings, F.lit(salt_buckets).cast("long") if salt_buckets > 1 else None)
-    return _sums(pairs).withColumn("similarity", cosine(F.col("sum_xy"), F.col("sum_xx"), F.col("sum_yy")))
+    return _scored(_pair_sums(ratings, salt_buckets, hot_shares))
 
 
-def similar_pairs(ratings: DataFrame, score_threshold: float, min_pairs: int) -> DataFrame:
-    """C6 with its filters inside the join: pairs with ``similarity > score_threshold`` and ``num_pairs > min_pairs``.
+def _scored(sums: DataFrame) -> DataFrame:
+    return sums.withColumn("similarity", cosine(F.col("sum_xy"), F.col("sum_xx"), F.col("sum_yy")))
+
+
+def similar_pairs(ratings: DataFrame, score_threshold: float, min_pairs: int, hot_shares: int = 256) -> DataFrame:
+    """C6 with its filters where the pairs are formed: pairs with ``similarity > score_threshold`` and ``num_pairs > min_pairs``.
 
     Exactly the rows of the full table that pass.  Let t = ``min_pairs`` + 1 common users be needed.
-    Items with fewer than t users are left out.  Of each item's users the t - 1 that rate most items
-    are set aside (a group limit before the shuffle, whatever the size of the item).  Two items with t
-    common users share one that neither has set aside: were all common users set aside by one of the
-    two, the set-aside users of both, in the one order of users, would lie within t - 1.  So pairs are
+    Items with fewer than t users are left out.  Without hot users (more than one part in ``hot_shares`` of the
+    ratings, found by a sketch) pairs are summed and filtered in the task that forms them.
+
+    Of each item's hot users the t - 1 that rate most items are else
+    set aside (a group limit before the shuffle, whatever the size of the item).  Two items with t
+    common users share one that neither has set aside: the last of t common users, in the one order of users,
+    has t - 1 before it in either item.  So pairs are
     formed from the other users only, and users that rate nearly everything, whose pairs are
     most of all, form hardly any.  The users set aside are then added to the sums of
     those pairs alone: a lookup of t - 1 users for either item.
@@ -110,14 +191,16 @@ def similar_pairs(ratings: DataFrame, score_threshold: float, min_pairs: int) ->
     ratings = ratings.select("user", "item", "rating")
     large = ratings.groupBy("item").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= t).select("item")
     ratings = ratings.join(large, "item", "left_semi")
-    if t == 1:
-        sums = _sums(_user_pairs(ratings))
+    hot = None if t == 1 else hot_keys(ratings, "user", hot_shares).select("user").checkpoint(eager=True)
+    if hot is None or hot.isEmpty():
+        sums = _pair_sums(ratings)
     else:
-        active = ratings.groupBy("user").agg(F.count(F.lit(1)).alias("k"))
-        ranked = ratings.join(active, "user")
+        busy = ratings.join(F.broadcast(hot), "user", "left_semi")
+        active = busy.groupBy("user").agg(F.count(F.lit(1)).alias("k"))
+        ranked = busy.join(active, "user")
         aside = top_n_per_group(ranked, "item", [F.col("k").desc(), F.col("user")], t - 1).select("user", "item", "rating").checkpoint(eager=True)
         rest = ratings.join(aside, ["user", "item"], "left_anti")
-        formed = _sums(_user_pairs(rest)).checkpoint(eager=True)
+        formed = _pair_sums(rest).checkpoint(eager=True)
         found = formed.select("item1", "item2")
         # users set aside by the first item, whatever they are to the second; then those set aside by the second alone
         one = aside.select("user", F.col("item").alias("item1"), F.col("rating").alias("x"))
@@ -126,11 +209,14 @@ def similar_pairs(ratings: DataFrame, score_threshold: float, min_pairs: int) ->
         one = rest.select("user", F.col("item").alias("item1"), F.col("rating").alias("x"))
         two = aside.select("user", F.col("item").alias("item2"), F.col("rating").alias("y"))
         more = more.union(found.join(two, "item2").join(one, ["user", "item1"]).select("item1", "item2", "x", "y"))
-        sums = formed.unionByName(_sums(more)).groupBy("item1", "item2").agg(
+        added = more.select(
+            "item1", "item2", (F.col("x") * F.col("y")).alias("sum_xy"), (F.col("x") * F.col("x")).alias("sum_xx"),
+            (F.col("y") * F.col("y")).alias("sum_yy"), F.lit(1).cast("long").alias("num_pairs"),
+        )
+        sums = formed.unionByName(added).groupBy("item1", "item2").agg(
             *(F.sum(c).alias(c) for c in ("sum_xy", "sum_xx", "sum_yy", "num_pairs"))
         )
-    scored = sums.withColumn("similarity", cosine(F.col("sum_xy"), F.col("sum_xx"), F.col("sum_yy")))
-    return scored.where((F.col("similarity") > score_threshold) & (F.col("num_pairs") > min_pairs))
+    return _scored(sums).where((F.col("similarity") > score_threshold) & (F.col("num_pairs") > min_pairs))
 
 
 def similar_items(
