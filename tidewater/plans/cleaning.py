@@ -24,7 +24,7 @@ def _dedup(df: DataFrame, key: str) -> DataFrame:
 
 def clean_customers(raw: DataFrame) -> DataFrame:
     """Dedup → trim → booleans → state/country → dates → email → phone → loyalty → required."""
-    df = C.tidy_strings(_dedup(raw, "customer_id"))
+    df = C.settled(C.tidy_strings(_dedup(raw, "customer_id")))
     df = df.withColumns(
         {
             "is_active": C.to_bool(F.col("is_active")),
@@ -36,13 +36,13 @@ def clean_customers(raw: DataFrame) -> DataFrame:
             "loyalty_points": C.non_negative_or_zero(F.col("loyalty_points")),
         }
     )
-    return df.dropna(subset=["customer_id", "first_name", "last_name", "email", "signup_date"])
+    return C.settled(df).dropna(subset=["customer_id", "first_name", "last_name", "email", "signup_date"])
 
 
 def clean_orders(raw: DataFrame) -> DataFrame:
     """Dedup → trim → null tokens → id regex → dates → numerics → ship ≥ order →
     qty/price > 0 → discount 0..100 else 0 → payment → status → recompute total → required."""
-    df = C.tidy_strings(_dedup(raw, "order_id"), null_tokens=True)
+    df = C.settled(C.tidy_strings(_dedup(raw, "order_id"), null_tokens=True))
     df = df.withColumns(
         {
             "product_id": C.valid_or_null(F.col("product_id"), C.PRODUCT_ID_RE),
@@ -52,6 +52,7 @@ def clean_orders(raw: DataFrame) -> DataFrame:
             "total_amount": C.strip_dollar(F.col("total_amount")),
         }
     )
+    df = C.settled(df)
     # The reference drops a row whose raw total is malformed even though it recomputes it.
     df = df.filter(
         C.is_decimal_text(F.col("unit_price"))
@@ -85,15 +86,17 @@ def clean_orders(raw: DataFrame) -> DataFrame:
 
 def clean_products(raw: DataFrame) -> DataFrame:
     """Dedup → trim → id → price/cost/weight → date → boolean → ranges → initcap brand → required."""
-    df = C.tidy_strings(_dedup(raw, "product_id"))
+    df = C.settled(C.tidy_strings(_dedup(raw, "product_id")))
     df = df.withColumns(
         {
             "product_id": C.valid_or_null(F.col("product_id"), C.PRODUCT_ID_RE),
             "price": F.regexp_replace(C.strip_dollar(F.col("price")), ",", "."),
             "cost": C.strip_dollar(F.col("cost")),
+            "created_date": C.parse_date(F.col("created_date")),
+            "is_active": C.to_bool(F.col("is_active")),
         }
     )
-    df = df.filter(
+    df = C.settled(df).filter(
         C.is_decimal_text(F.col("price")) & C.is_decimal_text(F.col("cost")) & C.is_decimal_text(F.col("weight_kg"))
     )
     df = df.withColumns(
@@ -101,8 +104,6 @@ def clean_products(raw: DataFrame) -> DataFrame:
             "price": F.col("price").try_cast(C.EXACT),
             "cost": F.col("cost").try_cast(C.EXACT),
             "weight_kg": F.col("weight_kg").try_cast(C.EXACT),
-            "created_date": C.parse_date(F.col("created_date")),
-            "is_active": C.to_bool(F.col("is_active")),
         }
     )
     df = df.filter((F.col("price") > 0) & (F.col("cost") >= 0))

@@ -75,7 +75,7 @@ def ingest_csv(
     line = F.coalesce(F.col(CORRUPT), F.when(lacking, F.array_join(F.array(*[F.col(c).cast("string") for c in st.names]), sep, "")))
     rows = rows.select(
         *st.names, line.alias(CORRUPT), F.col("_metadata.file_path").alias(FILE),
-        F.element_at(F.split("_metadata.file_path", "/"), -2).alias(FOLDER), line.isNotNull().alias(FLAG),
+        F.substring_index(F.substring_index("_metadata.file_path", "/", -2), "/", 1).alias(FOLDER), line.isNotNull().alias(FLAG),
     )
     (rows.coalesce(files) if files else rows).write.mode("overwrite").partitionBy(FLAG).parquet(out)
     full = StructType([*st.fields, *(StructField(c, StringType()) for c in (CORRUPT, FILE, FOLDER)), StructField(FLAG, BooleanType())])
