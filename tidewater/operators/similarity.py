@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType
 
+from tidewater.operators import slices
 from tidewater.operators.joins import hot_keys
 from tidewater.operators.windows import top_n_per_group
 from tidewater.session import ensure_checkpoint_dir
@@ -53,11 +54,12 @@ HOT_ITEMS = 4096
 _WHOLE = (("tinyint", 8), ("smallint", 16), ("int", 32))
 
 
-def _ends(df: DataFrame, *names: str) -> dict[str, tuple[int, int]]:
-    """Smallest and largest value of the whole-number columns, in one pass."""
+def _ends(df: DataFrame, *names: str) -> tuple[dict[str, tuple[int, int]], bool]:
+    """Smallest and largest value of the whole-number columns, in one pass, and if these are all columns and have no NULL."""
     wide = [c for c in names if isinstance(df.schema[c].dataType, LongType | IntegerType)]
-    row = df.agg(F.count(F.lit(1)), *(f(c) for c in wide for f in (F.min, F.max))).first()
-    return {c: (row[1 + 2 * i], row[2 + 2 * i]) for i, c in enumerate(wide) if row[1 + 2 * i] is not None}
+    row = df.agg(F.count(F.lit(1)), *(f(c) for c in wide for f in (F.min, F.max, F.count))).first()
+    ends = {c: (row[1 + 3 * i], row[2 + 3 * i]) for i, c in enumerate(wide) if row[3 + 3 * i]}
+    return ends, len(ends) == len(names) and all(row[3 + 3 * i] == row[0] for i in range(len(wide)))
 
 
 def _packed(array: Column, name: str, low: int, ends: tuple[int, int] | None) -> list[Column]:
@@ -86,14 +88,17 @@ def _pair_sums(ratings: DataFrame, salt_buckets: int = 1, hot_shares: int | None
     """Sums and counts of all pairs ``item1 < item2`` of the users' ratings, grouped where the pairs are formed.
 
     A user's ratings are ordered by item, hot items (more than one part in ``HOT_ITEMS`` of the ratings) last and
-    by their share, and kept as arrays of at most ``BASKET``.  Each rating is joined to the later ones of its user as
-    slices of those arrays, and these rows go to the task of the rating's own item.  All rows of a pair thus meet in
-    one task, a hot item's in those of the others: pairs are formed and summed there, and only arrays are shuffled.
+    by their share, and kept as arrays of at most ``BASKET``.  Each rating goes with the later ones of its user, as
+    slices of those arrays, to the task of the rating's own item: those of its own array from where they lie, those of
+    the user's other arrays through a join.  All rows of a pair thus meet in one task, a hot item's in those of the
+    others: pairs are formed and summed there, and only slices are shuffled.  Slices of whole numbers are packed for
+    that (:mod:`tidewater.operators.slices`), unless a rating is NULL or a sum might pass a BIGINT.
     """
     kind = {c: ratings.schema[c].dataType for c in ("item", "rating")}
-    ensure_checkpoint_dir(ratings.sparkSession)
+    spark = ratings.sparkSession
+    ensure_checkpoint_dir(spark)
     ratings = ratings.select("user", "item", "rating").where(F.col("user").isNotNull() & F.col("item").isNotNull())
-    ends = _ends(ratings, "item", "rating")
+    ends, whole = _ends(ratings, "item", "rating")
     common = F.broadcast(hot_keys(ratings, "item", HOT_ITEMS).checkpoint(eager=True).withColumnsRenamed({"item": "__hot", "salts": "n"}))
     counted = ratings.join(common, F.col("item") == F.col("__hot"), "left").drop("__hot").fillna(0, ["n"])
     place = F.row_number().over(Window.partitionBy("user").orderBy("n", "item")) - 1
@@ -104,30 +109,51 @@ def _pair_sums(ratings: DataFrame, salt_buckets: int = 1, hot_shares: int | None
     names = baskets.columns[2:]
     k = F.sum(F.size("items")).cast("double")
     n_pairs = baskets.groupBy("user").agg((k * (k - 1) / 2).alias("n")).agg(F.sum("n")).first()[0] or 0.0
+    tasks = max(1, math.ceil(n_pairs / PAIRS_A_TASK))
 
     def at(column):
         return F.get(F.col(column), F.col("at"))
 
     item, rating = (lambda v: _unpacked(v, names, "items", 16).cast(kind["item"])), (lambda v: _unpacked(v, names, "ys", 8).cast(kind["rating"]))
-    one = baskets.select("user", F.col("basket").alias("own"), *names, F.explode(F.sequence(F.lit(0), F.size("items") - 1)).alias("at"))
-    one = one.select("user", "own", "at", item(at).alias("a"), rating(at).alias("x"))
-    two, on = baskets.withColumnRenamed("user", "user_b"), (F.col("user") == F.col("user_b")) & (F.col("own") <= F.col("basket"))
-    if hot_shares or salt_buckets > 1:
-        if hot_shares:
-            hot = F.broadcast(hot_keys(ratings, "user", hot_shares).withColumnRenamed("user", "__hot").checkpoint(eager=True))
-            one = one.join(hot, F.col("user") == F.col("__hot"), "left").drop("__hot")
-            two = two.join(hot, F.col("user_b") == F.col("__hot"), "left").drop("__hot")
-            salts = F.coalesce("salts", F.lit(1).cast("long"))
-        else:
-            salts = F.lit(salt_buckets).cast("long")
-        one = one.withColumn("salt", F.pmod(F.xxhash64("a"), salts)).drop("salts")
-        two = two.withColumn("salt_b", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1))).drop("salts")
-        on = on & (F.col("salt") == F.col("salt_b"))
-    start = F.when(F.col("own") == F.col("basket"), F.col("at") + 2).otherwise(1)
-    met = one.join(two, on).where(start <= F.size("items"))
-    met = met.select("a", "x", *(F.slice(c, start, F.size("items")).alias(c) for c in names))
-    met = met.repartition(max(1, math.ceil(n_pairs / PAIRS_A_TASK)), "a").sortWithinPartitions("a")
 
+    def listed(df):
+        df = df.select("user", F.col("basket").alias("own"), *names, F.posexplode("items").alias("at", "first"))
+        return df.withColumns({"a": item(lambda c: F.col("first") if c == "items" else at(c)), "x": rating(at)})
+
+    def sliced(df, start):
+        return df.where(start <= F.size("items")).select("a", "x", *(F.slice(c, start, F.size("items")).alias(c) for c in names))
+
+    if salt_buckets > 1:  # every user is cut up by several tasks
+        one, two = baskets, baskets
+        salts = F.lit(salt_buckets).cast("long")
+    else:  # only arrays that have later ones, with these
+        one, two = baskets.where(F.size("items") == BASKET), baskets.where("basket > 0")
+        salts = F.lit(1).cast("long")
+    one, two = listed(one).select("user", "own", "at", "a", "x"), two.withColumnRenamed("user", "user_b")
+    if hot_shares and salt_buckets == 1:
+        hot = F.broadcast(hot_keys(ratings, "user", hot_shares).withColumnRenamed("user", "__hot").checkpoint(eager=True))
+        one = one.join(hot, F.col("user") == F.col("__hot"), "left").drop("__hot")
+        two = two.join(hot, F.col("user_b") == F.col("__hot"), "left").drop("__hot")
+        salts = F.coalesce("salts", salts)
+    one = one.withColumn("salt", F.pmod(F.xxhash64("a"), salts)).drop("salts")
+    two = two.withColumn("salt_b", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1))).drop("salts")
+    on = (F.col("user") == F.col("user_b")) & (F.col("salt") == F.col("salt_b"))
+    if salt_buckets > 1:
+        start = F.when(F.col("own") == F.col("basket"), F.col("at") + 2).otherwise(1)
+        met = sliced(one.join(two, on & (F.col("own") <= F.col("basket"))), start)
+    else:
+        met = sliced(listed(baskets), F.col("at") + 2).union(sliced(one.join(two, on & (F.col("own") < F.col("basket"))), F.lit(1)))
+
+    if whole and max(map(abs, ends["rating"])) ** 2 * max(n_pairs, 1) < 1 << 63:
+        # a task's key is one that goes to a partition of its own; any other would do, less evenly
+        found = spark.range(16 * tasks).groupBy(F.pmod(F.hash("id"), F.lit(tasks)).alias("t")).agg(F.min("id").alias("id")).collect()
+        keys = {r.t: r.id for r in found}
+        pack = slices.packer([keys.get(t, t) for t in range(tasks)], names, {"items": 16, "ys": 8})
+        to = met.select(F.pmod(F.hash(F.col("a").cast("long")), F.lit(tasks)).alias("t"), F.col("a").cast("long").alias("a"), F.col("x").cast("long").alias("x"), *names)
+        packed = to.mapInArrow(pack, slices.PACKED).repartition(tasks, "a")
+        sums = packed.groupBy("a").applyInArrow(slices.summer(), slices.SUMS)
+        return sums.withColumns({c: F.col(c).cast(kind["item"]) for c in ("item1", "item2")})
+    met = met.repartition(tasks, "a").sortWithinPartitions("a")
     pairs = met.select("a", "x", *names[1:], F.posexplode("items").alias("at", "first"))
     pairs = pairs.select("a", "x", item(lambda c: F.col("first") if c == "items" else at(c)).alias("b"), rating(at).alias("y"))
     sums = pairs.where(F.col("a") != F.col("b")).groupBy("a", "b").agg(
