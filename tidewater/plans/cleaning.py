@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions import clean as C
 from tidewater.operators.aggregate import keep_one_per_key
+from tidewater.sources import sinks
 
 
 def _dedup(df: DataFrame, key: str) -> DataFrame:
@@ -120,10 +121,12 @@ def clean_products(raw: DataFrame) -> DataFrame:
 
 
 def order_details(orders: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
-    """C4: denormalised orders; the clashing ``is_active`` flags are renamed per side."""
+    """C4: denormalised orders; the clashing ``is_active`` flags are renamed per side.  Products come first: orders that
+    have no valid one are dropped before the customers' columns, the widest, are carried along."""
     c = customers.withColumnRenamed("is_active", "customer_is_active")
     p = products.withColumnRenamed("is_active", "product_is_active")
-    return orders.join(c, "customer_id").join(p, "product_id")
+    rest = [f for df, key in ((orders, ""), (c, "customer_id"), (p, "product_id")) for f in df.columns if f not in ("customer_id", "product_id", key)]
+    return orders.join(p, "product_id").join(c, "customer_id").select("product_id", "customer_id", *rest)
 
 
 def publish_clean_tables(
@@ -140,6 +143,6 @@ def publish_clean_tables(
         ("customers", clean_customers(raw_customers)),
         ("products", clean_products(raw_products)),
     ):
-        df.write.mode("overwrite").parquet(f"{folder}/{name}")
+        sinks.write_parquet(df, f"{folder}/{name}", compression="zstd")
         out[name] = spark.read.parquet(f"{folder}/{name}")
     return out

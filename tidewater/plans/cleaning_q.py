@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidewater.plans import cleaning
 from tidewater.plans.registry import register
+from tidewater.session import shuffles_dropped
 from tidewater.sources.tables import Tables
 
 # ---- raw renderers (Spark) ------------------------------------------------------------
@@ -330,7 +331,10 @@ def _csv_triple(spark, sf, run, names=("orders", "customers", "products")):
     broken = F.when(F.col("order_id") % 59 == 0, F.concat(F.lit("no-"), F.col("order_id"))).otherwise(F.col("order_id").cast("string"))
     raw = {"orders": orders.withColumn("order_id", broken), "customers": raw_customers(t.customer), "products": raw_products(t.part)}
     for name in names:
-        raw[name].write.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{run}/{name}")
+        # compressed files are read whole, so they are kept short
+        csv = raw[name].write.option("header", True).option("compression", "gzip").option("maxRecordsPerFile", 1_000_000)
+        with shuffles_dropped(spark):
+            csv.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{run}/{name}")
     return tuple(f"{run}/{n}" for n in names)
 
 

@@ -54,7 +54,7 @@ def commerce_etl(
         raw_o, raw_c, raw_p = (readers.read_csv(spark, path, st) for path, st, _ in raw.values())
     t = cleaning.publish_clean_tables(raw_o, raw_c, raw_p, f"{out}/clean")
     details = cleaning.order_details(t["orders"], t["customers"], t["products"])
-    sinks.write_parquet(details, f"{out}/order_details")
+    sinks.write_parquet(details, f"{out}/order_details", compression="zstd")
     d = spark.read.parquet(f"{out}/order_details")
     profit = (F.col("price") - F.col("cost")) * F.col("quantity")
     reports = {

@@ -10,10 +10,13 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+SHUFFLE_CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 # Settings every job relies on: AQE for runtime coalescing / skew splits, UTC so
 # TIMESTAMP_NTZ columns and the SQL oracle agree, no UI server.
@@ -71,6 +74,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Writes begun inside leave no shuffle files: they go when the write ends, not when the driver happens to collect garbage."""
+    before = spark.conf.get(SHUFFLE_CLEANUP_CONF, None)
+    spark.conf.set(SHUFFLE_CLEANUP_CONF, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP_CONF)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP_CONF, before)
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` in the shared checkpoint folder, without the shuffle files that led there."""
+    ensure_checkpoint_dir(df.sparkSession)
+    with shuffles_dropped(df.sparkSession):
+        return df.select("*").checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediate tables."""
     root = ensure_checkpoint_dir(spark)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
+from tidewater.sources import sinks
 from tidewater.sources.readers import CORRUPT
 
 FLAG = "is_bad"
@@ -77,6 +78,6 @@ def ingest_csv(
         *st.names, line.alias(CORRUPT), F.col("_metadata.file_path").alias(FILE),
         F.substring_index(F.substring_index("_metadata.file_path", "/", -2), "/", 1).alias(FOLDER), line.isNotNull().alias(FLAG),
     )
-    (rows.coalesce(files) if files else rows).write.mode("overwrite").partitionBy(FLAG).parquet(out)
+    sinks.write_parquet(rows, out, partition_by=[FLAG], files=files, compression="zstd")
     full = StructType([*st.fields, *(StructField(c, StringType()) for c in (CORRUPT, FILE, FOLDER)), StructField(FLAG, BooleanType())])
     return Intake(spark.read.schema(full).parquet(out), tuple(st.names))

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewater.operators.order import global_rank
+from tidewater.session import shuffles_dropped
 
 
 def write_parquet(
@@ -22,14 +23,19 @@ def write_parquet(
     mode: str = "overwrite",
     partition_by: Sequence[str] | None = None,
     files: int | None = None,
+    compression: str | None = None,
 ) -> None:
     """K1/K2/K6: Parquet output, optionally partitioned by columns (read-back gets
-    partition pruning) and/or narrowed to ``files`` output files without a shuffle."""
+    partition pruning) and/or narrowed to ``files`` output files without a shuffle.
+    The shuffle files of the write go with its end."""
     out = df.coalesce(files) if files else df
     w = out.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    if compression:
+        w = w.option("compression", compression)
+    with shuffles_dropped(df.sparkSession):
+        w.parquet(path)
 
 
 def write_text(df: DataFrame, path: str, mode: str = "overwrite", files: int | None = None) -> None:
