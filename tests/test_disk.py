@@ -7,6 +7,7 @@ import time
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
+from tidewater.operators import similarity as S
 from tidewater.plans import cleaning, cleaning_q, jobs
 from tidewater.session import SHUFFLE_CLEANUP_CONF, checkpointed
 from tidewater.sources import sinks
@@ -69,3 +70,12 @@ def test_order_details_join_products_first(spark):
     plan = d._jdf.queryExecution().optimizedPlan().toString()
     joins = [line for line in plan.splitlines() if "Join Inner" in line]
     assert "customer_id" in joins[0] and "product_id" in joins[1]
+
+
+def test_pairs_are_planned_without_shuffle_files(spark):
+    rows = [(u, u + 7 * i, 1 + (u * i) % 50) for u in range(20) for i in range(12)]
+    df = spark.createDataFrame(rows, "user long, item long, rating long")
+    before = _shuffle_files(spark)
+    for how in ({"hot_shares": 4}, {"salt_buckets": 3}):
+        got = S.item_similarity(df, **how)
+        assert _left(spark, before) == set() and got.columns[:2] == ["item1", "item2"]

@@ -28,7 +28,7 @@ from pyspark.sql.types import IntegerType, LongType
 from tidewater.operators import slices
 from tidewater.operators.joins import hot_keys
 from tidewater.operators.windows import top_n_per_group
-from tidewater.session import ensure_checkpoint_dir
+from tidewater.session import checkpointed, ensure_checkpoint_dir
 
 
 def cosine(sum_xy: Column, sum_xx: Column, sum_yy: Column) -> Column:
@@ -99,13 +99,13 @@ def _pair_sums(ratings: DataFrame, salt_buckets: int = 1, hot_shares: int | None
     ensure_checkpoint_dir(spark)
     ratings = ratings.select("user", "item", "rating").where(F.col("user").isNotNull() & F.col("item").isNotNull())
     ends, whole = _ends(ratings, "item", "rating")
-    common = F.broadcast(hot_keys(ratings, "item", HOT_ITEMS).checkpoint(eager=True).withColumnsRenamed({"item": "__hot", "salts": "n"}))
+    common = F.broadcast(checkpointed(hot_keys(ratings, "item", HOT_ITEMS)).withColumnsRenamed({"item": "__hot", "salts": "n"}))
     counted = ratings.join(common, F.col("item") == F.col("__hot"), "left").drop("__hot").fillna(0, ["n"])
     place = F.row_number().over(Window.partitionBy("user").orderBy("n", "item")) - 1
     placed = counted.withColumn("p", place).withColumn("basket", F.floor(F.col("p") / BASKET).cast("int"))
     rows = placed.groupBy("user", "basket").agg(F.array_sort(F.collect_list(F.struct("p", "item", "rating"))).alias("b"))
     arrays = [*_packed(F.col("b.item"), "items", 16, ends.get("item")), *_packed(F.col("b.rating"), "ys", 8, ends.get("rating"))]
-    baskets = rows.select("user", "basket", *arrays).checkpoint(eager=True)
+    baskets = checkpointed(rows.select("user", "basket", *arrays))
     names = baskets.columns[2:]
     k = F.sum(F.size("items")).cast("double")
     n_pairs = baskets.groupBy("user").agg((k * (k - 1) / 2).alias("n")).agg(F.sum("n")).first()[0] or 0.0
@@ -131,7 +131,7 @@ def _pair_sums(ratings: DataFrame, salt_buckets: int = 1, hot_shares: int | None
         salts = F.lit(1).cast("long")
     one, two = listed(one).select("user", "own", "at", "a", "x"), two.withColumnRenamed("user", "user_b")
     if hot_shares and salt_buckets == 1:
-        hot = F.broadcast(hot_keys(ratings, "user", hot_shares).withColumnRenamed("user", "__hot").checkpoint(eager=True))
+        hot = F.broadcast(checkpointed(hot_keys(ratings, "user", hot_shares).withColumnRenamed("user", "__hot")))
         one = one.join(hot, F.col("user") == F.col("__hot"), "left").drop("__hot")
         two = two.join(hot, F.col("user_b") == F.col("__hot"), "left").drop("__hot")
         salts = F.coalesce("salts", salts)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidewater.operators import similarity as S
 from tidewater.plans.registry import register
+from tidewater.session import checkpointed
 from tidewater.sources.tables import Tables
 
 # Fixed value from the reference: a partner must score above 0.97.
@@ -42,7 +43,7 @@ def item_similarity(spark, sf):
     ratings (a third of all rows on a skewed cluster) are split over several reducers."""
     # The ratings feed three consumers (the hot-user sketch, both join sides): checkpoint them
     # once to the shared checkpoint folder, which also cuts lineage before the pair stage.
-    ratings = _ratings(spark, sf).checkpoint(eager=True)
+    ratings = checkpointed(_ratings(spark, sf))
     return S.item_similarity(ratings, hot_shares=HOT_SHARES)
 
 
@@ -51,7 +52,7 @@ def item_similarity_salted(spark, sf):
     """C6 with every user treated as hot: each user's pairs are spread
     over 4 ``(user, salt)`` reducers (left rows salted by item hash, right rows
     replicated per salt).  Same result as ``item_similarity``; the SQL oracle is shared."""
-    return S.item_similarity(_ratings(spark, sf).checkpoint(eager=True), salt_buckets=4)
+    return S.item_similarity(checkpointed(_ratings(spark, sf)), salt_buckets=4)
 
 
 @register(
@@ -65,7 +66,7 @@ FROM p WHERE num_pairs > {MIN_PAIRS} AND similarity > {SCORE_THRESHOLD}""",
 )
 def similar_pairs(spark, sf):
     """C6 with threshold and co-occurrence inside the join: the same rows as the filtered full table, without its pairs."""
-    return S.similar_pairs(_ratings(spark, sf).checkpoint(eager=True), SCORE_THRESHOLD, MIN_PAIRS)
+    return S.similar_pairs(checkpointed(_ratings(spark, sf)), SCORE_THRESHOLD, MIN_PAIRS)
 
 
 @register(
