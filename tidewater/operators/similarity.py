@@ -28,7 +28,7 @@ from pyspark.sql.types import IntegerType, LongType
 from tidewater.operators import slices
 from tidewater.operators.joins import hot_keys
 from tidewater.operators.windows import top_n_per_group
-from tidewater.session import checkpointed, ensure_checkpoint_dir
+from tidewater.session import checkpointed, ensure_checkpoint_dir, shuffles_dropped
 
 
 def cosine(sum_xy: Column, sum_xx: Column, sum_yy: Column) -> Column:
@@ -98,7 +98,8 @@ def _pair_sums(ratings: DataFrame, salt_buckets: int = 1, hot_shares: int | None
     spark = ratings.sparkSession
     ensure_checkpoint_dir(spark)
     ratings = ratings.select("user", "item", "rating").where(F.col("user").isNotNull() & F.col("item").isNotNull())
-    ends, whole = _ends(ratings, "item", "rating")
+    with shuffles_dropped(spark):
+        ends, whole = _ends(ratings, "item", "rating")
     common = F.broadcast(checkpointed(hot_keys(ratings, "item", HOT_ITEMS)).withColumnsRenamed({"item": "__hot", "salts": "n"}))
     counted = ratings.join(common, F.col("item") == F.col("__hot"), "left").drop("__hot").fillna(0, ["n"])
     place = F.row_number().over(Window.partitionBy("user").orderBy("n", "item")) - 1
@@ -108,7 +109,8 @@ def _pair_sums(ratings: DataFrame, salt_buckets: int = 1, hot_shares: int | None
     baskets = checkpointed(rows.select("user", "basket", *arrays))
     names = baskets.columns[2:]
     k = F.sum(F.size("items")).cast("double")
-    n_pairs = baskets.groupBy("user").agg((k * (k - 1) / 2).alias("n")).agg(F.sum("n")).first()[0] or 0.0
+    with shuffles_dropped(spark):
+        n_pairs = baskets.groupBy("user").agg((k * (k - 1) / 2).alias("n")).agg(F.sum("n")).first()[0] or 0.0
     tasks = max(1, math.ceil(n_pairs / PAIRS_A_TASK))
 
     def at(column):
@@ -146,7 +148,8 @@ def _pair_sums(ratings: DataFrame, salt_buckets: int = 1, hot_shares: int | None
 
     if whole and max(map(abs, ends["rating"])) ** 2 * max(n_pairs, 1) < 1 << 63:
         # a task's key is one that goes to a partition of its own; any other would do, less evenly
-        found = spark.range(16 * tasks).groupBy(F.pmod(F.hash("id"), F.lit(tasks)).alias("t")).agg(F.min("id").alias("id")).collect()
+        with shuffles_dropped(spark):
+            found = spark.range(16 * tasks).groupBy(F.pmod(F.hash("id"), F.lit(tasks)).alias("t")).agg(F.min("id").alias("id")).collect()
         keys = {r.t: r.id for r in found}
         pack = slices.packer([keys.get(t, t) for t in range(tasks)], names, {"items": 16, "ys": 8})
         to = met.select(F.pmod(F.hash(F.col("a").cast("long")), F.lit(tasks)).alias("t"), F.col("a").cast("long").alias("a"), F.col("x").cast("long").alias("x"), *names)
